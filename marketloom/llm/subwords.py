@@ -9,14 +9,15 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
 
 VOCABULARY = "byte_bpe_50k.json"
 
-#: Remembered pieces of one worker (about 150 bytes each); beyond that the dictionary starts anew.
-MOST_PIECES = 400_000
+#: Remembered pieces of one worker (about 200 bytes each); beyond that only the latest texts' pieces stay.
+MOST_PIECES = 600_000
 #: Longer pieces (a text without spaces) are never remembered.
 LONGEST_PIECE = 64
 
@@ -46,34 +47,45 @@ def pieces(text: str) -> list[str]:
     return ([first] if first else []) + [f" {x}" for x in rest]
 
 
-class _Ids(dict):
-    def room(self, more: int) -> None:
-        if len(self) + more > MOST_PIECES:
-            self.clear()
+@lru_cache(maxsize=2)
+def _encoder(name: str):
+    """Ids of one piece. A vocabulary that also has a rank file is encoded from that, which gives the same ids faster; pieces with
+    a special string are left to the tokenizers library."""
+    whole = tokenizer(name)
+    ordinary = lambda x: whole.encode(x, add_special_tokens=False).ids
+    import public_tokenizers
+
+    ranks = public_tokenizers.path(name).removesuffix(".json") + ".tiktoken"
+    if not os.path.exists(ranks):
+        return ordinary
+    import base64
+
+    import tiktoken
 
+    with open(ranks, "rb") as f:
+        table = {base64.b64decode(k): int(v) for k, v in map(bytes.split, f)}
+    fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
+    special = [x.content for x in whole.get_added_tokens_decoder().values()]
+    marks = {x[:2] for x in special}
+    return lambda x: ordinary(x) if any(m in x for m in marks) else fast(x)
 
-_known: dict[str, _Ids] = {}
+
+_known: dict[str, dict[str, bytes]] = {}
 
 
 def encode(texts: list[str], name: str = VOCABULARY) -> list[np.ndarray]:
     """Ids of each text, without added special tokens; special strings inside texts are handled as the library does by default."""
-    known = _known.setdefault(name, _Ids())
+    known, one = _known.setdefault(name, {}), _encoder(name)
     cut = [pieces(x) for x in texts]
-    new = {x for p in cut for x in p if x not in known}
-    known.room(len(new))
-    if new and not known:  # it has just been emptied
-        new = {x for p in cut for x in p}
-    order = list(new)
-    fresh = {}
-    for at in range(0, len(order), 4096):
-        part = order[at : at + 4096]
-        for x, y in zip(part, tokenizer(name).encode_batch_fast(part, add_special_tokens=False)):
-            ids = np.array(y.ids, dtype="<u4").tobytes()
-            fresh[x] = ids
-    known.update((x, y) for x, y in fresh.items() if len(x) <= LONGEST_PIECE)
-    long = {x: y for x, y in fresh.items() if len(x) > LONGEST_PIECE}
-    get = known.__getitem__ if not long else lambda x: known[x] if x in known else long[x]
-    return [np.frombuffer(b"".join(map(get, p)), dtype="<u4") for p in cut]
+    distinct = set().union(*cut)
+    long = {x: array("I", one(x)).tobytes() for x in distinct if len(x) > LONGEST_PIECE}
+    for x in distinct - known.keys() - long.keys():
+        known[x] = array("I", one(x)).tobytes()
+    get = (lambda x: long[x] if len(x) > LONGEST_PIECE else known[x]) if long else known.__getitem__
+    out = [np.frombuffer(b"".join(map(get, p)), dtype="<u4") for p in cut]
+    if len(known) > MOST_PIECES:  # what these texts use stays
+        _known[name] = {x: known[x] for x in distinct if x in known}
+    return out
 
 
 def portions(texts: list[str], most_chars: int = 2_000_000):
@@ -90,8 +102,5 @@ def portions(texts: list[str], most_chars: int = 2_000_000):
 
 def count(strings: list[str], name: str = VOCABULARY) -> np.ndarray:
     """Number of ids of each string."""
-    out = np.empty(len(strings), dtype=np.int64)
-    for at in range(0, len(strings), 4096):
-        part = tokenizer(name).encode_batch_fast(strings[at : at + 4096], add_special_tokens=False)
-        out[at : at + len(part)] = [len(x.ids) for x in part]
-    return out
+    one = _encoder(name)
+    return np.fromiter((len(one(x)) for x in strings), dtype=np.int64, count=len(strings))
