@@ -1,5 +1,7 @@
 """Names of all queries, their functions and their SQL."""
 
-QUERIES = {}
-ORACLES = {}
-FLAGSHIP = None
+from marketloom.plans import base, daily
+
+QUERIES = base.QUERIES
+ORACLES = base.ORACLES
+FLAGSHIP = daily.o114_panel
