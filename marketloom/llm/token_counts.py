@@ -32,13 +32,30 @@ from marketloom.llm.common import staged, table
 
 LIMIT = 1024
 #: A block ends after so many distinct pre-tokens or characters, whichever comes first.
-BLOCK_PRETOKENS = 400_000
+BLOCK_PRETOKENS = 1_000_000
 BLOCK_CHARS = 48_000_000
 
 _ROWS = "block string, doc_id long, n_bytes long, numbers binary, counts binary, bucket int, words binary, spots binary"
 _ARROW = pa.schema([("block", pa.string()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("numbers", pa.binary()), ("counts", pa.binary()), ("bucket", pa.int32()), ("words", pa.binary()), ("spots", pa.binary())])
 
 
+def _pack(numbers: np.ndarray) -> bytes:
+    """Ascending numbers as compressed steps."""
+    return zlib.compress(np.diff(numbers, prepend=0).astype("<u4").tobytes(), 1)
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), dtype="<u4").cumsum(dtype=np.int64)
+
+
+def _pack_counts(counts: np.ndarray) -> bytes:
+    return zlib.compress(counts.astype("<u4").tobytes(), 1)
+
+
+def _unpack_counts(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), dtype="<u4").astype(np.int64)
+
+
 def _join_words(words: list[bytes]) -> bytes:
     return zlib.compress(np.array([len(x) for x in words], dtype="<u4").tobytes() + b"".join(words), 1)
 
@@ -68,7 +85,7 @@ def _frequencies(batches, buckets: int):
         for k in range(buckets):
             own = order[edges[k] : edges[k + 1]]
             if len(own):
-                yield rows([(f"{part}-{block}", None, None, None, None, k, _join_words([words[i] for i in own.tolist()]), own.astype("<u4").tobytes())])
+                yield rows([(f"{part}-{block}", None, None, None, None, k, _join_words([words[i] for i in own.tolist()]), _pack(own))])
 
     for batch in batches:
         ids, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
@@ -79,8 +96,9 @@ def _frequencies(batches, buckets: int):
                 for x in seen:
                     if x not in number:
                         number[x] = len(number)
-                mine = np.fromiter(map(number.__getitem__, seen), dtype="<u4", count=len(seen))
-                out.append((f"{part}-{block}", doc, len(text.encode("utf-8", "surrogatepass")), mine.tobytes(), np.fromiter(seen.values(), dtype="<u4", count=len(seen)).tobytes(), None, None, None))
+                mine = np.fromiter(map(number.__getitem__, seen), dtype=np.int64, count=len(seen))
+                counts, order = np.fromiter(seen.values(), dtype=np.int64, count=len(seen)), np.argsort(mine)
+                out.append((f"{part}-{block}", doc, len(text.encode("utf-8", "surrogatepass")), _pack(mine[order]), _pack_counts(counts[order]), None, None, None))
                 chars += len(text)
             yield rows(out)
             if len(number) > BLOCK_PRETOKENS or chars > BLOCK_CHARS:
@@ -93,19 +111,19 @@ def _frequencies(batches, buckets: int):
 
 def _pieces(group: pd.DataFrame, vocabulary: str) -> pd.DataFrame:
     """Counts once for each distinct pre-token of a bucket; one answer for each block."""
-    asked = [(_split_words(w, len(s) // 4)) for w, s in zip(group["words"], group["spots"])]
+    asked = [_split_words(words, len(_unpack(spots))) for words, spots in zip(group["words"], group["spots"])]
     distinct = list(dict.fromkeys(x for words in asked for x in words))
     known = dict(zip(distinct, subwords.count(distinct, vocabulary).tolist()))
-    answers = [np.fromiter(map(known.__getitem__, words), dtype="<u4", count=len(words)).tobytes() for words in asked]
-    return pd.DataFrame({"block": group["block"], "spots": group["spots"], "n_pieces": [zlib.compress(x, 1) for x in answers]})
+    answers = [_pack_counts(np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))) for words in asked]
+    return pd.DataFrame({"block": group["block"], "spots": group["spots"], "n_pieces": answers})
 
 
 def _sums(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-    size = sum(len(s) // 4 for s in answers["spots"])
-    n_pieces = np.zeros(size, dtype=np.int64)
-    for spots, counts in zip(answers["spots"], answers["n_pieces"]):
-        n_pieces[np.frombuffer(spots, dtype="<u4")] = np.frombuffer(zlib.decompress(counts), dtype="<u4")
-    totals = [int(n_pieces[np.frombuffer(a, dtype="<u4")] @ np.frombuffer(b, dtype="<u4").astype(np.int64)) for a, b in zip(docs["numbers"], docs["counts"])]
+    spots = [_unpack(x) for x in answers["spots"]]
+    n_pieces = np.zeros(sum(map(len, spots)), dtype=np.int64)
+    for own, counts in zip(spots, answers["n_pieces"]):
+        n_pieces[own] = _unpack_counts(counts)
+    totals = [int(n_pieces[_unpack(a)] @ _unpack_counts(b)) for a, b in zip(docs["numbers"], docs["counts"])]
     return pd.DataFrame({"doc_id": docs["doc_id"], "n_bytes": docs["n_bytes"], "n_tokens": totals})
 
 
