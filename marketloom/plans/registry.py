@@ -1,6 +1,6 @@
 """Names of all queries, their functions and their SQL."""
 
-from marketloom.plans import base, daily, intraday  # noqa: F401
+from marketloom.plans import base, daily, intraday, scoring  # noqa: F401
 
 QUERIES = base.QUERIES
 ORACLES = base.ORACLES
