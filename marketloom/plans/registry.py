@@ -1,6 +1,6 @@
 """Names of all queries, their functions and their SQL."""
 
-from marketloom.plans import analog, base, daily, intraday, news, scoring  # noqa: F401
+from marketloom.plans import analog, base, daily, intraday, news, scoring, sources, streams  # noqa: F401
 
 QUERIES = base.QUERIES
 ORACLES = base.ORACLES
