@@ -9,6 +9,8 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+ARROW_ROWS = 1000
+
 _shipped: set[str] = set()
 
 
@@ -28,8 +30,14 @@ def session(master: str = "local[8]", partitions: int = 8, **conf: str) -> Spark
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send the package to executors, once in each application, so that tasks can import it."""
+    """Send the package to executors, once in each application, so that tasks can import it.
+
+    Batches for Python are set to ARROW_ROWS rows where the session has Spark's default: texts can be long, and a batch is held on
+    both sides.
+    """
     app = spark.sparkContext.applicationId
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     if app not in _shipped:
         top = Path(__file__).resolve().parent
         fd, name = tempfile.mkstemp(prefix="marketloom-", suffix=".zip")
