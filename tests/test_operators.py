@@ -188,3 +188,22 @@ def test_tiny_tables(spark, n):
     b = daily.daily_bars(t).join(daily.calendar(t).select("date", "day_idx"), "date")
     assert daily.forward_vwaps(b).count() == n and daily.session_returns(b).count() == 0
     assert analog.moments(b).count() == 0
+
+
+def test_capped_moves_by_bisection(spark):
+    from marketloom.operators import screening
+
+    rng = random.Random(12)
+    rows = [(g, i, rng.paretovariate(0.7), rng.gauss(0, 1)) for g in range(12) for i in range(rng.randrange(3, 15))]
+    df = spark.createDataFrame(rows, "g int, id int, cap double, move double")
+    for r in screening.capped_moves(df, ["g"], "id", "cap", "move").collect():
+        others = [(c, m) for g, i, c, m in rows if g == r.g and i != r.id]
+        if len(others) * 0.25 < 1:
+            want = sum(c * m for c, m in others) / sum(c for c, _ in others)
+        else:
+            low, high = 0.0, 1e9
+            for _ in range(300):
+                s = (low + high) / 2
+                low, high = (s, high) if sum(min(0.25, s * c) for c, _ in others) < 1 else (low, s)
+            want = sum(min(0.25, s * c) * m for c, m in others)
+        assert abs(r.others_move - want) < 1e-6
