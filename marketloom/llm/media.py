@@ -1,6 +1,6 @@
 """Media columns: a data source over archive directories.
 
-Texts become 8-bit samples: rows of 64 grey pixels in a PGM image, one tar member each. `save_media` writes archives from tasks and
+Texts become 8-bit samples: rows of 64 grey pixels in a PNG, one tar member each. `save_media` writes archives from tasks and
 a manifest table; the source "media_archive" plans byte ranges over those archives, and a task streams the members that begin in
 its range through Arrow, in batches of bounded size.
 
@@ -44,19 +44,39 @@ ARCHIVE = 512 << 20
 _ENTRY = struct.Struct("<qqIqB")  # offset of the payload, size, crc32, id, whether the id is null
 
 
-def to_pgm(data: bytes) -> bytes:
-    """A grey image of 64 columns that holds data and zero bytes after it; a comment holds data's length."""
-    rows = max(1, -(-len(data) // WIDTH))
-    return b"P5\n#%d\n%d %d\n255\n" % (len(data), WIDTH, rows) + data.ljust(rows * WIDTH, b"\0")
+_SIGNATURE = b"\x89PNG\r\n\x1a\n"
+
 
+def _chunk(kind: bytes, data: bytes) -> bytes:
+    return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
 
-def from_pgm(stored: bytes) -> tuple[int, bytes]:
-    """Length of the data and the samples of an image that to_pgm made."""
-    kind, length, size, depth, samples = stored.split(b"\n", 4)
-    width, rows = map(int, size.split())
-    if kind != b"P5" or depth != b"255" or len(samples) != width * rows:
-        raise ValueError("not an 8-bit grey image")
-    return int(length[1:]), samples
+
+def to_image(data: bytes) -> bytes:
+    """A grey 8-bit PNG of 64 columns that holds data and zero bytes after it; a text chunk holds data's length."""
+    rows = max(1, -(-len(data) // WIDTH))
+    samples = np.zeros((rows, WIDTH + 1), dtype=np.uint8)  # the first column says that a row is not filtered
+    samples[:, 1:] = np.frombuffer(data.ljust(rows * WIDTH, b"\0"), dtype=np.uint8).reshape(rows, WIDTH)
+    head = struct.pack(">IIBBBBB", WIDTH, rows, 8, 0, 0, 0, 0)
+    return _SIGNATURE + _chunk(b"IHDR", head) + _chunk(b"tEXt", b"bytes\0%d" % len(data)) + _chunk(b"IDAT", zlib.compress(samples.tobytes(), 1)) + _chunk(b"IEND", b"")
+
+
+def from_image(stored: bytes) -> tuple[int, bytes]:
+    """Length of the data and the samples of an image that to_image made; every chunk's checksum is tested."""
+    if not stored.startswith(_SIGNATURE):
+        raise ValueError("not a PNG")
+    at, chunks = len(_SIGNATURE), {}
+    while at < len(stored):
+        (size,) = struct.unpack_from(">I", stored, at)
+        kind, data = stored[at + 4 : at + 8], stored[at + 8 : at + 8 + size]
+        if struct.unpack_from(">I", stored, at + 8 + size)[0] != zlib.crc32(kind + data):
+            raise ValueError("a chunk is damaged")
+        chunks[kind] = data
+        at += 12 + size
+    width, rows = struct.unpack_from(">II", chunks[b"IHDR"])
+    lines = np.frombuffer(zlib.decompress(chunks[b"IDAT"]), dtype=np.uint8).reshape(rows, width + 1)
+    if width != WIDTH or lines[:, 0].any():
+        raise ValueError("not an image of this module")
+    return int(chunks[b"tEXt"].partition(b"\0")[2]), lines[:, 1:].tobytes()
 
 
 def feature(samples: bytes) -> str:
@@ -88,8 +108,8 @@ def _write(batches, folder: str):
             if out is None:
                 name, index, at, count = f"{base}/{uuid.uuid4().hex}.tar", [], 0, 0
                 out = store.open_output_stream(name)
-            doc, media = doc.as_py(), to_pgm((text.as_py() or "").encode("utf-8", "surrogatepass"))
-            member = tarfile.TarInfo(f"{count:09d}-{doc}.pgm")
+            doc, media = doc.as_py(), to_image((text.as_py() or "").encode("utf-8", "surrogatepass"))
+            member = tarfile.TarInfo(f"{count:09d}-{doc}.png")
             member.size = len(media)
             head = member.tobuf(tarfile.USTAR_FORMAT)
             out.write(head)
@@ -206,7 +226,7 @@ def _described(batches):
         rows = []
         for doc, stored in zip(batch.column(0).to_pylist(), batch.column(1)):
             media = stored.as_py()
-            length, samples = from_pgm(media)
+            length, samples = from_image(media)
             rows.append((doc, length, len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-WIDTH:]), len(media), hashlib.sha256(media).hexdigest(), feature(samples)))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), _FEATURES.types)], schema=_FEATURES)

@@ -40,7 +40,7 @@ _FACTORS = _rng.integers(1, 2**63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np
 _SHIFTS = _rng.integers(0, 2**63, SAMPLES, dtype=np.uint64)
 _U = np.uint64
 #: Remembered word hashes of one worker.
-MOST_WORDS = 500_000
+MOST_WORDS = 150_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:

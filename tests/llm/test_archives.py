@@ -23,7 +23,7 @@ def test_media_round_trip(spark, docs):
     media.save_media(docs, folder)
     back = media.load_media(spark, folder, rangeBytes=2048)
     assert back.rdd.getNumPartitions() > 3
-    got = Counter((r.doc_id, media.from_pgm(bytes(r.media))[1][: media.from_pgm(bytes(r.media))[0]]) for r in back.collect())
+    got = Counter((r.doc_id, media.from_image(bytes(r.media))[1][: media.from_image(bytes(r.media))[0]]) for r in back.collect())
     assert got == Counter((i, (t or "").encode()) for i, t in ROWS)
     by = defaultdict(set)
     for r in media.describe(back).collect():
