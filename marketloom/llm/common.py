@@ -49,9 +49,9 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 def small_side(df: DataFrame, most_rows: int = 2_000_000) -> DataFrame:
     """df with a broadcast hint if a count shows at most most_rows rows, else unchanged (Spark then shuffles).
 
-    Meant for staged tables of a few fixed-width columns, so that the count is cheap and the size is bounded.
+    Meant for staged tables of a few fixed-width columns: the count reads little more than file footers, and the size is bounded.
     """
-    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+    return F.broadcast(df) if df.count() <= most_rows else df
 
 
 def text_or_empty(column: str = "text") -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import staged
+from marketloom.llm.common import small_side, staged
 
 
 def connected_components(edges: DataFrame, label: str = "cc") -> DataFrame:
@@ -13,13 +13,14 @@ def connected_components(edges: DataFrame, label: str = "cc") -> DataFrame:
 
     Each round, every root hooks to its smallest smaller neighbour, and the edges between roots are renamed and made distinct;
     the edge table shrinks until it is empty, in about log(longest path) rounds. Only minima are aggregated, so a node with
-    very many neighbours costs one row for each task. Every round's tables are written to the shared folder.
+very many neighbours costs one row for each task. Hooks are broadcast while a count shows them to be few. Every round's tables are written to the shared folder.
     """
     current = staged(edges.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).filter("low < high").distinct(), f"{label}-edges")
     nodes = current.select(F.explode(F.array("low", "high")).alias("node")).distinct().withColumn("component", F.col("node"))
     while not current.isEmpty():
         hooks = staged(current.groupBy("high").agg(F.min("low").alias("to")), f"{label}-hooks")
-        up = lambda name: hooks.select(F.col("high").alias(name), F.col("to").alias(f"{name}_to"))
+        side = small_side(hooks)
+        up = lambda name: side.select(F.col("high").alias(name), F.col("to").alias(f"{name}_to"))
         nodes = staged(nodes.join(up("component"), "component", "left").select("node", F.coalesce("component_to", "component").alias("component")), f"{label}-nodes")
         renamed = current.join(up("low"), "low", "left").join(up("high"), "high", "left").select(F.coalesce("low_to", "low").alias("a"), F.coalesce("high_to", "high").alias("b"))
         current = staged(renamed.filter("a <> b").select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct(), f"{label}-edges")
