@@ -13,7 +13,8 @@ def connected_components(edges: DataFrame, label: str = "cc") -> DataFrame:
 
     Each round, every root hooks to its smallest smaller neighbour, and the edges between roots are renamed and made distinct;
     the edge table shrinks until it is empty, in about log(longest path) rounds. Only minima are aggregated, so a node with
-very many neighbours costs one row for each task. Hooks are broadcast while a count shows them to be few. Every round's tables are written to the shared folder.
+    very many neighbours costs one row for each task. Hooks are broadcast while a count
+    shows them to be few. Every round's tables are written to the shared folder.
     """
     current = staged(edges.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).filter("low < high").distinct(), f"{label}-edges")
     nodes = current.select(F.explode(F.array("low", "high")).alias("node")).distinct().withColumn("component", F.col("node"))

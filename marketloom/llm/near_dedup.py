@@ -6,8 +6,8 @@ differ between two sketches estimate a high similarity closely, so most wrong ca
 
 1. In each band bucket the members are candidates with one hub (a member drawn by hash, another in each band): one pair for each
    member, never all pairs. Candidates whose sketches are close are confirmed on full sets; links join classes to components.
-2. In buckets that still hold several components, members outside the largest one are compared, sketch by sketch, with the bucket's
-   members of other components; close pairs are confirmed too. Pairs inside a component change nothing and are never compared.
+2. In buckets that still hold several components, members outside the largest one are compared, by finer sketches (1024 samples, 4096
+   bits), with the bucket's members of other components; close pairs are confirmed too. Pairs inside a component change nothing and are never compared.
 
 Two classes at similarity 0.85 share a band with probability 1 - 4e-7, and their sketches stay under the cut to more than 4
 standard deviations; both grow with the similarity. A link is only ever made by the exact sizes of full sets (of 64-bit hashes).
@@ -34,10 +34,12 @@ SAMPLES, BANDS, ROWS, BITS = 256, 25, 5, 1024
 SHARE = 85
 #: Most differing bits of two sketches of a pair at the threshold: its mean is about 71, a standard deviation about 10.
 MOST_BITS = 118
+#: Finer sketches of the members that are compared in step 2: samples, bits, and most differing bits (mean about 285, deviation 20).
+FINE_SAMPLES, FINE_BITS, MOST_FINE_BITS = 1024, 4096, 377
 
 _rng = np.random.Generator(np.random.PCG64(20240))
-_FACTORS = _rng.integers(1, 2**63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFTS = _rng.integers(0, 2**63, SAMPLES, dtype=np.uint64)
+_FACTORS = _rng.integers(1, 2**63, FINE_SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFTS = _rng.integers(0, 2**63, FINE_SAMPLES, dtype=np.uint64)
 _U = np.uint64
 #: Remembered word hashes of one worker.
 MOST_WORDS = 150_000
@@ -73,18 +75,20 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(_mix(_mix(_mix(h[:-2]) + h[1:-1]) + h[2:]))
 
 
-def samples(hashes: np.ndarray) -> np.ndarray:
-    out = np.full(SAMPLES, np.iinfo(np.uint64).max, dtype=np.uint64)
+def samples(hashes: np.ndarray, n: int = SAMPLES) -> np.ndarray:
+    """The first n MinHash samples of a set."""
+    out = np.full(n, np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(hashes), 2048):
-        np.minimum(out, (hashes[at : at + 2048][None, :] * _FACTORS[:, None] + _SHIFTS[:, None]).min(axis=1), out=out)
+        np.minimum(out, (hashes[at : at + 2048][None, :] * _FACTORS[:n, None] + _SHIFTS[:n, None]).min(axis=1), out=out)
     return out
 
 
-def odd_sketch(mins: np.ndarray) -> np.ndarray:
+def odd_sketch(mins: np.ndarray, n_bits: int = BITS) -> np.ndarray:
     """Parity bitmaps of rows of samples, as rows of 64-bit words."""
-    spots = (_mix(mins + np.arange(SAMPLES, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)) >> _U(40)) % _U(BITS)
-    bits = np.zeros((len(mins), BITS), dtype=np.uint8)
-    np.bitwise_xor.at(bits, (np.repeat(np.arange(len(mins)), SAMPLES), spots.astype(np.int64).ravel()), 1)
+    rows, n = mins.shape
+    spots = (_mix(mins + np.arange(n, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)) >> _U(40)) % _U(n_bits)
+    bits = np.zeros((rows, n_bits), dtype=np.uint8)
+    np.bitwise_xor.at(bits, (np.repeat(np.arange(rows), n), spots.astype(np.int64).ravel()), 1)
     return np.packbits(bits, axis=1, bitorder="little").view("<i8")
 
 
@@ -120,6 +124,18 @@ def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(body).alias("text_hash"), body.alias("text")).mapInArrow(_features, _FEATURES)
 
 
+_FINE_ARROW = pa.schema([("cls", pa.int64()), ("digest", pa.binary()), ("fine", pa.list_(pa.int64()))])
+
+
+def _fine(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, 128):
+            own = [shingle_set(x.as_py()) for x in batch.column(1).slice(at, 128)]
+            words = odd_sketch(np.array([samples(x, FINE_SAMPLES) for x in own]), FINE_BITS)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1) * (FINE_BITS // 64), pa.int32()), pa.array(np.ascontiguousarray(words).ravel(), pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 128), pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in own], pa.binary()), lists], schema=_FINE_ARROW)
+
+
 _SETS_ARROW = pa.schema([("cls", pa.int64()), ("digest", pa.binary()), ("hashes", pa.binary())])
 
 
@@ -142,22 +158,29 @@ def _linked(batches, share: int):
         yield batch.select([0, 1]).filter(pa.array(keep))
 
 
+def of_classes(wanted: DataFrame, docs: DataFrame, classes: DataFrame, make, schema: str, key: str, text: str, label: str) -> DataFrame:
+    """What make derives from the texts of some classes (wanted: cls, staged), one written row for each; schema has cls and digest."""
+    rows = docs.select(F.col(key).cast("long").alias("cls"), text_or_empty(text).alias("text")).join(small_side(wanted), "cls", "left_semi")
+    named = staged(classes.select("cls", "digest").join(small_side(wanted), "cls", "left_semi"), f"{label}-named")
+    # A row that repeats a class's id with another text is none of the class.
+    made = rows.mapInArrow(make, schema).join(small_side(named), ["cls", "digest"], "left_semi").drop("digest")
+    return staged(made, label)
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, share: int, key: str, text: str) -> DataFrame:
     """The pairs (a, b) whose full sets are linked. Sets are made again from the texts of the classes that occur in pairs."""
     wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "near-wanted")
-    ids = docs.select(F.col(key).cast("long").alias("cls"), text_or_empty(text).alias("text")).join(small_side(wanted), "cls", "left_semi")
-    named = classes.select("cls", "digest").join(wanted, "cls", "left_semi")
-    sets = staged(ids.mapInArrow(_sets, "cls long, digest binary, hashes binary").join(small_side(staged(named, "near-named")), ["cls", "digest"], "left_semi").drop("digest"), "near-sets")
+    sets = of_classes(wanted, docs, classes, _sets, "cls long, digest binary, hashes binary", key, text, "near-sets")
     side = lambda name: sets.select(F.col("cls").alias(name), F.col("hashes").alias(f"hashes_{name}"))
     joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "hashes_a", "hashes_b")
     return staged(joined.mapInArrow(partial(_linked, share=share), "a long, b long"), "near-links")
 
 
-def _close(a: str, b: str, share: int):
+def _close(a: str, b: str, share: int, sketch: str = "sketch", n_bits: int = BITS, most: int = MOST_BITS):
     """Sizes and sketches allow a link."""
-    bits = sum((F.bit_count(F.get(F.col(f"{a}.sketch"), F.lit(i)).bitwiseXOR(F.get(F.col(f"{b}.sketch"), F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
-    sizes = (100 * F.least(f"{a}.n", f"{b}.n") >= share * F.greatest(f"{a}.n", f"{b}.n"))
-    return sizes & (bits <= MOST_BITS)
+    bits = sum((F.bit_count(F.get(F.col(f"{a}.{sketch}"), F.lit(i)).bitwiseXOR(F.get(F.col(f"{b}.{sketch}"), F.lit(i)))) for i in range(n_bits // 64)), F.lit(0))
+    sizes = 100 * F.least(f"{a}.n", f"{b}.n") >= share * F.greatest(f"{a}.n", f"{b}.n")
+    return sizes & (bits <= most)
 
 
 def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", share: int = SHARE) -> DataFrame:
@@ -186,13 +209,15 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     per = named.groupBy("bucket", "component").agg(F.count("*").alias("m"))
     mixed = staged(per.groupBy("bucket").agg(F.max_by("component", F.struct("m", "component")).alias("major"), F.count("*").alias("k")).filter("k > 1").drop("k"), "near-mixed")
     loose = named.join(small_side(mixed), "bucket")
-    held = staged(loose.join(classes.select("cls", "n", "sketch", F.transform("bands", lambda x: F.hash(x)).alias("marks")), "cls"), "near-loose")
+    compared = staged(loose.select("cls").distinct(), "near-compared")
+    fine = of_classes(compared, docs, classes, _fine, "cls long, digest binary, fine array<long>", key, text, "near-fine")
+    held = staged(loose.join(fine.dropDuplicates(["cls"]), "cls").join(classes.select("cls", "n", F.transform("bands", lambda x: F.hash(x)).alias("marks")), "cls"), "near-loose")
     both = F.zip_with("x.marks", "y.marks", lambda p, q: p == q)
     # A pair is compared in the first band that it shares.
     once = F.element_at("x.marks", F.array_position(both, True).cast("int")) == F.hash("x.bucket")
     different = F.col("x.component") != F.col("y.component")
     order = (F.col("y.component") == F.col("y.major")) | (F.col("x.cls") < F.col("y.cls"))
-    rest = held.filter("component <> major").alias("x").join(held.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & different & order & _close("x", "y", share) & once)
+    rest = held.filter("component <> major").alias("x").join(held.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & different & order & _close("x", "y", share, "fine", FINE_BITS, MOST_FINE_BITS) & once)
     more = staged(rest.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "near-more")
     extra = confirmed(more, docs, classes, share, key, text)
     joined = links.union(extra)
