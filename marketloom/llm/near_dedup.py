@@ -169,7 +169,7 @@ def of_classes(wanted: DataFrame, docs: DataFrame, classes: DataFrame, make, sch
 
 def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, share: int, key: str, text: str) -> DataFrame:
     """The pairs (a, b) whose full sets are linked. Sets are made again from the texts of the classes that occur in pairs."""
-    wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "near-wanted")
+    wanted = staged(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct(), "near-wanted")
     sets = of_classes(wanted, docs, classes, _sets, "cls long, digest binary, hashes binary", key, text, "near-sets")
     side = lambda name: sets.select(F.col("cls").alias(name), F.col("hashes").alias(f"hashes_{name}"))
     joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "hashes_a", "hashes_b")
