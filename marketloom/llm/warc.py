@@ -92,7 +92,7 @@ def _write(batches, folder: str):
                 if want and digest.hexdigest() != want:
                     raise ValueError("a record's bytes differ from its digest")
                 at += out.write(b"\r\n\r\n")
-                if at - start >= RANGE:
+                if at - start >= RANGE or at >= ARCHIVE:
                     ranges.append((name, start, at))
                     start = at
                 if at >= ARCHIVE:

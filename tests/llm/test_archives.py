@@ -90,3 +90,21 @@ def test_warc_query(spark, sf):
         again = len(data) >= 100 and first[r.html] != r.page_id
         want.add((r.page_id, len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", first[r.html] if again else None))
     assert {tuple(r) for r in warc.op5_warc(spark, sf).collect()} == want
+
+
+def test_warc_archives_roll_over(spark, monkeypatch):
+    """Every page is read back when archives are full in the middle of a range (sizes are set in this process, so no task is used)."""
+    pages = spark.range(300).select(F.col("id").alias("page_id"), F.lit("http://a/").alias("url"), F.concat(F.repeat(F.lit("x"), F.col("id").cast("int") % 700), F.col("id").cast("string")).alias("html"))
+    batches = warc.chunk_table(pages, chunk=256).toArrow().to_batches()
+    monkeypatch.setattr(warc, "ARCHIVE", 5000)
+    monkeypatch.setattr(warc, "RANGE", 1500)
+    folder = shared_path(spark, "warc-rolled")
+    fs, base = warc.fs.FileSystem.from_uri(folder)
+    fs.create_dir(base, recursive=True)
+    manifest = list(warc._write(batches, folder))
+    assert len(manifest) > 10
+    payloads = defaultdict(bytes)
+    for batch in warc._read(manifest, folder, 200, True):
+        for r in batch.to_pylist():
+            payloads[r["page_id"]] += r["data"]
+    assert payloads == {i: (b"x" * (i % 700) + str(i).encode()) for i in range(300)}
