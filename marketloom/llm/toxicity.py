@@ -7,10 +7,14 @@ less than SLACK are within the counts' own noise and count as none. A text is co
 difference of the two log-likelihoods for each byte of its most toxic passage, calibrated to a probability, so that a few words
 count alike in a short text and in a very long one.
 
-Counts cover every labelled training row and are summed in Spark (tasks sum first). Of the counted 5-grams the MOST_NGRAMS most
-frequent ones that occur at least twice make the model, which bounds what is broadcast (about 20 MB). Labelled rows whose
-crc32(doc_id) mod 4 is 0 or 1 give counts and those with 3 the calibration, so it sees scores of texts that the model has not seen;
-rows with 2 are held out. Labels, language, source and id are no input of a score.
+Counts cover every labelled training row and every 5-gram of it, and are summed in Spark (tasks sum first); the model is a table of
+contexts that is worked out from them by equality joins and windows of at most 256 rows, and it grows with what was counted. Entries
+that can't change a score (no difference, in a context where unseen bytes have none either) are not written. A model of at most
+MOST_BROADCAST entries is broadcast (about 20 MB); a larger one stays a table, and texts meet it by a shuffle: texts are
+laid into blocks of about BLOCK bytes, the contexts of each block are joined to the model, and the block is scored with its own part of
+it. Both ways give the same differences. Labelled rows whose crc32(doc_id) mod 4 is 0 or 1 give counts and those with 3 the
+calibration, so it sees scores of texts that the model has not seen; rows with 2 are held out. Labels, language, source and id are no
+input of a score.
 
 Defined cases. Null and empty texts score as the calibration says of no evidence (difference 0). Repeated rows repeat. A doc_id with
 several labels is toxic if one of them is. Extra columns are not read. Without labels of both classes every score is the share of
@@ -19,17 +23,22 @@ toxic labels (0 without any). An empty table gives an empty result.
 
 from __future__ import annotations
 
+import uuid
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.window import Window
 
 from marketloom.llm.common import small_side, staged, table
 
 ORDER = 5
-MOST_NGRAMS = 1 << 19
+#: Entries of a model that is broadcast, and bytes of text that share one part of a larger model.
+MOST_BROADCAST = 1 << 19
+BLOCK = 4 << 20
 #: Discount of shared counts, and of a class's own counts.
 DISCOUNT, OWN_DISCOUNT = 0.75, 2.0
 SLACK = 2.0
@@ -87,52 +96,75 @@ class Table:
     def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Values (0 if absent) and the places of absent keys."""
         slots = self._slot(keys)
-        out = np.where(self.keys[slots] == keys, self.values[slots], np.float32(0))
-        left = np.flatnonzero(self.keys[slots] != keys)
+        empty = np.iinfo(np.uint64).max
+        found = self.keys[slots]
+        missed = found != keys
+        out = np.where(missed, np.float32(0), self.values[slots])
+        left = np.flatnonzero(missed & (found != empty))  # a search ends at a free slot
         for probe in range(1, self.probes):
             if not len(left):
                 break
             at = (slots[left] + probe) & ((1 << self.bits) - 1)
-            hit = self.keys[at] == keys[left]
+            found = self.keys[at]
+            hit = found == keys[left]
             out[left[hit]] = self.values[at[hit]]
-            left = left[~hit]
-        return out, left
+            missed[left[hit]] = False
+            left = left[~hit & (found != empty)]
+        return out, np.flatnonzero(missed)
+
+
+def continuation(grams: DataFrame) -> DataFrame:
+    """(gram, p): shared probability of a byte after the three before it, by Kneser-Ney continuation counts of all 5-grams."""
+    counts, longer = {}, grams.select(F.col("code").alias("gram"))
+    for width in range(ORDER - 1, 0, -1):
+        longer = counts[width] = longer.groupBy(F.col("gram").bitwiseAND((1 << 8 * width) - 1).alias("gram")).agg(F.count("*").alias("n"))
+    out = None
+    for width in range(1, ORDER):
+        w = Window.partitionBy(F.shiftright("gram", 8))  # at most 256 rows
+        c = counts[width].withColumns({"total": F.sum("n").over(w), "kinds": F.count("*").over(w)})
+        if out is None:
+            c = c.withColumn("lower", F.lit(1 / 256))
+        else:
+            lower = out.select(F.col("gram").alias("short"), F.col("p").alias("lower"))
+            # Grams of one or two bytes: at most 65,536 rows.
+            c = c.join(F.broadcast(lower) if width <= 3 else lower, F.col("gram").bitwiseAND((1 << 8 * (width - 1)) - 1) == F.col("short"))
+        out = c.select("gram", (F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) / F.col("total") + DISCOUNT * F.col("kinds") / F.col("total") * F.col("lower")).alias("p"))
+    return out
+
+
+def model_table(grams: DataFrame) -> DataFrame:
+    """(context, unseen, codes, differences): one row for each context that can change a score.
+
+    grams: code, n_toxic, n_plain. unseen is the difference of a byte that was not seen after the context, codes are 5-grams that were.
+    """
+    w = Window.partitionBy("context")  # at most 256 rows
+    g = grams.withColumns({"context": F.shiftright("code", 8), "gram": F.col("code").bitwiseAND((1 << 8 * (ORDER - 1)) - 1)}).join(continuation(grams), "gram")
+    pooled = F.col("n_toxic") + F.col("n_plain")
+    total, kinds = F.sum(pooled).over(w), F.count("*").over(w)
+    g = g.withColumn("shared", F.greatest(pooled - DISCOUNT, F.lit(0.0)) / total + DISCOUNT * kinds / total * F.col("p"))
+    for n in ("n_toxic", "n_plain"):
+        own, cut = F.sum(n).over(w), F.least(F.col(n), F.lit(OWN_DISCOUNT))
+        # A context that the class has not seen leaves everything to the shared part.
+        g = g.withColumn(f"gap_{n}", F.when(own > 0, F.sum(cut).over(w) / F.greatest(own, F.lit(1))).otherwise(1.0))
+        g = g.withColumn(f"log_{n}", F.ln((F.col(n) - cut) / F.greatest(own, F.lit(1)) + F.col(f"gap_{n}") * F.col("shared")))
+    slack = lambda x: (F.signum(x) * F.greatest(F.abs(x) - SLACK, F.lit(0.0))).cast("float")
+    g = g.select("context", "code", slack(F.col("log_n_toxic") - F.col("log_n_plain")).alias("seen"), slack(F.ln("gap_n_toxic") - F.ln("gap_n_plain")).alias("unseen"))
+    rows = g.filter("seen <> 0 or unseen <> 0").groupBy("context").agg(F.max("unseen").alias("unseen"), F.collect_list(F.struct("code", "seen")).alias("x"))
+    return rows.select("context", "unseen", F.col("x.code").alias("codes"), F.col("x.seen").alias("differences"))
+
+
+def _flat(x) -> np.ndarray:
+    return (x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x).flatten().to_numpy(zero_copy_only=False)
 
 
 class Model:
-    """Log-likelihood differences of 5-grams (toxic minus ordinary), and of unseen bytes after a context."""
-
-    def __init__(self, code: np.ndarray, toxic: np.ndarray, plain: np.ndarray):
-        order = np.argsort(code)
-        code, toxic, plain = code[order].astype(np.uint64), toxic[order].astype(float), plain[order].astype(float)
-        context, at = np.unique(code >> _U(8), return_inverse=True)
-        sums = lambda x: np.bincount(at, weights=x, minlength=len(context))
-        pooled, logs, gaps = toxic + plain, [], []
-        total, kinds = sums(pooled), sums(pooled > 0)
-        shared = np.maximum(pooled - DISCOUNT, 0) / total[at] + DISCOUNT * kinds[at] / total[at] * self._continuation(code)
-        for n in (toxic, plain):
-            total, cut = sums(n), np.minimum(n, OWN_DISCOUNT)
-            # A context that the class has not seen leaves everything to the shared part.
-            gap = np.where(total > 0, sums(cut) / np.maximum(total, 1), 1.0)
-            logs.append(np.log((n - cut) / np.maximum(total[at], 1) + gap[at] * shared))
-            gaps.append(np.log(gap))
-        slack = lambda x: (np.sign(x) * np.maximum(np.abs(x) - SLACK, 0)).astype(np.float32)
-        self.seen = Table(code, slack(logs[0] - logs[1]))
-        self.unseen = Table(context, slack(gaps[0] - gaps[1]))
-
-    @staticmethod
-    def _continuation(code: np.ndarray) -> np.ndarray:
-        """Shared probability of each 5-gram's last byte after its last three, two, one and no bytes, by continuation counts."""
-        out = np.full(len(code), 1 / 256)
-        for width in range(1, ORDER):
-            kept = _U((1 << 8 * width) - 1)
-            longer = np.unique(code & _U((1 << 8 * (width + 1)) - 1))
-            gram, n = np.unique(longer & kept, return_counts=True)
-            context, at = np.unique(gram >> _U(8), return_inverse=True)
-            total, kinds = np.bincount(at, weights=n), np.bincount(at)
-            mine = np.searchsorted(gram, code & kept)
-            out = np.maximum(n[mine] - DISCOUNT, 0) / total[at[mine]] + DISCOUNT * kinds[at[mine]] / total[at[mine]] * out
-        return out
+    """Log-likelihood differences of 5-grams (toxic minus ordinary), and of unseen bytes after a context, of rows of a model table."""
+
+    def __init__(self, rows: pa.Table):
+        context, at = np.unique(rows["context"].to_numpy().astype(np.uint64), return_index=True)
+        code, seen = np.unique(_flat(rows["codes"]).astype(np.uint64), return_index=True)
+        self.seen = Table(code, _flat(rows["differences"])[seen].astype(np.float32))
+        self.unseen = Table(context, rows["unseen"].to_numpy()[at].astype(np.float32))
 
     def difference(self, text: str | None) -> float:
         """log P(toxic) - log P(ordinary) for each byte of the passage where it is largest."""
@@ -143,10 +175,54 @@ class Model:
         return float(np.add.reduceat(values, np.arange(0, len(values), PASSAGE), dtype=np.float64).max() / PASSAGE) if text else 0.0
 
 
+def _replaced(batch, model: Model):
+    """A batch with its last column, a text, replaced by its difference."""
+    values = pa.array([model.difference(x.as_py()) for x in batch.column(batch.num_columns - 1)], pa.float64())
+    return [*(batch.column(i) for i in range(batch.num_columns - 1)), values], [*batch.schema.names[:-1], "__difference"]
+
+
 def _differences(batches, model):
     for batch in batches:
-        values = [model.value.difference(x.as_py()) for x in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.float64())], names=["doc_id", "difference"])
+        yield pa.RecordBatch.from_arrays(*_replaced(batch, model.value))
+
+
+def _blocks(batches, most: int):
+    """Batches with the name of a block of texts put first."""
+    name, held = uuid.uuid4().hex, 0
+    for batch in batches:
+        names = []
+        for text in batch.column(batch.num_columns - 1):
+            if held >= most:
+                name, held = uuid.uuid4().hex, 0
+            names.append(name)
+            held += 200 + (text.as_buffer().size if text.is_valid else 0)
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *batch.columns], names=["__block", *batch.schema.names])
+
+
+def _contexts(batches):
+    for batch in batches:
+        held: dict[str, list] = {}
+        for block, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            held.setdefault(block, []).append(np.unique(codes(text.as_py()) >> _U(8)))
+        for block, parts in held.items():
+            context = np.unique(np.concatenate(parts)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([block] * len(context), pa.string()), pa.array(context)], names=["__block", "context"])
+
+
+def differences(rows: DataFrame, model) -> DataFrame:
+    """rows with their last column, a text, replaced by __difference; model is a broadcast Model or a model table."""
+    schema = StructType([*rows.schema.fields[:-1], StructField("__difference", DoubleType())])
+    if not isinstance(model, DataFrame):
+        return rows.mapInArrow(partial(_differences, model=model), schema)
+    # Written once, so that a block keeps its name.
+    named = staged(rows.mapInArrow(partial(_blocks, most=BLOCK), StructType([StructField("__block", StringType()), *rows.schema.fields])), "toxic-blocks")
+    asked = named.select("__block", F.col(f"`{rows.columns[-1]}`")).mapInArrow(_contexts, "__block string, context long")
+    parts = asked.join(model, "context")
+
+    def scored(texts: pa.Table, part: pa.Table) -> pa.Table:
+        return pa.Table.from_arrays(*_replaced(texts.drop_columns(["__block"]), Model(part)))
+
+    return named.groupBy("__block").cogroup(parts.groupBy("__block")).applyInArrow(scored, schema)
 
 
 def remainder(key: str = "doc_id"):
@@ -154,20 +230,20 @@ def remainder(key: str = "doc_id"):
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text"):
-    """A broadcast Model and its calibration (slope, offset) from the labelled rows that may be learned from."""
+    """A model (broadcast, or its table) and its calibration (slope, offset) from the labelled rows that may be learned from."""
     spark = docs.sparkSession
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("__toxic"))
     known = staged(known.withColumn("__part", remainder().cast("int")).filter("__part <> 2"), "toxic-labels")
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).join(small_side(known), "doc_id")
     counted = rows.filter("__part < 2").select("__toxic", "text").mapInArrow(_count, "code long, n_toxic long, n_plain long")
-    grams = counted.groupBy("code").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_plain").alias("n_plain")).filter("n_toxic + n_plain >= 2")
-    top = grams.orderBy(F.desc(F.col("n_toxic") + F.col("n_plain")), "code").limit(MOST_NGRAMS).toArrow()
+    grams = staged(counted.groupBy("code").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_plain").alias("n_plain")), "toxic-grams")
     share = known.agg(F.avg("__toxic")).first()[0] or 0.0
-    arrays = [top[c].to_numpy() for c in ("code", "n_toxic", "n_plain")]
-    if not len(arrays[0]) or not arrays[1].any() or not arrays[2].any():
+    if not all(grams.agg(F.sum("n_toxic"), F.sum("n_plain")).first()):
         return None, (0.0, float(np.log((share + 1e-9) / (1 - share + 1e-9))))
-    model = spark.sparkContext.broadcast(Model(*arrays))
-    later = rows.filter("__part = 3").select("__toxic", "text").mapInArrow(partial(_differences, model=model), "doc_id int, difference double")
+    model = staged(model_table(grams), "toxic-model")
+    if (model.agg(F.sum(F.size("codes") + 1)).first()[0] or 0) <= MOST_BROADCAST:
+        model = spark.sparkContext.broadcast(Model(model.toArrow()))
+    later = differences(rows.filter("__part = 3").select(F.col("__toxic").alias("doc_id"), "text"), model).withColumnRenamed("__difference", "difference")
     place = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((F.col("difference") + SPAN) / (2 * SPAN) * BINS)))
     bins = later.groupBy(place.alias("bin"), F.col("doc_id").alias("toxic")).count().collect()  # at most 2 * BINS rows
     return model, calibrated(bins, share)
@@ -197,7 +273,7 @@ def score(docs: DataFrame, model, curve: tuple[float, float], key: str = "doc_id
     if model is None:
         out = rows.select("doc_id", F.lit(0.0).alias("difference"))
     else:
-        out = rows.mapInArrow(partial(_differences, model=model), "doc_id long, difference double")
+        out = differences(rows, model).withColumnRenamed("__difference", "difference")
     z = F.greatest(F.lit(-40.0), F.least(F.lit(40.0), F.lit(curve[0]) * F.col("difference") + F.lit(curve[1])))
     return out.select("doc_id", (1 / (1 + F.exp(-z))).alias("score"))
 
@@ -208,18 +284,11 @@ def op9_toxicity(spark, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (remainder() == 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
-def _passed(batches, model, curve: tuple[float, float], threshold: float):
-    limit = (np.log(threshold / (1 - threshold)) - curve[1])
-    for batch in batches:
-        text = batch.column(batch.num_columns - 1)
-        below = [curve[0] * model.value.difference(x.as_py()) < limit for x in text]
-        yield batch.select(range(batch.num_columns - 1)).filter(pa.array(below, pa.bool_()))
-
-
 def keep_ordinary(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs with a score below the threshold, with the columns of docs."""
     model, curve = train(docs, labels, key, text)
     if model is None:
         return docs if 1 / (1 + np.exp(-curve[1])) < threshold else docs.limit(0)
-    held = docs.select("*", F.col(f"`{text}`").alias("__text"))
-    return held.mapInArrow(partial(_passed, model=model, curve=curve, threshold=threshold), docs.schema)
+    limit = float(np.log(threshold / (1 - threshold)) - curve[1])
+    held = differences(docs.select("*", F.col(f"`{text}`").alias("__text")), model)
+    return held.filter(F.lit(curve[0]) * F.col("__difference") < limit).drop("__difference")

@@ -177,3 +177,65 @@ def test_pipeline(spark, sf):
     text = dict(rows)
     assert sizes == {i: n * (len(brute_ids(text[i])) + 1) for i, n in reads.items()}
     assert len({r.sequence_id for r in out}) == len(out) and packing.MOST == 2048
+
+
+def brute_model(texts: list[tuple[int, str]]) -> dict:
+    """Slack differences of 5-grams and, by 4-gram, of unseen bytes; every 5-gram counts."""
+    n = [Counter(), Counter()]
+    for toxic, text in texts:
+        n[1 - toxic].update(toxicity.codes(text).tolist())
+    every = set(n[0]) | set(n[1])
+    low = {w: {c & ((1 << 8 * w) - 1) for c in every} for w in range(1, 6)}
+    p = {0: 1 / 256}
+    shared = {0: p}
+    for w in range(1, 5):
+        count = Counter(c & ((1 << 8 * w) - 1) for c in low[w + 1])
+        total, kinds = Counter(), Counter(c >> 8 for c in count)
+        for c, k in count.items():
+            total[c >> 8] += k
+        shared[w] = {c: max(k - 0.75, 0) / total[c >> 8] + 0.75 * kinds[c >> 8] / total[c >> 8] * shared[w - 1][c & ((1 << 8 * (w - 1)) - 1)] for c, k in count.items()}
+    slack = lambda x: math.copysign(max(abs(x) - 2.0, 0), x)
+    both = n[0] + n[1]
+    by = Counter()
+    for c in every:
+        by[c >> 8] += both[c]
+    kinds = Counter(c >> 8 for c in every)
+    own, cuts = [Counter(), Counter()], [Counter(), Counter()]
+    for k in (0, 1):
+        for c in n[k]:
+            own[k][c >> 8] += n[k][c]
+            cuts[k][c >> 8] += min(n[k][c], 2.0)
+    gap = lambda k, x: cuts[k][x] / own[k][x] if own[k][x] else 1.0
+    out = {}
+    for c in every:
+        x = c >> 8
+        s = max(both[c] - 0.75, 0) / by[x] + 0.75 * kinds[x] / by[x] * shared[4][c & 0xFFFFFFFF]
+        logs = [math.log((n[k][c] - min(n[k][c], 2.0)) / max(own[k][x], 1) + gap(k, x) * s) for k in (0, 1)]
+        out[c] = slack(logs[0] - logs[1])
+        out[x, "unseen"] = slack(math.log(gap(0, x)) - math.log(gap(1, x)))
+    return out
+
+
+def test_model_keeps_every_ngram(labelled, monkeypatch):
+    """Differences equal the formula over all 5-grams, whether the model is broadcast or a table that is larger than may be broadcast."""
+    docs, labels = labelled
+    toxic = {r.doc_id: r.toxic for r in labels.collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    want = brute_model([(toxic[i], t) for i, t in texts.items() if i in toxic and zlib.crc32(str(i).encode()) % 4 < 2])
+    value = lambda c: want[c] if c in want else want.get((c >> 8, "unseen"), 0.0)
+    scores = []
+    for most in (toxicity.MOST_BROADCAST, 100):
+        monkeypatch.setattr(toxicity, "MOST_BROADCAST", most)
+        monkeypatch.setattr(toxicity, "BLOCK", 20_000)
+        model, curve = toxicity.train(docs, labels)
+        assert (most == 100) == isinstance(model, type(docs))
+        got = {r.doc_id: r["__difference"] for r in toxicity.differences(docs.select("doc_id", "text"), model).collect()}
+        assert len(got) == len(texts) and got[9000] == got[9001] == 0
+        for i in list(texts)[:60]:
+            grams = toxicity.codes(texts[i]).tolist()
+            best = max(sum(map(value, grams[k : k + 256])) for k in range(0, len(grams), 256)) / 256
+            assert abs(got[i] - best) < 1e-5
+        scores.append({r.doc_id: r.score for r in toxicity.score(docs, model, curve).collect()})
+        if most == 100:
+            assert {r.doc_id for r in toxicity.keep_ordinary(docs, labels).collect()} == {i for i, s in scores[-1].items() if s < 0.3}
+    assert all(abs(scores[0][i] - scores[1][i]) < 1e-6 for i in texts)
