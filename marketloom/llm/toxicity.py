@@ -3,7 +3,7 @@
 Two models of byte 5-grams, one of toxic and one of ordinary labelled texts, discount their own counts and back off to one
 distribution that both share: 5-grams of both classes together, which back off to the Kneser-Ney continuation counts of shorter
 contexts. Where a class has hardly seen an expression the shared part decides, so rare expressions weigh little. Differences of
-less than SLACK are within the counts' own noise and count as none. A text is compared in passages of PASSAGE bytes: the score is the
+less than SLACK are within the counts' own noise and count as none. A text is compared in passages of PASSAGE bytes, one from every byte on: the score is the
 difference of the two log-likelihoods for each byte of its most toxic passage, calibrated to a probability, so that a few words
 count alike in a short text and in a very long one.
 
@@ -172,7 +172,12 @@ class Model:
         values, left = self.seen.get(grams)
         if len(left):
             values[left] = self.unseen.get(grams[left] >> _U(8))[0]
-        return float(np.add.reduceat(values, np.arange(0, len(values), PASSAGE), dtype=np.float64).max() / PASSAGE) if text else 0.0
+        if not text:
+            return 0.0
+        # Every passage, also those that reach over an end.
+        sums = np.concatenate([np.zeros(PASSAGE), np.cumsum(values, dtype=np.float64)])
+        sums = np.concatenate([sums, np.full(PASSAGE - 1, sums[-1])])
+        return float((sums[PASSAGE:] - sums[:-PASSAGE]).max() / PASSAGE)
 
 
 def _replaced(batch, model: Model):

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -233,9 +234,24 @@ def test_model_keeps_every_ngram(labelled, monkeypatch):
         assert len(got) == len(texts) and got[9000] == got[9001] == 0
         for i in list(texts)[:60]:
             grams = toxicity.codes(texts[i]).tolist()
-            best = max(sum(map(value, grams[k : k + 256])) for k in range(0, len(grams), 256)) / 256
+            worth = [value(c) for c in grams]
+            best = max(sum(worth[max(0, k) : k + 256]) for k in range(-255, len(grams))) / 256
             assert abs(got[i] - best) < 1e-5
         scores.append({r.doc_id: r.score for r in toxicity.score(docs, model, curve).collect()})
         if most == 100:
             assert {r.doc_id for r in toxicity.keep_ordinary(docs, labels).collect()} == {i for i, s in scores[-1].items() if s < 0.3}
     assert all(abs(scores[0][i] - scores[1][i]) < 1e-6 for i in texts)
+
+
+def test_passages_from_every_byte():
+    """An expression counts in full wherever it lies in a text."""
+    bad, pad = "grumblesnark", "x"
+    code = np.unique(toxicity.codes(f"{pad * 9}{bad}{pad * 9}"))
+    code = code[[pad * 5 != int(c).to_bytes(5, "big").decode(errors="replace") for c in code]]
+    none = pa.array([], pa.int64())
+    model = toxicity.Model(pa.table({"context": none, "unseen": pa.array([], pa.float32()), "codes": pa.array([], pa.list_(pa.int64())), "differences": pa.array([], pa.list_(pa.float32()))}))
+    inner = [int(c) for c in code if b"\n" not in int(c).to_bytes(5, "big")]
+    model.seen = toxicity.Table(np.array(inner, dtype=np.uint64), np.ones(len(inner), dtype=np.float32))
+    got = {model.difference(pad * k + bad + pad * 600) for k in range(4, 600, 3)}
+    assert got == {len(inner) / 256}
+    assert model.difference(pad * 4 + bad) < len(inner) / 256 and model.difference("") == 0
