@@ -12,9 +12,12 @@ differ between two sketches estimate a high similarity closely, so most wrong ca
 Two classes at similarity 0.85 share a band with probability 1 - 4e-7, and their sketches stay under the cut to more than 4
 standard deviations; both grow with the similarity. A link is only ever made by the exact sizes of full sets (of 64-bit hashes).
 
+Broadcasts hold only ids and keys and are bounded in bytes (common.small_side); beyond the bound the same joins shuffle.
+
 Defined cases. A document with fewer than three words is one shingle; without words (or null) it has an empty set and is linked with
-nothing. Repeated rows and equal texts fall into one class. Ties do not occur: components are named by their smallest id. Extra
-columns are not read. An empty table gives an empty result.
+nothing. Repeated rows and equal texts fall into one class. Ties do not occur: components are named by their smallest id. A null id
+is linked like any other, and a component is named by its smallest id that isn't null; one of null ids only has a null name. Very long
+texts are hashed in blocks. Extra columns are not read, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -121,7 +124,7 @@ def _features(batches):
 
 def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     body = text_or_empty(text)
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(body).alias("text_hash"), body.alias("text")).mapInArrow(_features, _FEATURES)
+    return docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.xxhash64(body).alias("text_hash"), body.alias("text")).mapInArrow(_features, _FEATURES)
 
 
 _FINE_ARROW = pa.schema([("cls", pa.int64()), ("digest", pa.binary()), ("fine", pa.list_(pa.int64()))])
@@ -159,12 +162,16 @@ def _linked(batches, share: int):
 
 
 def of_classes(wanted: DataFrame, docs: DataFrame, classes: DataFrame, make, schema: str, key: str, text: str, label: str) -> DataFrame:
-    """What make derives from the texts of some classes (wanted: cls, staged), one written row for each; schema has cls and digest."""
-    rows = docs.select(F.col(key).cast("long").alias("cls"), text_or_empty(text).alias("text")).join(small_side(wanted), "cls", "left_semi")
-    named = staged(classes.select("cls", "digest").join(small_side(wanted), "cls", "left_semi"), f"{label}-named")
-    # A row that repeats a class's id with another text is none of the class.
-    made = rows.mapInArrow(make, schema).join(small_side(named), ["cls", "digest"], "left_semi").drop("digest")
-    return staged(made, label)
+    """What make derives from the texts of some classes (wanted: cls, staged), one written row for each; schema has cls and digest.
+
+    A class's text is that of one row: its id and its text's hash. Where equal rows come, one of them stays.
+    """
+    named = staged(classes.join(small_side(wanted), "cls", "left_semi").select("cls", "doc_id", "text_hash", "digest"), f"{label}-named")
+    side = small_side(named.select("cls", F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")))
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), text_or_empty(text).alias("text")).withColumn("hash", F.xxhash64("text"))
+    found = rows.join(side, F.col("id").eqNullSafe(F.col("__id")) & (F.col("hash") == F.col("__hash"))).select("cls", "text")
+    made = found.mapInArrow(make, schema).join(small_side(named.select("cls", "digest")), ["cls", "digest"], "left_semi")
+    return staged(made.dropDuplicates(["cls", "digest"]).drop("digest"), label)
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, share: int, key: str, text: str) -> DataFrame:
@@ -183,15 +190,19 @@ def _close(a: str, b: str, share: int, sketch: str = "sketch", n_bits: int = BIT
     return sizes & (bits <= most)
 
 
-def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", share: int = SHARE) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, component_id) of every row.
+def classified(docs: DataFrame, key: str = "doc_id", text: str = "text", share: int = SHARE) -> tuple[DataFrame, DataFrame]:
+    """(rows, names): rows has doc_id, text_hash, n_shingles and digest of every row; names has digest, component_id and lead of every
+    set that isn't empty. lead is the text hash of the row that stands for a component without any id, in that row's own set.
 
     share: percent of the union that two linked sets have in common (85 or more: bands and the sketch's cut are made for it).
     """
     rows = staged(features(docs, key, text), "near-features")
     full = rows.filter("n_shingles > 0")
-    first = full.groupBy("digest").agg(F.min(F.struct("doc_id", F.col("n_shingles").alias("n"), "sketch", "bands")).alias("x"))
-    classes = staged(first.select("digest", F.col("x.doc_id").alias("cls"), "x.n", "x.sketch", "x.bands"), "near-classes")
+    # Ids that aren't null first.
+    first = full.groupBy("digest").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_hash", F.col("n_shingles").alias("n"), "sketch", "bands")).alias("x"))
+    # A class is numbered by its id, or by a hash of its digest where all its ids are null.
+    number = F.coalesce(F.col("x.doc_id"), F.xxhash64("digest")).alias("cls")
+    classes = staged(first.select("digest", number, "x.doc_id", "x.text_hash", "x.n", "x.sketch", "x.bands"), "near-classes")
 
     buckets = classes.select("cls", F.explode("bands").alias("bucket"))
     shared = staged(buckets.groupBy("bucket").agg(F.count("*").alias("m"), F.min_by("cls", F.xxhash64("cls", "bucket")).alias("hub")).filter("m > 1").drop("m"), "near-buckets")
@@ -211,10 +222,10 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     loose = named.join(small_side(mixed), "bucket")
     compared = staged(loose.select("cls").distinct(), "near-compared")
     fine = of_classes(compared, docs, classes, _fine, "cls long, digest binary, fine array<long>", key, text, "near-fine")
-    held = staged(loose.join(fine.dropDuplicates(["cls"]), "cls").join(classes.select("cls", "n", F.transform("bands", lambda x: F.hash(x)).alias("marks")), "cls"), "near-loose")
+    held = staged(loose.join(fine, "cls").join(classes.select("cls", "n", F.col("bands").alias("marks")), "cls"), "near-loose")
     both = F.zip_with("x.marks", "y.marks", lambda p, q: p == q)
     # A pair is compared in the first band that it shares.
-    once = F.element_at("x.marks", F.array_position(both, True).cast("int")) == F.hash("x.bucket")
+    once = F.element_at("x.marks", F.array_position(both, True).cast("int")) == F.col("x.bucket")
     different = F.col("x.component") != F.col("y.component")
     order = (F.col("y.component") == F.col("y.major")) | (F.col("x.cls") < F.col("y.cls"))
     rest = held.filter("component <> major").alias("x").join(held.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & different & order & _close("x", "y", share, "fine", FINE_BITS, MOST_FINE_BITS) & once)
@@ -223,8 +234,23 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     joined = links.union(extra)
     found = connected_components(joined) if not extra.isEmpty() else found
 
-    final = classes.select("digest", "cls").join(found.withColumnRenamed("node", "cls"), "cls", "left").select("digest", F.coalesce("component", "cls").alias("component_id"))
-    return rows.select("doc_id", "text_hash", "n_shingles", "digest").join(final, "digest", "left").select("doc_id", "text_hash", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    held = classes.select("digest", "cls", "doc_id", "text_hash").join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    names = held.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.min(F.struct("digest", "text_hash")).alias("lead"))
+    lead = F.when(F.col("component_id").isNull() & (F.col("digest") == F.col("lead.digest")), F.col("lead.text_hash"))
+    return rows.select("doc_id", "text_hash", "n_shingles", "digest"), held.select("digest", "component").join(names, "component").select("digest", "component_id", lead.alias("lead"))
+
+
+def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", share: int = SHARE) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id, stays) of every row; component_id is null where no row of the component has an id.
+
+    stays: the row stands for its component: it has the component's id, or (in one without any id) the text that leads it, or no words.
+    """
+    rows, names = classified(docs, key, text, share)
+    out = rows.join(names, "digest", "left")
+    lone = F.col("n_shingles") == 0
+    component = F.when(lone, F.col("doc_id")).otherwise(F.col("component_id"))
+    stays = lone | (F.col("doc_id") == F.col("component_id")) | (F.col("doc_id").isNull() & (F.col("text_hash") == F.col("lead")))
+    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.coalesce(stays, F.lit(False)).alias("stays"))
 
 
 def op8_near_dedup(spark, sf_dir: str) -> DataFrame:
@@ -233,15 +259,16 @@ def op8_near_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that name their component, one for each; all columns of docs.
+    """The rows of docs that stand for their component, one for each; all columns of docs, whatever their names.
 
-    Rows of documents without words stay. Where rows repeat, one of each (id, text) stays.
+    That is the row with the smallest id; where no row of a component has an id, one row of one of its texts. Rows of documents
+    without words all stay. Where rows repeat (in id and text), one of them stays.
     """
-    marked = near_components(docs, key, text).filter("doc_id = component_id").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"))
-    marked = staged(marked, "near-kept")
-    held = docs.withColumns({"__id": F.col(key).cast("long"), "__hash": F.xxhash64(text_or_empty(text))})
-    on = (F.col("__id") == F.col("doc_id__")) & (F.col("__hash") == F.col("text_hash__"))
-    ids = marked.select(F.col("doc_id").alias("doc_id__"), F.col("text_hash").alias("text_hash__"), "n")
-    single = held.join(small_side(ids.filter("n = 1").drop("n")), on, "left_semi")
-    again = held.join(small_side(ids.filter("n > 1").drop("n")), on, "left_semi").dropDuplicates(["__id", "__hash"])
-    return single.unionByName(again).drop("__id", "__hash")
+    staying = near_components(docs, key, text).filter("stays and n_shingles > 0").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"))
+    staying = staged(staying, "near-kept")
+    body = text_or_empty(text)
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(f"`{key}`").cast("long").alias("__id"), F.xxhash64(body).alias("__hash"), F.regexp_like(body, F.lit(r"[^\x20\x09-\x0D]")).alias("__words"))
+    on = F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__hash") == F.col("text_hash"))
+    single = held.filter("__words").join(small_side(staying.filter("n = 1").drop("n")), on, "left_semi")
+    again = held.filter("__words").join(small_side(staying.filter("n > 1").drop("n")), on, "left_semi").dropDuplicates(["__id", "__hash"])
+    return single.union(again).union(held.filter("not __words")).select("__row.*")

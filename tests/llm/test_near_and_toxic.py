@@ -89,6 +89,54 @@ def test_near_empty(spark):
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.near_components(only).collect()} == {(1, 0, 1), (2, 0, 2)}
 
 
+def test_near_null_ids_and_clashing_names(spark):
+    """Null ids are linked like others and name nothing; keep_one leaves one row of each component and every column."""
+    same, near, alone, none = "a b c d e f g h i j", " ".join(f"n{i}" for i in range(60)), "only null ids have this text here", "another one of null ids only today"
+    rows = [(1, same), (2, same), (None, same), (3, near), (None, near + " tail"), (4, near + " tail end"), (None, alone), (None, alone), (None, none), (None, ""), (5, None), (None, " ")]
+    docs = spark.createDataFrame([(*r, "x", b"y", i) for i, r in enumerate(rows)], "doc_id long, text string, __id string, __hash binary, n long")
+    got = {(r.doc_id, r.text_hash): r.component_id for r in near_dedup.near_components(docs).collect()}
+    ids = {i: c for (i, _), c in got.items() if i is not None}
+    assert ids == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5}
+    assert sorted((c is None, c or 0) for (i, _), c in got.items() if i is None) == [(False, 1), (False, 3), (True, 0), (True, 0), (True, 0), (True, 0)]
+    kept = near_dedup.keep_one(docs)
+    assert kept.columns == docs.columns
+    left = kept.collect()
+    assert sorted(r.text or "" for r in left) == sorted([same, near, alone, none, "", "", " "])
+    assert {r.doc_id for r in left} == {1, 3, 5, None} and all(r["__id"] == "x" and r["__hash"] == b"y" for r in left)
+
+
+def test_near_ties_and_repeats(spark, monkeypatch):
+    """Repeated rows, one id with two texts, and joins that shuffle where sides are broadcast elsewhere."""
+    long = " ".join(f"k{i}" for i in range(100))
+    rows = [(1, long), (1, long), (1, "quite another text of six words"), (2, long + " z"), (3, "quite another text of six words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    from marketloom.llm import common
+
+    for most in (common.MOST_BROADCAST_BYTES, 0):
+        monkeypatch.setattr(near_dedup, "small_side", lambda df, most=most: common.small_side(df, most))
+        got = near_dedup.near_components(docs).collect()
+        assert len(got) == 5 and all(r.component_id == 1 for r in got)
+        assert sorted(r.text for r in near_dedup.keep_one(docs).collect()) == sorted([long, "quite another text of six words"])
+
+
+def test_near_recall_on_given_tables(spark):
+    """All links of a given table, worked out by an inverted index of shingles, give the same components."""
+    sf = "/root/testdata/sf0.01"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    sets, by, groups = {}, defaultdict(list), Groups()
+    for i, t in rows:
+        sets[i] = shingles(t)
+        groups.find(i)
+        common = Counter(j for x in sets[i] for j in by[x])
+        for j, n in common.items():
+            if 100 * n >= 85 * (len(sets[i]) + len(sets[j]) - n):
+                groups.join(i, j)
+        for x in sets[i]:
+            by[x].append(i)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.op8_near_dedup(spark, sf).collect()}
+    assert got == {i: (len(s), groups.find(i)) for i, s in sets.items()}
+
+
 def test_odd_sketch_estimates():
     rng = np.random.default_rng(2)
     for share in (0.95, 0.85, 0.7):
@@ -147,15 +195,37 @@ def test_toxicity_without_labels(labelled):
     assert toxicity.score(docs.limit(0), *toxicity.train(docs, labels)).count() == 0
 
 
-def test_model_tables_by_brute_force():
-    """Table lookups equal a plain dictionary; a model's differences equal the formula worked out one 5-gram at a time."""
+def test_tables_equal_dictionaries():
     rng = np.random.default_rng(1)
     keys = np.unique(rng.integers(0, 2**40, 5000, dtype=np.uint64))
     t = toxicity.Table(keys, np.arange(len(keys), dtype=np.float32) + 1)
     asked = np.concatenate([keys[::3], rng.integers(0, 2**40, 2000, dtype=np.uint64)])
     want = dict(zip(keys.tolist(), range(1, len(keys) + 1)))
-    values, absent = t.get(asked)
-    assert values.tolist() == [want.get(k, 0) for k in asked.tolist()] and set(absent.tolist()) == {i for i, k in enumerate(asked.tolist()) if k not in want}
+    assert t.get(asked).tolist() == [want.get(k, 0) for k in asked.tolist()]
+
+
+def test_toxicity_cases(spark, labelled):
+    """Repeated rows, null ids, a very long text and clashing names."""
+    docs, labels = labelled
+    model, curve = toxicity.train(docs, labels)
+    bad = "the of and " * 20 + "grumblesnark fizzlewretch grumblesnark " + "in that it " * 20
+    extra = spark.createDataFrame([(None, bad), (None, "the of and to in that"), (1, "the of and"), (1, "the of and"), (8, "that it was for " * 200_000)], "doc_id long, text string")
+    out = toxicity.score(extra, model, curve).collect()
+    by = defaultdict(list)
+    for r in out:
+        by[r.doc_id].append(r.score)
+    assert max(by[None]) >= 0.3 > min(by[None]) and len(set(by[1])) == 1 and len(by[1]) == 2 and by[8][0] < 0.3
+    named = docs.withColumns({"__text": F.lit(1), "__whole": F.lit(2), "__row": F.lit(3)})
+    kept = toxicity.keep_ordinary(named, labels)
+    assert kept.columns == named.columns and {r["__whole"] for r in kept.collect()} == {2}
+    twice = labels.union(labels.withColumn("toxic", F.lit(0)))
+    again, same = toxicity.train(docs, twice)
+    assert again is not None and np.allclose(same, curve)
+
+
+def test_discounts():
+    assert toxicity.discounts([10, 5, 2, 1]) == pytest.approx([1 - 2 * 0.5 * 5 / 10, 2 - 3 * 0.5 * 2 / 5, 3 - 4 * 0.5 * 1 / 2])
+    assert toxicity.discounts([None, None, None, None]) == [0.5, 0.5, 0.5]
 
 
 def test_pipeline(spark, sf):
@@ -180,40 +250,41 @@ def test_pipeline(spark, sf):
     assert len({r.sequence_id for r in out}) == len(out) and packing.MOST == 2048
 
 
+def brute_discount(counts):
+    n = Counter(x for x in counts if x)
+    d = toxicity.discounts([n[k] for k in (1, 2, 3, 4)])
+    return lambda x: 0.0 if x == 0 else d[min(x, 3) - 1]
+
+
 def brute_model(texts: list[tuple[int, str]]) -> dict:
-    """Slack differences of 5-grams and, by 4-gram, of unseen bytes; every 5-gram counts."""
+    """Differences of 5-grams, worked out one at a time; every 5-gram counts."""
     n = [Counter(), Counter()]
     for toxic, text in texts:
         n[1 - toxic].update(toxicity.codes(text).tolist())
     every = set(n[0]) | set(n[1])
     low = {w: {c & ((1 << 8 * w) - 1) for c in every} for w in range(1, 6)}
-    p = {0: 1 / 256}
-    shared = {0: p}
+    shared = {0: {0: 1 / 256}}
     for w in range(1, 5):
         count = Counter(c & ((1 << 8 * w) - 1) for c in low[w + 1])
-        total, kinds = Counter(), Counter(c >> 8 for c in count)
+        cut = brute_discount(count.values())
+        total, gap = Counter(), Counter()
         for c, k in count.items():
             total[c >> 8] += k
-        shared[w] = {c: max(k - 0.75, 0) / total[c >> 8] + 0.75 * kinds[c >> 8] / total[c >> 8] * shared[w - 1][c & ((1 << 8 * (w - 1)) - 1)] for c, k in count.items()}
-    slack = lambda x: math.copysign(max(abs(x) - 2.0, 0), x)
-    both = n[0] + n[1]
-    by = Counter()
-    for c in every:
-        by[c >> 8] += both[c]
-    kinds = Counter(c >> 8 for c in every)
-    own, cuts = [Counter(), Counter()], [Counter(), Counter()]
-    for k in (0, 1):
+            gap[c >> 8] += cut(k)
+        shared[w] = {c: (k - cut(k) + gap[c >> 8] * shared[w - 1][c & ((1 << 8 * (w - 1)) - 1)]) / total[c >> 8] for c, k in count.items()}
+    n.append(n[0] + n[1])
+    cuts = [brute_discount(x.values()) for x in n]
+    total, gap = [Counter(), Counter(), Counter()], [Counter(), Counter(), Counter()]
+    for k in (0, 1, 2):
         for c in n[k]:
-            own[k][c >> 8] += n[k][c]
-            cuts[k][c >> 8] += min(n[k][c], 2.0)
-    gap = lambda k, x: cuts[k][x] / own[k][x] if own[k][x] else 1.0
+            total[k][c >> 8] += n[k][c]
+            gap[k][c >> 8] += cuts[k](n[k][c])
     out = {}
     for c in every:
         x = c >> 8
-        s = max(both[c] - 0.75, 0) / by[x] + 0.75 * kinds[x] / by[x] * shared[4][c & 0xFFFFFFFF]
-        logs = [math.log((n[k][c] - min(n[k][c], 2.0)) / max(own[k][x], 1) + gap(k, x) * s) for k in (0, 1)]
-        out[c] = slack(logs[0] - logs[1])
-        out[x, "unseen"] = slack(math.log(gap(0, x)) - math.log(gap(1, x)))
+        s = (n[2][c] - cuts[2](n[2][c]) + gap[2][x] * shared[4][c & 0xFFFFFFFF]) / total[2][x]
+        logs = [math.log((n[k][c] - cuts[k](n[k][c]) + (gap[k][x] + 1) * s) / (total[k][x] + 1)) for k in (0, 1)]
+        out[c] = logs[0] - logs[1]
     return out
 
 
@@ -223,20 +294,18 @@ def test_model_keeps_every_ngram(labelled, monkeypatch):
     toxic = {r.doc_id: r.toxic for r in labels.collect()}
     texts = {r.doc_id: r.text for r in docs.collect()}
     want = brute_model([(toxic[i], t) for i, t in texts.items() if i in toxic and zlib.crc32(str(i).encode()) % 4 < 2])
-    value = lambda c: want[c] if c in want else want.get((c >> 8, "unseen"), 0.0)
     scores = []
     for most in (toxicity.MOST_BROADCAST, 100):
         monkeypatch.setattr(toxicity, "MOST_BROADCAST", most)
         monkeypatch.setattr(toxicity, "BLOCK", 20_000)
         model, curve = toxicity.train(docs, labels)
         assert (most == 100) == isinstance(model, type(docs))
-        got = {r.doc_id: r["__difference"] for r in toxicity.differences(docs.select("doc_id", "text"), model).collect()}
-        assert len(got) == len(texts) and got[9000] == got[9001] == 0
+        got = {r.doc_id: (r["__whole"], r["__passage"]) for r in toxicity.differences(docs.select("doc_id", "text"), model).collect()}
+        assert len(got) == len(texts) and got[9000] == got[9001] == (0, 0)
         for i in list(texts)[:60]:
-            grams = toxicity.codes(texts[i]).tolist()
-            worth = [value(c) for c in grams]
-            best = max(sum(worth[max(0, k) : k + 256]) for k in range(-255, len(grams))) / 256
-            assert abs(got[i] - best) < 1e-5
+            worth = [want.get(c, 0.0) for c in toxicity.codes(texts[i]).tolist()]
+            best = max(sum(worth[k : k + toxicity.PASSAGE]) for k in range(len(worth) - toxicity.PASSAGE + 1)) / toxicity.PASSAGE
+            assert abs(got[i][0] - sum(worth) / len(worth)) < 1e-5 and abs(got[i][1] - best) < 1e-5
         scores.append({r.doc_id: r.score for r in toxicity.score(docs, model, curve).collect()})
         if most == 100:
             assert {r.doc_id for r in toxicity.keep_ordinary(docs, labels).collect()} == {i for i, s in scores[-1].items() if s < 0.3}
@@ -244,14 +313,12 @@ def test_model_keeps_every_ngram(labelled, monkeypatch):
 
 
 def test_passages_from_every_byte():
-    """An expression counts in full wherever it lies in a text."""
+    """An expression counts in full wherever it lies in a text, and in a text that is shorter than a passage."""
     bad, pad = "grumblesnark", "x"
-    code = np.unique(toxicity.codes(f"{pad * 9}{bad}{pad * 9}"))
-    code = code[[pad * 5 != int(c).to_bytes(5, "big").decode(errors="replace") for c in code]]
-    none = pa.array([], pa.int64())
-    model = toxicity.Model(pa.table({"context": none, "unseen": pa.array([], pa.float32()), "codes": pa.array([], pa.list_(pa.int64())), "differences": pa.array([], pa.list_(pa.float32()))}))
-    inner = [int(c) for c in code if b"\n" not in int(c).to_bytes(5, "big")]
-    model.seen = toxicity.Table(np.array(inner, dtype=np.uint64), np.ones(len(inner), dtype=np.float32))
-    got = {model.difference(pad * k + bad + pad * 600) for k in range(4, 600, 3)}
-    assert got == {len(inner) / 256}
-    assert model.difference(pad * 4 + bad) < len(inner) / 256 and model.difference("") == 0
+    inner = [int(c) for c in toxicity.codes(f"{pad * 9}{bad}{pad * 9}") if b"\n" not in int(c).to_bytes(5, "big") and int(c).to_bytes(5, "big") != b"xxxxx"]
+    model = toxicity.Model(pa.table({"codes": pa.array([], pa.list_(pa.int64())), "differences": pa.array([], pa.list_(pa.float32()))}))
+    model.seen = toxicity.Table(np.unique(np.array(inner, dtype=np.uint64)), np.ones(len(set(inner)), dtype=np.float32))
+    assert {model.differences(pad * k + bad + pad * 600)[1] for k in range(4, 600, 3)} == {1.0}
+    whole, passage = model.differences("grum")
+    assert whole == passage == 0 and model.differences("") == (0.0, 0.0)
+    assert model.differences("xgrumb")[0] == model.differences("xgrumb")[1] > 0
