@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DataType, DateType, NumericType, StructType, TimestampType
 
 #: Code points 0x20 and 0x09-0x0D, the white space of the text contracts.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -18,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset."""
+    """Folder that driver and executors share: spark.checkpoint.dir. Only a local master (one machine) may leave it unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[\d*, ]+\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = f"file://{tempfile.gettempdir()}/marketloom"
     return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
 
@@ -46,12 +50,24 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, most_rows: int = 2_000_000) -> DataFrame:
-    """df with a broadcast hint if a count shows at most most_rows rows, else unchanged (Spark then shuffles).
+#: Most bytes of a table that is broadcast, as its rows take in a hash relation.
+MOST_BROADCAST_BYTES = 32 << 20
 
-    Meant for staged tables of a few fixed-width columns: the count reads little more than file footers, and the size is bounded.
+
+def row_bytes(kind: DataType) -> int:
+    """About the bytes of a value in a hash relation; strings, binaries and arrays count as 64 (the sides are keys and digests)."""
+    if isinstance(kind, StructType):
+        return 48 + sum(row_bytes(f.dataType) for f in kind.fields)
+    return 8 if isinstance(kind, (NumericType, BooleanType, DateType, TimestampType)) else 64
+
+
+def small_side(df: DataFrame, most_bytes: int = MOST_BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if its rows, counted, take at most most_bytes; else unchanged (Spark then shuffles).
+
+    Meant for staged tables of fixed-width columns and short keys, never for texts: the count reads little more than file footers,
+    and what is broadcast never exceeds the bound, whatever the input.
     """
-    return F.broadcast(df) if df.count() <= most_rows else df
+    return F.broadcast(df) if df.count() * row_bytes(df.schema) <= most_bytes else df
 
 
 def text_or_empty(column: str = "text") -> Column:

@@ -85,7 +85,7 @@ def block_plan(blocks: DataFrame, alpha: float, budget: int | None = None, seed:
     shares = shares.withColumn("quota", quota).withColumns({"whole": F.expr("quota div total"), "rest": F.expr("quota % total")})
     epochs = shares.withColumn("epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("whole") + 1)))
     order = Window.partitionBy("__source", "epoch").orderBy("place", "__block")
-    placed = blocks.join(small_side(staged(epochs, "mix-epochs"), 200_000), "__source").withColumn("place", hash32(seed, F.col("__source"), F.col("epoch"), F.col("__block")))
+    placed = blocks.join(small_side(staged(epochs, "mix-epochs")), "__source").withColumn("place", hash32(seed, F.col("__source"), F.col("epoch"), F.col("__block")))
     ranked = placed.withColumns({"block_rank": F.row_number().over(order), "upto": F.sum("block_tokens").over(order.rowsBetween(Window.unboundedPreceding, 0))})
     read = ranked.filter((F.col("epoch") <= F.col("whole")) | (F.col("upto") <= F.col("rest")))
     return read.select("__source", F.col("epoch").cast("int").alias("epoch"), "__block", "block_rank", "weight", F.lit(alpha).alias("alpha"))
@@ -97,7 +97,7 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     rows = blocked(held, "__key", "__src", "__text", n_blocks, seed)
     blocks = staged(rows.groupBy("__source", "__block").agg(F.sum("__tokens").alias("block_tokens")), "mix-blocks")
     alpha = exponent(blocks.groupBy("__source").agg(F.sum("block_tokens").alias("total")), repeat_limit, target_entropy)
-    plan = small_side(staged(block_plan(blocks, alpha, budget, seed), "mix-plan"), 500_000)
+    plan = small_side(staged(block_plan(blocks, alpha, budget, seed), "mix-plan"))
     return rows.drop("__key", "__src", "__text").join(plan, ["__source", "__block"])
 
 
