@@ -157,17 +157,21 @@ class MediaReader(DataSourceReader):
         return [MediaRange(a, s, min(n, s + self.range)) for a, n in sizes for s in range(0, n, self.range)]
 
     def _member(self, file, offset: int, size: int, crc: int, reopen):
-        """One member, checked; fetched again by its offset if the read fails or the checksum differs."""
+        """The file in use and one member, checked; a failed open or read, or a wrong checksum, fetches it again by its offset."""
         for attempt in range(self.attempts):
             try:
+                if file is None:
+                    time.sleep(0.1 * attempt)
+                    file = reopen()
                 file.seek(offset)
                 data = file.read(size)
                 if len(data) == size and zlib.crc32(data) == crc:
                     return file, data
             except OSError:
                 pass
-            time.sleep(0.1 * attempt)
-            file = reopen()
+            if file is not None:
+                file.close()
+            file = None
         raise OSError(f"member at {offset} can't be read")
 
     def read(self, part):
@@ -176,7 +180,7 @@ class MediaReader(DataSourceReader):
         store, base = fs.FileSystem.from_uri(self.folder)
         path = f"{base}/{part.archive}"
         reopen = lambda: store.open_input_file(path)
-        file, ids, media, held = reopen(), [], [], 0
+        file, ids, media, held = None, [], [], 0
 
         def batch():
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "media"])
@@ -200,6 +204,8 @@ class MediaReader(DataSourceReader):
                 if held >= BATCH:
                     yield batch()
                     ids, media, held = [], [], 0
+        if file is not None:
+            file.close()
         if ids:
             yield batch()
 

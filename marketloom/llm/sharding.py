@@ -7,8 +7,12 @@ that table; rows follow their slot.
 Only DataFrame functions. The slot table has at most N_SLOTS rows whatever the corpus, so it is ordered and folded in one task
 and broadcast; rows are never gathered by shard, only by slot.
 
+Maps are kept as Parquet, a folder for each version; an old version stays readable. Groups of equal texts are not kept together: their rows
+hash by id like all others, so that a text with a third of all rows doesn't fill a shard (text_crc32 shows such groups).
+
 Defined cases. A null text has no bytes, so its size is the overhead of 16. A null id hashes as the empty string. Repeated rows
-all count and get places of their own. Extra columns are not read. An empty table gives an empty result.
+all count and get places of their own; ties in size go to the lower slot and shard. Very long texts count whole. Extra columns are not
+read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marketloom.llm.common import hash32, staged, table
+from marketloom.llm.common import hash32, shared_path, staged, table
 
 N_SLOTS = 4096
 OVERHEAD = 16
@@ -92,9 +96,50 @@ def assign(rows: DataFrame, slot_map: DataFrame, stats: DataFrame) -> DataFrame:
     return placed.join(F.broadcast(offsets), "virtual_slot").withColumn("slot", (F.col("__before") + F.col("__inside")).cast("long")).drop("__before", "__inside")
 
 
-def op7_sharding(spark, sf_dir: str, n_shards: int = 40) -> DataFrame:
-    rows = staged(slotted(table(spark, sf_dir, "documents")), "shard-rows")
+def save_map(slot_map: DataFrame, folder: str) -> int:
+    """Writes a map as its own version in folder (which all tasks reach); returns the version. A version is never overwritten."""
+    version = slot_map.agg(F.max("version")).first()[0]
+    if version is not None:
+        slot_map.drop("version").coalesce(1).write.mode("errorifexists").parquet(f"{folder}/version={version}")
+    return version
+
+
+def load_map(spark, folder: str, version: int | None = None) -> DataFrame | None:
+    """(version, virtual_slot, shard) of one version, by default the latest; None if folder holds no map."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    held = [int(x.getPath().getName().removeprefix("version=")) for x in store.listStatus(path) if x.getPath().getName().startswith("version=")] if store.exists(path) else []
+    if not held:
+        return None
+    chosen = max(held) if version is None else version
+    rows = spark.read.schema("virtual_slot int, shard int").parquet(f"{folder}/version={chosen}")
+    return rows.select(F.lit(chosen).alias("version"), "virtual_slot", "shard")
+
+
+def shard(docs: DataFrame, folder: str, n_shards: int, tolerance: float = 0.02, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows with virtual_slot, version, shard and slot, by the map in folder.
+
+    Without a map there, one is planned and saved as version 1. A map is edited, and saved as the next version, if it has other
+    shards, doesn't know a slot in use, or its heaviest shard has more than an even part of the bytes and a tolerance.
+    """
+    rows = staged(slotted(docs, key, text), "shard-rows")
     stats = staged(slot_stats(rows), "slot-stats")
-    slot_map = staged(plan_map(stats, n_shards), "slot-map")
-    out = assign(rows, slot_map, stats)
+    old = load_map(docs.sparkSession, folder)
+    if old is None:
+        save_map(plan_map(stats, n_shards), folder)
+    else:
+        known = stats.join(F.broadcast(old), "virtual_slot", "left")  # at most N_SLOTS rows
+        load = known.groupBy("shard").agg(F.sum("slot_bytes").alias("b"))
+        state = load.agg(F.max("b").alias("most"), F.sum("b").alias("total"), F.count_if(F.isnull("shard")).alias("new")).first()
+        shards = old.agg(F.max("shard")).first()[0] + 1
+        if state.total and (shards != n_shards or state.new or state.most > (1 + tolerance) * state.total / n_shards):
+            save_map(edit_map(old, stats, n_shards), folder)
+    slot_map = load_map(docs.sparkSession, folder)
+    if slot_map is None:  # no rows at all
+        slot_map = docs.sparkSession.createDataFrame([], "version int, virtual_slot int, shard int")
+    return assign(rows, slot_map, stats)
+
+
+def op7_sharding(spark, sf_dir: str, n_shards: int = 40) -> DataFrame:
+    out = shard(table(spark, sf_dir, "documents"), shared_path(spark, "slot-maps"), n_shards)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int"), "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", F.col("version").alias("map_version"))

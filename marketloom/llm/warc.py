@@ -2,14 +2,18 @@
 
 Pages become rows (record, chunk number, bytes) of bounded size, inside the scan's own tasks. A writer streams these rows into
 archives: it opens a record at chunk 0, appends chunk after chunk, carries the digest along and checks it at the last. A reader
-streams ranges of archives back as the same kind of rows, each with the digest of all bytes so far, so no step holds a record.
+streams ranges of archives back as the same kind of rows, each with the digest of all bytes so far. The scan holds a page's html once, as a
+row of the input table does; from the chunk rows on, writing and reading hold one chunk.
 
 Records whose payloads of MIN_REVISIT bytes or more are equal share one response, that with the smallest page_id; the others are
 revisits that refer to it and hold no payload. The response of a payload is found by digest: minima summed in every task first.
 
 An archive's name holds its writer's attempt; only ranges in the manifest, which Spark commits, are read.
 
-Defined cases. A null html is empty. Rows that repeat the smallest page_id of a payload are all responses. Extra columns are not
+Which payloads repeat is a table of digests; it is broadcast while it takes at most common.MOST_BROADCAST_BYTES, else joined by a shuffle.
+
+Defined cases. A null html is empty. A null page_id is written as none: equal payloads never refer to it if another page has them, and it
+is a revisit like others; pages with null ids only are all responses. Very long pages are cut into chunks. Rows that repeat the smallest page_id of a payload are all responses. Extra columns are not
 read. An empty table gives an empty result.
 """
 
@@ -47,7 +51,7 @@ def chunk_table(pages: DataFrame, key: str = "page_id", url: str = "url", html:
     digest = rows.select("page_id", F.octet_length("body").cast("long").alias("payload_bytes"), F.sha2("body", 256).alias("payload_digest"))
     firsts = digest.filter(F.col("payload_bytes") >= MIN_REVISIT).groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     firsts = staged(firsts, "warc-firsts")
-    named = rows.withColumns({"payload_bytes": F.octet_length("body").cast("long"), "payload_digest": F.sha2("body", 256)}).join(small_side(firsts, 500_000), "payload_digest", "left")
+    named = rows.withColumns({"payload_bytes": F.octet_length("body").cast("long"), "payload_digest": F.sha2("body", 256)}).join(small_side(firsts), "payload_digest", "left")
     refers = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     named = named.withColumn("refers_to", refers)
     last = F.when(F.col("refers_to").isNotNull(), F.lit(0)).otherwise(F.greatest(F.expr(f"(payload_bytes - 1) div {chunk}"), F.lit(0)))

@@ -47,8 +47,17 @@ def test_media_members_are_fetched_again(spark, docs):
                 raise OSError("lost")
             return b"abc"[:n]
 
+        def close(self):
+            Once.closed = True
+
+    def opened():
+        Once.opens = getattr(Once, "opens", 0) + 1
+        if Once.opens == 1:
+            raise OSError("not there yet")
+        return Once()
+
     reader = media.MediaReader({"path": "file:///tmp"})
-    assert reader._member(Once(), 0, 3, zlib.crc32(b"abc"), Once)[1] == b"abc"
+    assert reader._member(None, 0, 3, zlib.crc32(b"abc"), opened)[1] == b"abc" and Once.opens == 3 and Once.closed
     with pytest.raises(OSError):
         reader._member(Once(), 0, 3, 1, Once)
 

@@ -115,8 +115,32 @@ def test_sharding(docs, empty, spark, sf):
     crc = Counter(zlib.crc32((r.text or "").encode()) for r in docs.collect())
     assert crc == Counter(r.text_crc32 for r in out)
     assert sharding.assign(sharding.slotted(empty), sharding.plan_map(sharding.slot_stats(sharding.slotted(empty)), 3), sharding.slot_stats(sharding.slotted(empty))).count() == 0
-    real = sharding.op7_sharding(spark, sf).groupBy("shard").agg(F.sum("size").alias("b")).collect()
-    assert len(real) == 40
+    real = sharding.op7_sharding(spark, sf).collect()
+    want = Counter((r.doc_id, len((r.text or "").encode()) + 16, zlib.crc32((r.text or "").encode())) for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in real) == want
+    loads, largest = Counter(), Counter()
+    for r in real:
+        loads[r.shard] += r["size"]
+        largest[r.virtual_slot] += r["size"]
+    assert set(loads) == set(range(40)) and max(loads.values()) - min(loads.values()) <= max(largest.values())
+
+
+def test_sharding_stored_maps(spark):
+    """A stored map is used again, and edited when shards or data change."""
+    from marketloom.llm.common import shared_path
+
+    folder = shared_path(spark, "maps-test")
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), (F.col("id") % 90).cast("int")).alias("text"))
+    one = {r.doc_id: (r.shard, r.version) for r in sharding.shard(docs, folder, 8).collect()}
+    two = {r.doc_id: (r.shard, r.version) for r in sharding.shard(docs, folder, 8).collect()}
+    assert one == two and {v for _, v in one.values()} == {1}
+    more = sharding.shard(docs, folder, 9).collect()
+    assert {r.version for r in more} == {2} and {r.shard for r in more} == set(range(9))
+    assert sum(one[r.doc_id][0] != r.shard for r in more) < 0.2 * len(more)
+    assert sharding.load_map(spark, folder, 1).count() == sharding.load_map(spark, folder).count() and sharding.load_map(spark, folder + "-none") is None
+    same = docs.filter("doc_id < 3").union(docs.filter("doc_id < 3"))
+    assert sorted((r.shard, r.slot) for r in sharding.shard(same, shared_path(spark, "maps-few"), 1).collect()) == [(0, i) for i in range(6)]
+    assert sharding.shard(docs.limit(0), shared_path(spark, "maps-none"), 3).count() == 0
 
 
 def test_sharding_edit(spark):
@@ -199,9 +223,49 @@ def test_license_statistics_brute_force():
 
 
 def test_license_chains():
-    text = licenses.TEMPLATES["mit-text"].split()
-    whole = licenses.scan("intro words " + " ".join(text) + " tail")
-    assert "mit-text" in whole["labels"] and ("mit-text", 2, len(text) + 1, len(text)) in whole["spans"]
+    text = [w.decode() for w in licenses.words_of(licenses.TEXTS["mit-text"])]
+    n = len(text)
+    whole = licenses.scan("intro words " + licenses.TEXTS["mit-text"] + " tail")
+    assert "mit-text" in whole["labels"] and ("mit-text", 2, n + 1, n) in whole["spans"] and whole["score"] == 1
     edited = text[:20] + ["changed"] + text[21:40] + ["also", "here"] + text[40:]
     assert "mit-text" in licenses.scan(" ".join(edited))["labels"]
     assert "mit-text" not in licenses.scan(" ".join(text[:15]))["labels"]
+    # Two copies, and one after many shuffled passages of the same text.
+    two = licenses.scan(" ".join(text + ["other"] * 30 + text))
+    assert [x[:3] for x in two["spans"] if x[0] == "mit-text"] == [("mit-text", 0, n - 1), ("mit-text", n + 30, 2 * n + 29)]
+    mixed = [w for k in range(40) for w in text[k * 3 % n : k * 3 % n + 5]]
+    assert any(x[0] == "mit-text" and x[3] >= n - 8 for x in licenses.scan(" ".join(mixed + text))["spans"])
+    tag = licenses.scan("# SPDX-License-Identifier: Apache-2.0")
+    assert tag["labels"] == ["spdx:apache-2.0"] and tag["score"] == 1 and tag["base_labels"] == []
+    assert {"cc-by-text"} <= set(licenses.scan(licenses.TEXTS["cc-by-text"])["labels"])
+
+
+def test_license_chains_brute_force():
+    """The best chain of each template has the most covered words of all chains of its runs, worked out by trying them all."""
+    rng = np.random.default_rng(7)
+    for _ in range(60):
+        runs, at = [], 0
+        for _ in range(rng.integers(1, 7)):
+            at += int(rng.integers(1, 9))
+            length = int(rng.integers(4, 7))
+            runs.append((at + length, length, {"t": sorted({int(x) for x in rng.integers(5, 30, rng.integers(1, 3))})}))
+        best = 0
+
+        def extend(k, last, upto, covered):
+            nonlocal best
+            best = max(best, covered)
+            for j in range(k, len(runs)):
+                end, length, where = runs[j]
+                for position in where["t"]:
+                    overlap = max(0, last - (end - length), upto - (position - length))
+                    if last < end and upto < position and overlap < length and (covered == 0 or last >= end - length - licenses.MOST_GAP):
+                        extend(j + 1, end, position, covered + length - (overlap if covered else 0))
+
+        extend(0, -99, -99, 0)
+        assert max(x[3] for x in licenses.chained(runs)) == best
+
+
+def test_licenses_repeats_and_own_texts(spark):
+    docs = spark.createDataFrame([(None, "alpha beta gamma delta epsilon"), (None, "alpha beta gamma delta epsilon"), (1, "x " * 300_000 + "cc by")], "doc_id long, text string")
+    out = licenses.scan_documents(docs, texts={"own": "Alpha, beta gamma: delta epsilon!"}).collect()
+    assert [r.labels for r in out if r.doc_id is None] == ["own", "own"] and [(r.n_words, r.first_word, r.labels) for r in out if r.doc_id] == [(300_002, 300_000, "cc-by")]
