@@ -27,7 +27,7 @@ _RUN = re.compile(r"\s (?!\S)")
 _ASCII_RUNS = ("  ", "\n ", "\t ", "\r ", "\x0b ", "\x0c ", "\x1c ", "\x1d ", "\x1e ", "\x1f ")
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def tokenizer(name: str = VOCABULARY):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     import public_tokenizers
@@ -47,29 +47,52 @@ def pieces(text: str) -> list[str]:
     return ([first] if first else []) + [f" {x}" for x in rest]
 
 
-@lru_cache(maxsize=2)
+def _ranks(name: str) -> str | None:
+    """The rank file of a vocabulary, if it has one."""
+    import public_tokenizers
+
+    path = public_tokenizers.path(name).removesuffix(".json") + ".tiktoken"
+    return path if os.path.exists(path) else None
+
+
+def _marks(name: str) -> set[str]:
+    """First two characters of each special string."""
+    return {x.content[:2] for x in tokenizer(name).get_added_tokens_decoder().values()}
+
+
+@lru_cache(maxsize=1)
 def _encoder(name: str):
     """Ids of one piece. A vocabulary that also has a rank file is encoded from that, which gives the same ids faster; pieces with
     a special string are left to the tokenizers library."""
     whole = tokenizer(name)
     ordinary = lambda x: whole.encode(x, add_special_tokens=False).ids
-    import public_tokenizers
-
-    ranks = public_tokenizers.path(name).removesuffix(".json") + ".tiktoken"
-    if not os.path.exists(ranks):
+    ranks = _ranks(name)
+    if not ranks:
         return ordinary
     import base64
 
+    import public_tokenizers
     import tiktoken
 
     with open(ranks, "rb") as f:
         table = {base64.b64decode(k): int(v) for k, v in map(bytes.split, f)}
     fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
-    special = [x.content for x in whole.get_added_tokens_decoder().values()]
-    marks = {x[:2] for x in special}
+    marks = _marks(name)
     return lambda x: ordinary(x) if any(m in x for m in marks) else fast(x)
 
 
+def splitter(name: str = VOCABULARY):
+    """A function that cuts a piece into pre-tokens, the matches of the vocabulary's pattern; a piece with a special string stays whole,
+    and so does every piece of a vocabulary whose pattern isn't known."""
+    if not _ranks(name):
+        return lambda x: [x]
+    import public_tokenizers
+    import regex
+
+    find, marks = regex.compile(public_tokenizers.PATTERN).findall, _marks(name)
+    return lambda x: [x] if any(m in x for m in marks) else find(x)
+
+
 _known: dict[str, dict[str, bytes]] = {}
 
 

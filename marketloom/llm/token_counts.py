@@ -3,16 +3,18 @@
 A document's tokens are the sum, over its distinct pre-tokens, of how often each occurs times how many pieces it has; pieces are
 counted once for each distinct pre-token of the corpus.
 
-1. Each task turns a block of documents into per-document frequencies of block-local pre-token numbers, and sends the block's
-   distinct pre-tokens, sorted and compressed, to buckets by hash.
-2. Each bucket counts the pieces of every distinct pre-token once and answers each block with counts in the block's order.
-3. Frequencies and answers of a block meet (a join on the block) and are multiplied and summed.
-
-Documents never meet by pre-token, so a pre-token that all documents share costs one entry in each block. A pre-token here is
-the text between two places at which no token of a byte-level vocabulary can continue.
-
-Defined cases. Null and empty texts have 0 tokens. Repeated rows give repeated results. Extra columns are not read. An empty table
-gives an empty result.
+1. Each task turns a block of documents into per-document frequencies of block-local pre-token numbers, and lists the block's distinct
+   pre-tokens.
+2. These (pre-token, block, number) rows are dealt and sorted by pre-token; a task counts the pieces of each run of equal pre-tokens
+   once while the rows stream by, and holds one batch.
+3. Frequencies and counts of a block meet (a join on the block) and are multiplied and summed. A block is bounded, so is its group.
+
+Documents never meet by pre-token, so a pre-token that all documents share costs one row for each block. Pre-tokens are the matches of
+the vocabulary's own pattern; a special string in a text, and every text of a vocabulary without a pattern, is counted in the text
+between two places at which no token can continue.
+
+Defined cases. Null and empty texts have 0 tokens. Repeated rows give repeated results, also with null ids. Very long texts make a
+block of their own. Ties do not occur. Extra columns are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +24,6 @@ from collections import Counter
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,11 +33,13 @@ from marketloom.llm.common import staged, table
 
 LIMIT = 1024
 #: A block ends after so many distinct pre-tokens or characters, whichever comes first.
-BLOCK_PRETOKENS = 1_000_000
-BLOCK_CHARS = 48_000_000
+BLOCK_PRETOKENS = 500_000
+BLOCK_CHARS = 32_000_000
+#: Pre-tokens of a block that one row lists.
+LISTED = 4096
 
-_ROWS = "block string, doc_id long, n_bytes long, numbers binary, counts binary, bucket int, words binary, spots binary"
-_ARROW = pa.schema([("block", pa.string()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("numbers", pa.binary()), ("counts", pa.binary()), ("bucket", pa.int32()), ("words", pa.binary()), ("spots", pa.binary())])
+_ROWS = "block long, doc_id long, n_bytes long, numbers binary, counts binary, base int, words array<string>"
+_ARROW = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("numbers", pa.binary()), ("counts", pa.binary()), ("base", pa.int32()), ("words", pa.list_(pa.string()))])
 
 
 def _pack(numbers: np.ndarray) -> bytes:
@@ -56,91 +59,81 @@ def _unpack_counts(packed: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(packed), dtype="<u4").astype(np.int64)
 
 
-def _join_words(words: list[bytes]) -> bytes:
-    return zlib.compress(np.array([len(x) for x in words], dtype="<u4").tobytes() + b"".join(words), 1)
-
-
-def _split_words(packed: bytes, n: int) -> list[str]:
-    data = zlib.decompress(packed)
-    ends = 4 * n + np.cumsum(np.frombuffer(data, dtype="<u4", count=n), dtype=np.int64)
-    begins = np.concatenate([[4 * n], ends[:-1]])
-    return [data[a:b].decode("utf-8", "surrogatepass") for a, b in zip(begins.tolist(), ends.tolist())]
-
-
-def _frequencies(batches, buckets: int):
+def _frequencies(batches, vocabulary: str):
     from pyspark import TaskContext
 
+    split = subwords.splitter(vocabulary)
     number: dict[str, int] = {}
-    block, chars, part = 0, 0, TaskContext.get().partitionId()
+    known: dict[str, list[int]] = {}  # numbers of the pre-tokens of a piece
+    block, chars = TaskContext.get().partitionId() << 32, 0
 
     def rows(values: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*values), _ARROW.types)], schema=_ARROW)
 
+    def numbers_of(piece: str) -> list[int]:
+        known[piece] = out = [number.setdefault(x, len(number)) for x in split(piece)]
+        return out
+
     def closed():
-        """What the block has to ask: its distinct pre-tokens by bucket, with their numbers in the block."""
-        words = [x.encode("utf-8", "surrogatepass") for x in number]
-        by = np.fromiter((zlib.crc32(x) % buckets for x in words), dtype=np.int64, count=len(words))
-        order = np.argsort(by, kind="stable")
-        edges = np.searchsorted(by[order], np.arange(buckets + 1))
-        for k in range(buckets):
-            own = order[edges[k] : edges[k + 1]]
-            if len(own):
-                yield rows([(f"{part}-{block}", None, None, None, None, k, _join_words([words[i] for i in own.tolist()]), _pack(own))])
+        words = list(number)
+        for at in range(0, len(words), LISTED):
+            yield rows([(block, None, None, None, None, at, words[at : at + LISTED])])
 
     for batch in batches:
         ids, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
         for a, b in subwords.portions(texts):
             out = []
             for doc, text in zip(ids[a:b], texts[a:b]):
-                seen = Counter(subwords.pieces(text))
-                for x in seen:
-                    if x not in number:
-                        number[x] = len(number)
-                mine = np.fromiter(map(number.__getitem__, seen), dtype=np.int64, count=len(seen))
+                seen: dict[int, int] = {}
+                for piece, n in Counter(subwords.pieces(text)).items():
+                    for k in known.get(piece) or numbers_of(piece):
+                        seen[k] = seen.get(k, 0) + n
+                mine = np.fromiter(seen, dtype=np.int64, count=len(seen))
                 counts, order = np.fromiter(seen.values(), dtype=np.int64, count=len(seen)), np.argsort(mine)
-                out.append((f"{part}-{block}", doc, len(text.encode("utf-8", "surrogatepass")), _pack(mine[order]), _pack_counts(counts[order]), None, None, None))
+                out.append((block, doc, len(text.encode("utf-8", "surrogatepass")), _pack(mine[order]), _pack_counts(counts[order]), None, None))
                 chars += len(text)
             yield rows(out)
             if len(number) > BLOCK_PRETOKENS or chars > BLOCK_CHARS:
                 yield from closed()
                 number.clear()
+                known.clear()
                 block, chars = block + 1, 0
-    if number:
-        yield from closed()
+    yield from closed()
 
 
-def _pieces(group: pd.DataFrame, vocabulary: str) -> pd.DataFrame:
-    """Counts once for each distinct pre-token of a bucket; one answer for each block."""
-    asked = [_split_words(words, len(_unpack(spots))) for words, spots in zip(group["words"], group["spots"])]
-    distinct = list(dict.fromkeys(x for words in asked for x in words))
-    known = dict(zip(distinct, subwords.count(distinct, vocabulary).tolist()))
-    answers = [_pack_counts(np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))) for words in asked]
-    return pd.DataFrame({"block": group["block"], "spots": group["spots"], "n_pieces": answers})
-
-
-def _sums(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-    spots = [_unpack(x) for x in answers["spots"]]
-    n_pieces = np.zeros(sum(map(len, spots)), dtype=np.int64)
-    for own, counts in zip(spots, answers["n_pieces"]):
-        n_pieces[own] = _unpack_counts(counts)
-    totals = [int(n_pieces[_unpack(a)] @ _unpack_counts(b)) for a, b in zip(docs["numbers"], docs["counts"])]
-    return pd.DataFrame({"doc_id": docs["doc_id"], "n_bytes": docs["n_bytes"], "n_tokens": totals})
-
-
-def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = subwords.VOCABULARY, buckets: int | None = None) -> DataFrame:
-    """(doc_id, n_bytes, n_tokens) of every row.
-
-    buckets: how many groups the corpus's vocabulary is dealt to; by default 4 for each shuffle partition, so that a group's size
-    follows the cluster's own setting.
-    """
-    spark = docs.sparkSession
-    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text)).mapInArrow(partial(_frequencies, buckets=buckets), _ROWS)
+def _pieces(batches, vocabulary: str):
+    """(block, number, n): rows come sorted by pre-token, and each run of equal ones is counted once."""
+    last, n_last = None, 0
+    for batch in batches:
+        words = batch.column(2)
+        if not len(words):
+            continue
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        fresh = [x for x in distinct if x != last]
+        counts = dict(zip(fresh, subwords.count(fresh, vocabulary).tolist()))
+        n = np.array([n_last if x == last else counts[x] for x in distinct], dtype=np.int64)[coded.indices.to_numpy()]
+        last, n_last = words[-1].as_py(), int(n[-1])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n)], names=["block", "number", "n"])
+
+
+def _sums(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    number = answers["number"].to_numpy()
+    n_pieces = np.zeros(len(number), dtype=np.int64)
+    n_pieces[number] = answers["n"].to_numpy()
+    totals = [int(n_pieces[_unpack(a.as_py())] @ _unpack_counts(b.as_py())) for a, b in zip(docs["numbers"], docs["counts"])]
+    return pa.table({"doc_id": docs["doc_id"], "n_bytes": docs["n_bytes"], "n_tokens": pa.array(totals, pa.int64())})
+
+
+def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = subwords.VOCABULARY) -> DataFrame:
+    """(doc_id, n_bytes, n_tokens) of every row."""
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(partial(_frequencies, vocabulary=vocabulary), _ROWS)
     rows = staged(rows, "pretokens")
-    asked = rows.filter("bucket IS NOT NULL").select("bucket", "block", "words", "spots")
-    answers = asked.groupBy("bucket").applyInPandas(partial(_pieces, vocabulary=vocabulary), "block string, spots binary, n_pieces binary")
-    held = rows.filter("bucket IS NULL").select("block", "doc_id", "n_bytes", "numbers", "counts")
-    return held.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_sums, "doc_id long, n_bytes long, n_tokens long")
+    listed = rows.filter("words IS NOT NULL").select("block", "base", F.posexplode("words").alias("at", "word"))
+    asked = listed.select("block", (F.col("base") + F.col("at")).alias("number"), "word").repartition("word").sortWithinPartitions("word")
+    answers = asked.mapInArrow(partial(_pieces, vocabulary=vocabulary), "block long, number int, n long")
+    held = rows.filter("words IS NULL").select("block", "doc_id", "n_bytes", "numbers", "counts")
+    return held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_sums, "doc_id long, n_bytes long, n_tokens long")
 
 
 def op6_token_counts(spark, sf_dir: str, limit: int = LIMIT) -> DataFrame:
