@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,3 +80,24 @@ def hash32(*parts: Column | str) -> Column:
     """A portable 32-bit hash (first 8 hex digits of MD5 over '|'-joined parts), the same in other SQL engines."""
     columns = [F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]
     return F.conv(F.substring(F.md5(F.concat_ws("|", *columns)), 1, 8), 16, 10).cast("long")
+
+
+def gives_back(make):
+    """make, a generator over the Arrow batches of a partition, that returns freed memory to the system when the partition ends.
+
+    Python workers are reused: without it each keeps the peak of every kind of task that it ever ran (about 100 MB more).
+    """
+
+    @wraps(make)
+    def run(*args, **kwargs):
+        try:
+            yield from make(*args, **kwargs)
+        finally:
+            import pyarrow as pa
+
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+            if trim:
+                trim(0)
+
+    return run

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import small_side, staged, table, text_or_empty
+from marketloom.llm.common import gives_back, small_side, staged, table, text_or_empty
 from marketloom.llm.components import connected_components
 
 SAMPLES, BANDS, ROWS, BITS = 256, 25, 5, 1024
@@ -107,6 +107,7 @@ _FEATURES = "doc_id long, text_hash long, n_shingles long, digest binary, sketch
 _FEATURES_ARROW = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("sketch", pa.list_(pa.int64())), ("bands", pa.list_(pa.int64()))])
 
 
+@gives_back
 def _features(batches):
     for batch in batches:
         texts = batch.column(2)
@@ -130,6 +131,7 @@ def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 _FINE_ARROW = pa.schema([("cls", pa.int64()), ("digest", pa.binary()), ("fine", pa.list_(pa.int64()))])
 
 
+@gives_back
 def _fine(batches):
     for batch in batches:
         for at in range(0, batch.num_rows, 128):
@@ -142,6 +144,7 @@ def _fine(batches):
 _SETS_ARROW = pa.schema([("cls", pa.int64()), ("digest", pa.binary()), ("hashes", pa.binary())])
 
 
+@gives_back
 def _sets(batches):
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
@@ -149,6 +152,7 @@ def _sets(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 512), pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in own], pa.binary()), pa.array(own, pa.binary())], schema=_SETS_ARROW)
 
 
+@gives_back
 def _linked(batches, share: int):
     for batch in batches:
         keep = np.zeros(batch.num_rows, dtype=bool)

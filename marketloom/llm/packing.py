@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from marketloom.llm import subwords
-from marketloom.llm.common import staged, table
+from marketloom.llm.common import gives_back, staged, table
 
 MOST = 2048
 END = 1
@@ -38,6 +38,7 @@ def lengths(n: int, most: int = MOST) -> list[int]:
     return [most] * (n // most) + [1 << b for b in range(most.bit_length() - 2, -1, -1) if n % most >> b & 1]
 
 
+@gives_back
 def _cut(batches, vocabulary: str, most: int):
     for batch in batches:
         ids, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from marketloom.llm.common import small_side, staged, table
+from marketloom.llm.common import gives_back, small_side, staged, table
 
 ORDER = 5
 #: Entries of a model that is broadcast, and bytes of text that share one part of a larger model.
@@ -61,6 +61,7 @@ def codes(text: str | None) -> np.ndarray:
     return out
 
 
+@gives_back
 def _count(batches):
     for batch in batches:
         toxic = batch.column(0).to_numpy(zero_copy_only=False).astype(bool)
@@ -205,11 +206,13 @@ def _replaced(batch, model: Model):
     return [*(batch.column(i) for i in range(batch.num_columns - 1)), *(pa.array(np.ascontiguousarray(x), pa.float64()) for x in values.T)], [*batch.schema.names[:-1], *DIFFERENCES]
 
 
+@gives_back
 def _differences(batches, model):
     for batch in batches:
         yield pa.RecordBatch.from_arrays(*_replaced(batch, model.value))
 
 
+@gives_back
 def _blocks(batches, most: int):
     """Batches with the name of a block of texts put first."""
     name, held = uuid.uuid4().hex, 0
@@ -223,6 +226,7 @@ def _blocks(batches, most: int):
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *batch.columns], names=["__block", *batch.schema.names])
 
 
+@gives_back
 def _contexts(batches):
     for batch in batches:
         held: dict[str, list] = {}
