@@ -1,6 +1,6 @@
 """Names of all queries, their functions and their SQL."""
 
-from marketloom.plans import analog, base, daily, feeds, frames, intraday, news, paths, reports, scoring, screening, sources, streams  # noqa: F401
+from marketloom.plans import analog, base, daily, feeds, frames, grading, intraday, news, paths, reports, scoring, screening, sources, streams  # noqa: F401
 
 QUERIES = base.QUERIES
 ORACLES = base.ORACLES
