@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from marketloom.functions.expr import ratio
-from marketloom.operators.asof import asof_join, latest, snap_to_session
+from marketloom.operators.asof import asof_join, latest, range_product, snap_to_session
 from marketloom.operators.rolling import sessions_window, with_min
 
 
@@ -115,6 +115,18 @@ def split_adjusted(bars: DataFrame, splits: DataFrame) -> DataFrame:
     return out.withColumns({"split_factor": f, "adj_close": F.col("close") * f, "adj_volume": F.col("volume") / f})
 
 
+def split_adjusted_by_fetch(bars: DataFrame, splits: DataFrame, today: Column) -> DataFrame:
+    """O-29: as split_adjusted, for bars that were fetched at a known date (fetched; NULL: the bar's own): only splits after both the bar and its
+    fetch count, since a later fetch has the earlier ones in its prices, and none after today.
+
+    Both lower bounds are one: the later of the two dates, so it stays an as-of lookup of a suffix product.
+    """
+    rows = bars.withColumn("__after", F.greatest("date", F.coalesce("fetched", "date")))
+    out = range_product(rows, splits.filter(F.col("split_date") <= today), "symbol", "__after", "split_date", "factor", "split_factor")
+    out = out.withColumn("split_factor", F.coalesce("split_factor", F.lit(1.0))).drop("__after")
+    return out.withColumn("adj_close", F.col("close") * F.col("split_factor"))
+
+
 def announcements(releases: DataFrame, reports: DataFrame, sessions: DataFrame, most_sessions: int = 50) -> DataFrame:
     """O-110: releases snapped to sessions and grouped to the first report within most_sessions; the last of a group is scheduled.
 
