@@ -29,36 +29,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm import subwords
-from marketloom.llm.common import staged, table
+from marketloom.llm.common import gives_back, staged, table
 
 LIMIT = 1024
 #: A block ends after so many distinct pre-tokens or characters, whichever comes first.
 BLOCK_PRETOKENS = 500_000
 BLOCK_CHARS = 32_000_000
-#: Pre-tokens of a block that one row lists.
+#: Pre-tokens of a block that one row lists, and listed pre-tokens that are answered together.
 LISTED = 4096
+ANSWERED = 200_000
 
 _ROWS = "block long, doc_id long, n_bytes long, numbers binary, counts binary, base int, words array<string>"
 _ARROW = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("numbers", pa.binary()), ("counts", pa.binary()), ("base", pa.int32()), ("words", pa.list_(pa.string()))])
 
 
-def _pack(numbers: np.ndarray) -> bytes:
-    """Ascending numbers as compressed steps."""
-    return zlib.compress(np.diff(numbers, prepend=0).astype("<u4").tobytes(), 1)
+def _pack_counts(counts: np.ndarray) -> bytes:
+    """Numbers below 2 ** 32, compressed with their bytes of equal weight together."""
+    return zlib.compress(counts.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
 
-def _unpack(packed: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(packed), dtype="<u4").cumsum(dtype=np.int64)
+def _unpack_counts(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
-def _pack_counts(counts: np.ndarray) -> bytes:
-    return zlib.compress(counts.astype("<u4").tobytes(), 1)
+def _pack(numbers: np.ndarray) -> bytes:
+    """Ascending numbers as compressed steps."""
+    return _pack_counts(np.diff(numbers, prepend=0))
 
 
-def _unpack_counts(packed: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(packed), dtype="<u4").astype(np.int64)
+def _unpack(packed: bytes) -> np.ndarray:
+    return _unpack_counts(packed).cumsum()
 
 
+@gives_back
 def _frequencies(batches, vocabulary: str):
     from pyspark import TaskContext
 
@@ -101,9 +105,20 @@ def _frequencies(batches, vocabulary: str):
     yield from closed()
 
 
+@gives_back
 def _pieces(batches, vocabulary: str):
-    """(block, number, n): rows come sorted by pre-token, and each run of equal ones is counted once."""
-    last, n_last = None, 0
+    """(block, numbers, counts): rows come sorted by pre-token, and each run of equal ones is counted once. Up to ANSWERED rows are
+    answered together, one row for each block among them."""
+    last, n_last, held, size = None, 0, [], 0
+
+    def answers():
+        block, number, n = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((number, block))
+        block, number, n = block[order], number[order], n[order]
+        starts = np.flatnonzero(np.diff(block, prepend=-1))
+        parts = [(number[a:b], n[a:b]) for a, b in zip(starts, [*starts[1:], len(block)])]
+        return pa.RecordBatch.from_arrays([pa.array(block[starts]), pa.array([_pack(x) for x, _ in parts]), pa.array([_pack_counts(x) for _, x in parts])], names=["block", "numbers", "counts"])
+
     for batch in batches:
         words = batch.column(2)
         if not len(words):
@@ -114,13 +129,20 @@ def _pieces(batches, vocabulary: str):
         counts = dict(zip(fresh, subwords.count(fresh, vocabulary).tolist()))
         n = np.array([n_last if x == last else counts[x] for x in distinct], dtype=np.int64)[coded.indices.to_numpy()]
         last, n_last = words[-1].as_py(), int(n[-1])
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n)], names=["block", "number", "n"])
+        held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), n))
+        size += len(n)
+        if size >= ANSWERED:
+            yield answers()
+            held, size = [], 0
+    if held:
+        yield answers()
 
 
 def _sums(docs: pa.Table, answers: pa.Table) -> pa.Table:
-    number = answers["number"].to_numpy()
-    n_pieces = np.zeros(len(number), dtype=np.int64)
-    n_pieces[number] = answers["n"].to_numpy()
+    parts = [(_unpack(a.as_py()), _unpack_counts(b.as_py())) for a, b in zip(answers["numbers"], answers["counts"])]
+    n_pieces = np.zeros(sum(len(x) for x, _ in parts), dtype=np.int64)
+    for number, n in parts:
+        n_pieces[number] = n
     totals = [int(n_pieces[_unpack(a.as_py())] @ _unpack_counts(b.as_py())) for a, b in zip(docs["numbers"], docs["counts"])]
     return pa.table({"doc_id": docs["doc_id"], "n_bytes": docs["n_bytes"], "n_tokens": pa.array(totals, pa.int64())})
 
@@ -131,7 +153,7 @@ def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", vocab
     rows = staged(rows, "pretokens")
     listed = rows.filter("words IS NOT NULL").select("block", "base", F.posexplode("words").alias("at", "word"))
     asked = listed.select("block", (F.col("base") + F.col("at")).alias("number"), "word").repartition("word").sortWithinPartitions("word")
-    answers = asked.mapInArrow(partial(_pieces, vocabulary=vocabulary), "block long, number int, n long")
+    answers = asked.mapInArrow(partial(_pieces, vocabulary=vocabulary), "block long, numbers binary, counts binary")
     held = rows.filter("words IS NULL").select("block", "doc_id", "n_bytes", "numbers", "counts")
     return held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_sums, "doc_id long, n_bytes long, n_tokens long")
 
