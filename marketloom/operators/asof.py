@@ -76,12 +76,20 @@ def near_join(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, ri
     return a.join(b, [*by, "__bucket"]).filter(apart).drop("__bucket")
 
 
-def in_window(points: DataFrame, windows: DataFrame, at: str, start: str, end: str) -> DataFrame:
-    """O-32, O-14: points with the window [start, end) that holds them, NULL columns if none. Windows must not overlap."""
-    found = asof_join(points.withColumn("__all", F.lit(1)), windows.withColumn("__all", F.lit(1)), ["__all"], at, start)
-    hit = F.col(at) < F.col(end)
-    extra = [c for c in windows.columns]
-    return found.select(*[F.when(hit, F.col(c)).alias(c) if c in extra else F.col(c) for c in found.columns if c != "__all"])
+def in_window(points: DataFrame, windows: DataFrame, at: str, start: str, end: str, strict: bool = False) -> DataFrame:
+    """O-32, O-14: points with the window [start, end) that holds them, NULL columns if none. Windows must not overlap.
+
+    Windows are laid out over the days that they touch, so the join is an equality on the day and a point meets one day's windows. strict
+    fails on a point in no window, as publishing a finished day must.
+    """
+    last = F.to_date(F.timestamp_add("MICROSECOND", F.lit(-1), F.col(end)))
+    laid = windows.withColumn("__day", F.explode(F.sequence(F.to_date(start), last)))
+    day = F.to_date(at)
+    inside = (day == F.col("__day")) & (F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))
+    found = points.join(laid, inside, "left").drop("__day")
+    if strict:
+        found = found.withColumn(start, F.when(F.col(start).isNull(), F.raise_error(F.lit("a point lies in no window"))).otherwise(F.col(start)))
+    return found
 
 
 def latest(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:

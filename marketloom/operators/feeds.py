@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -33,12 +33,30 @@ def memberships(pairs: DataFrame, universe: DataFrame, key: str, group: str) ->
     return known, has.agg(F.count("has").alias("matched"), (F.count("*") - F.count("has")).alias("unmatched"))
 
 
+# Patterns of names that are no common stock, first match first.
+NOT_EQUITY = {
+    "note": r"(?i)\bnotes?\b|\bdue \d{4}\b|debenture|subordinated",
+    "preferred": r"(?i)preferred|depositary|\bpfd\b",
+    "fund": r"(?i)\bfund\b",
+    "rights": r"(?i)\brights?\b",
+}
+
+
+def exclusion(name: str) -> Column:
+    """O-20b: why a listing of common stock is none by its name, else NULL."""
+    out = None
+    for reason, pattern in NOT_EQUITY.items():
+        hit = F.col(name).rlike(pattern)
+        out = F.when(hit, reason) if out is None else out.when(hit, reason)
+    return out
+
+
 def universe_from_bars(bars: DataFrame, listings: DataFrame) -> DataFrame:
     """O-20c, O-20d, O-20e: each traded ticker with its best listing that is no fund or note, or the reason for none.
 
     listings: ticker, kind, name, active. CS listings whose name passes are kept; otherwise 'adr' if an ADR exists, else 'no row'.
     """
-    bad = F.col("name").rlike("(?i)note|preferred|fund|rights")
+    bad = exclusion("name").isNotNull()
     own = listings.groupBy("ticker").agg(F.min_by("name", F.when((F.col("kind") == "CS") & ~bad, F.struct(F.when(F.col("active"), 0).otherwise(1), F.col("name")))).alias("best"), F.max(F.col("kind") == "ADR").alias("adr"))
     out = bars.select("ticker").distinct().join(own, "ticker", "left")
     return out.select("ticker", F.col("best").alias("name"), F.when(F.col("best").isNotNull(), "kept").when(F.col("adr"), "adr").otherwise("no row").alias("reason"))

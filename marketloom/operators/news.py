@@ -6,9 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# A small lexicon, corporate suffixes, and phrases of closed articles.
-POSITIVE = ["gain", "rise", "beat", "strong", "growth", "on", "tion"]
-NEGATIVE = ["loss", "fall", "miss", "weak", "decline", "an", "er"]
+# Corporate suffixes, and phrases of closed articles.
 SUFFIXES = ["inc", "corp", "corporation", "co", "company", "ltd", "plc", "group", "holdings"]
 PAYWALLS = "subscribe to read|sign in to continue|for subscribers only"
 
@@ -45,20 +43,33 @@ def tokens(text: str) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^a-z0-9]+"), lambda x: x != ""))
 
 
-def attribute(docs: DataFrame, names: DataFrame) -> DataFrame:
-    """O-223: (doc_id, symbol) for each one-word name that occurs in a text as a word.
+def attribute(docs: DataFrame, names: DataFrame, longest: int = 6) -> DataFrame:
+    """O-100, O-223: (doc_id, symbol, kind) for each symbol that a text names: 'phrase' if all words of a name stand there in order, 'cashtag' for
+    '$' and the ticker in upper case. A cashtag that is no known ticker, and a name that is only begun, are rejected.
 
-    names: symbol, name; a table of known size (a universe), joined by equality on words.
+    names: symbol, name (any number of words up to longest), ticker or NULL; a universe. Its first words meet the texts' words in an equality
+    join that carries only the words that follow, so no text is compared with every name.
     """
-    words = docs.select("doc_id", F.explode(tokens("text")).alias("name"))
-    return words.join(names, "name").select("doc_id", "symbol").distinct()
+    split = F.filter(F.split(F.lower(F.col("name")), r"[^a-z0-9]+"), lambda x: x != "")
+    known = names.select("symbol", split.alias("want")).filter(F.size("want").between(1, longest)).withColumn("first", F.get("want", F.lit(0)))
+    words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^a-z0-9]+"), lambda x: x != "")
+    ahead = docs.select("doc_id", words.alias("w")).filter(F.size("w") > 0)
+    ahead = ahead.select("doc_id", F.explode(F.array_distinct(F.transform("w", lambda x, i: F.slice("w", i + 1, longest)))).alias("next"))
+    phrase = ahead.join(known, F.get("next", F.lit(0)) == F.col("first")).filter(F.slice("next", F.lit(1), F.size("want")) == F.col("want")).select("doc_id", "symbol", F.lit("phrase").alias("kind"))
+    tags = docs.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"\$([A-Z]{1,5})\b"), F.lit(1)))).alias("ticker"))
+    cash = tags.join(names.filter("ticker IS NOT NULL").select("symbol", "ticker"), "ticker").select("doc_id", "symbol", F.lit("cashtag").alias("kind"))
+    return phrase.union(cash).distinct()
 
 
-def lexicon_scores(docs: DataFrame) -> DataFrame:
-    """O-224: shares of positive and negative words, their difference and a label; the default of a pluggable scorer."""
-    words = F.split(F.lower(F.btrim(F.coalesce("text", F.lit("")))), r"\s+")
-    share = lambda names: F.size(F.filter(F.col("__w"), lambda x: x.isin(names))) / F.greatest(F.size("__w"), F.lit(1))
-    rows = docs.withColumn("__w", words).select(*docs.columns, share(POSITIVE).alias("score_pos"), share(NEGATIVE).alias("score_neg"))
+def lexicon_scores(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """O-224: (doc_id, shares of positive and negative words, their difference, label); the default of a pluggable scorer.
+
+    lexicon: word and polarity (1 or -1), one row for each word; joined to the words of each document, counted before they meet it.
+    """
+    words = docs.select("doc_id", F.explode(F.split(F.lower(F.btrim(F.coalesce("text", F.lit("")))), r"\s+")).alias("word"))
+    counted = words.groupBy("doc_id", "word").agg(F.count("*").alias("n")).join(lexicon, "word", "left")
+    share = lambda sign: F.sum(F.when(F.col("polarity") == sign, F.col("n")).otherwise(0)) / F.sum("n")
+    rows = counted.groupBy("doc_id").agg(share(1).alias("score_pos"), share(-1).alias("score_neg"))
     agg = F.col("score_pos") - F.col("score_neg")
     return rows.withColumns({"score_agg": agg, "label": F.when(agg > 0.02, "positive").when(agg < -0.02, "negative").otherwise("neutral")})
 

@@ -99,3 +99,11 @@ def rearming(times: Column, values: Column, threshold: float, silent: int) -> Co
 
     pairs = F.zip_with(times, values, lambda t, v: F.struct(t.cast("long").alias("t"), v.alias("v")))
     return F.aggregate(pairs, start, step)["all"]
+
+
+def missing_sessions(rows: DataFrame, sessions: DataFrame, cap: int) -> DataFrame:
+    """O-86: the newest cap sessions that each symbol lacks. The calendar (a row a day) is one array, and a symbol's dates are another."""
+    days = sessions.agg(F.collect_set("date").alias("__days"))
+    own = rows.groupBy("symbol").agg(F.collect_set("date").alias("__own"))
+    lacking = F.slice(F.sort_array(F.array_except("__days", "__own"), asc=False), 1, cap)
+    return own.crossJoin(F.broadcast(days)).select("symbol", F.explode(lacking).alias("date"))  # one row

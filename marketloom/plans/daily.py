@@ -245,10 +245,7 @@ def o81_top_per_day(spark, d):
 @query(BARS + """ , c AS (SELECT s.symbol, d.date FROM (SELECT DISTINCT symbol FROM bars) s, sessions d) SELECT c.symbol, c.date FROM c ANTI JOIN bars b ON b.symbol = c.symbol AND b.date = c.date
  QUALIFY row_number() OVER (PARTITION BY c.symbol ORDER BY c.date DESC) <= 10""")
 def o86_missing_sessions(spark, d):
-    b = bars(spark, d).select("symbol", "date")
-    days = sessions(spark, d).select("date")
-    every = b.select("symbol").distinct().join(F.broadcast(days))
-    return rolling.top_n(every.join(b, ["symbol", "date"], "left_anti").withColumn("k", F.unix_date("date")), ["symbol"], "k", "date", 10).select("symbol", "date")
+    return rolling.missing_sessions(bars(spark, d).select("symbol", "date"), sessions(spark, d), 10)
 
 
 @query(BARS + """ SELECT symbol, f32(last(close ORDER BY day_idx) * max(weight)) AS cap FROM bars JOIN sectors USING (symbol) WHERE weight > 0 GROUP BY symbol HAVING last(close ORDER BY day_idx) * max(weight) > 1000000""")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketloom.operators import asof
+from marketloom.operators import asof, feeds
 from marketloom.plans.base import BARS, bars, query, read, rounded
 from marketloom.sources import io
 
@@ -81,9 +81,7 @@ def o14_o32_window_lookup(spark, d):
     e = read(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
     days = e.select(F.timestamp_add("HOUR", F.lit(9), F.date_trunc("day", "ts")).alias("start_ts")).distinct()
     w = days.select("start_ts", F.timestamp_add("HOUR", F.lit(8), F.col("start_ts")).alias("end_ts"), F.row_number().over(Window.orderBy("start_ts")).cast("long").alias("win"))
-    # The windows are one a day; a range join against them broadcast touches each event once.
-    on = (F.col("ts") >= F.col("start_ts")) & (F.col("ts") < F.col("end_ts"))
-    return e.join(F.broadcast(w), on, "left").select("event_id", "win")
+    return asof.in_window(e, w, "ts", "start_ts", "end_ts").select("event_id", "win")
 
 
 @query(BARS + " SELECT symbol, arg_max(date, (trades, date)) AS busiest FROM bars GROUP BY symbol")
@@ -91,8 +89,12 @@ def o20f_listing_pick(spark, d):
     return asof.latest(bars(spark, d), ["symbol"], [F.desc("trades"), F.desc("date")]).select("symbol", F.col("date").alias("busiest"))
 
 
-@query("""SELECT p_partkey, CASE WHEN regexp_matches(p_type, '(?i)note|steel') THEN 'note' WHEN regexp_matches(p_type, '(?i)pref|tin') THEN 'preferred' END AS reason, CASE WHEN p_size >= 40 THEN 'big+' ELSE '' END || CASE WHEN p_retailprice > 1000 THEN 'dear' ELSE '' END AS why FROM part""")
+_KINDS = ["Corp", "Notes due 2031", "6.5% Pfd Series A", "Growth Fund", "Rights", "Brights and Prefunded Co", "Depositary Shares", "Subordinated Debenture"]
+
+
+@query(r"""WITH n AS (SELECT p_partkey, p_name || ' ' || (""" + str(_KINDS) + r""")[p_partkey % 8 + 1] AS name FROM part)
+ SELECT p_partkey, CASE WHEN regexp_matches(name, '(?i)\bnotes?\b|\bdue \d{4}\b|debenture|subordinated') THEN 'note' WHEN regexp_matches(name, '(?i)preferred|depositary|\bpfd\b') THEN 'preferred' WHEN regexp_matches(name, '(?i)\bfund\b') THEN 'fund' WHEN regexp_matches(name, '(?i)\brights?\b') THEN 'rights' END AS reason FROM n""")
 def o20b_exclusions(spark, d):
-    reason = F.when(F.col("p_type").rlike("(?i)note|steel"), "note").when(F.col("p_type").rlike("(?i)pref|tin"), "preferred")
-    why = F.concat(F.when(F.col("p_size") >= 40, "big+").otherwise(""), F.when(F.col("p_retailprice") > 1000, "dear").otherwise(""))
-    return read(spark, d, "part").select("p_partkey", reason.alias("reason"), why.alias("why"))
+    kind = F.get(F.array(*[F.lit(k) for k in _KINDS]), (F.col("p_partkey") % 8).cast("int"))
+    named = read(spark, d, "part").select("p_partkey", F.concat_ws(" ", "p_name", kind).alias("name"))
+    return named.select("p_partkey", feeds.exclusion("name").alias("reason"))
