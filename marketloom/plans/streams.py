@@ -18,28 +18,97 @@ def _stream(spark, d):
 
 
 def _work(spark) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/marketloom"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = "file:///tmp/marketloom"
     return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
-def _complete(spark, df, mode: str = "append"):
-    """Runs a query over all available data into a written table."""
+def _appended(spark, df):
+    """Runs an append-mode query over all available data; what every epoch appended, read back."""
     out = _work(spark)
-    schema = df.schema
-
-    def write(batch, epoch):
-        batch.write.mode("overwrite").parquet(f"{out}/rows/epoch={epoch}")
-
-    df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(schema).parquet(f"{out}/rows/*")
+    df.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(df.schema).parquet(f"{out}/rows")
 
 
 @query(POLLS + """, b AS (SELECT symbol, time_bucket(INTERVAL 1 HOUR, ts) AS start, arg_min(price, (ts, price)) AS open, max(price) AS high, min(price) AS low, arg_max(price, (ts, price)) AS close, sum(volume) AS volume, sum(price * volume) / sum(volume) AS vwap, count(*) AS n FROM polls GROUP BY ALL)
- SELECT symbol, start, f32(open) AS open, f32(high) AS high, f32(low) AS low, f32(close) AS close, volume, f32(vwap) AS vwap, n FROM b""")
+ SELECT symbol, start, f32(open) AS open, f32(high) AS high, f32(low) AS low, f32(close) AS close, volume, f32(vwap) AS vwap, n FROM b WHERE start + INTERVAL 70 MINUTES <= (SELECT max(ts) FROM polls)""")
 def o239_streaming_bars(spark, d):
-    return rounded(_complete(spark, streams.tumbling_bars(_stream(spark, d), "1 hour"), "complete"))
+    """Append mode: a bar is final, and its state is dropped, once the watermark (10 minutes behind the newest row) has passed its end."""
+    return rounded(_appended(spark, streams.tumbling_bars(_stream(spark, d), "1 hour")))
 
 
 @query(POLLS + " SELECT symbol, f32(arg_max(price, ts)) AS price, arg_max(volume, ts) AS volume, max(ts) AS ts FROM polls GROUP BY symbol")
 def o234_latest_values(spark, d):
-    return rounded(_complete(spark, streams.latest_values(_stream(spark, d)), "complete"))
+    """Update mode into a table of the latest row for each symbol."""
+    out, df = _work(spark), streams.latest_values(_stream(spark, d))
+    run = streams.upsert_sink(df, ["symbol"], f"{out}/latest", f"{out}/checkpoint").start()
+    run.awaitTermination()
+    newest = max(p["batchId"] for p in run.recentProgress)
+    return rounded(spark.read.schema(df.schema).parquet(f"{out}/latest/version={newest}"))
+
+
+def _envelopes(spark, d):
+    """Events as JSON envelopes of one poll; those of odd user ids in the hundreds are of a version that isn't known."""
+    t = read(spark, d, "events")
+    raw = spark.readStream.schema(t.schema).option("pathGlobFilter", "events.parquet*").parquet(f"{d}/events.parquet*")
+    row = F.array(F.struct(F.col("event_type").alias("symbol"), F.col("value").alias("price"), (F.get_json_object("props", "$.k").cast("double") + 1).alias("volume")))
+    version = F.when(F.col("user_id") % 7 == 3, 2).otherwise(1)
+    body = F.struct(version.alias("schema_version"), F.lit("feed").alias("source"), F.lit("poll").alias("kind"), F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("ts_utc"), F.col("event_id").alias("feed_seq"), row.alias("rows"), F.concat(F.lit("k"), F.col("event_id")).alias("_key"))
+    return raw.select(F.to_json(body).alias("value"))
+
+
+_NY = "ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York'"
+_GOOD = rf"SELECT event_id AS feed_seq, ({_NY})::DATE AS date, hour({_NY})::INT AS hour, event_type AS symbol, f32(value) AS price, regexp_extract(props, '(\d+)', 1)::DOUBLE + 1 AS volume FROM events WHERE user_id % 7 <> 3"
+
+
+@query(_GOOD)
+def o230_ingest(spark, d):
+    """Envelopes to rows, appended to a table by source, day and hour."""
+    rows = streams.poll_rows(streams.parsed(_envelopes(spark, d)))
+    out = _work(spark)
+    streams.sink(rows, f"{out}/polls", f"{out}/checkpoint").start().awaitTermination()
+    return rounded(spark.read.schema(rows.schema).parquet(f"{out}/polls").select("feed_seq", "date", "hour", "symbol", "price", "volume"))
+
+
+@query(_GOOD.replace("SELECT event_id AS feed_seq, ", "SELECT event_id AS feed_seq, 'k' || event_id AS key, ").split(", (")[0] + " FROM events WHERE user_id % 7 <> 3")
+def o231_redelivery(spark, d):
+    """Every envelope is delivered twice; each key passes once."""
+    twice = _envelopes(spark, d).select("value", F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery")).drop("delivery")
+    rows = streams.poll_rows(streams.parsed(twice))
+    return _appended(spark, streams.once(rows)).select("feed_seq", F.col("_key").alias("key"))
+
+
+@query("SELECT CASE WHEN user_id % 7 = 3 THEN 'version' ELSE 'good' END AS kind, count(*) AS n FROM events GROUP BY 1")
+def o233_split_sink(spark, d):
+    """Good rows and bad messages to two tables from one pass."""
+    out = _work(spark)
+    batches = streams.parsed(_envelopes(spark, d))
+    streams.split_sink(batches, f"{out}/good", f"{out}/bad", f"{out}/checkpoint").start().awaitTermination()
+    good, bad = spark.read.parquet(f"{out}/good/*"), spark.read.parquet(f"{out}/bad/*")
+    return good.select(F.lit("good").alias("kind")).union(bad.select("problem")).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query(r"""WITH m AS (SELECT CASE WHEN user_id % 11 <> 0 THEN event_type END AS type, CASE WHEN user_id % 5 = 0 THEN 2 ELSE 1 END AS v, regexp_extract(props, '(\d+)', 1)::INT AS k FROM events)
+ SELECT type, problem, count(*) AS count FROM (SELECT type, CASE WHEN type IS NULL THEN 'unparseable' WHEN type = 'error' THEN 'unknown type' WHEN v <> 1 THEN 'version' WHEN k * 100 > 5000 THEN 'clock' END AS problem FROM m) WHERE problem IS NOT NULL GROUP BY ALL""")
+def o237_problem_counts(spark, d):
+    e = read(spark, d, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    ts = F.col("ts").cast("timestamp")
+    m = e.select(F.when(F.col("user_id") % 11 != 0, F.col("event_type")).alias("type"), F.when(F.col("user_id") % 5 == 0, 2).otherwise(1).alias("schema_version"), ts.alias("ts"), F.timestamp_add("MILLISECOND", k * 100, ts).alias("sent"))
+    return streams.problem_counts(m, ["view", "signup", "click", "purchase"], "sent")
+
+
+@query("SELECT user_id AS party, epoch(TIMESTAMP '2024-01-31')::BIGINT - floor(epoch(max(ts)))::BIGINT AS age_s, epoch(TIMESTAMP '2024-01-31')::BIGINT - floor(epoch(max(ts)))::BIGINT > 86400 AS offline FROM events GROUP BY user_id")
+def o238_liveness(spark, d):
+    status = read(spark, d, "events").select(F.col("user_id").alias("party"), F.col("ts").cast("timestamp").alias("ts"))
+    return streams.stale(status, "2024-01-31 00:00:00", 86400)
+
+
+@query()
+def o235_recommendations(spark, d):
+    """Repeats within an hour of a recommendation are suppressed; tested against brute force."""
+    polls = read(spark, d, "events").select(F.col("user_id").cast("string").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("price"))
+    return streams.recommend(polls, 3600)

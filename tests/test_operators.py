@@ -207,3 +207,51 @@ def test_capped_moves_by_bisection(spark):
                 low, high = (s, high) if sum(min(0.25, s * c) for c, _ in others) < 1 else (low, s)
             want = sum(min(0.25, s * c) * m for c, m in others)
         assert abs(r.others_move - want) < 1e-6
+
+
+def test_recommendations_brute_force(spark, sf):
+    from collections import defaultdict
+    from datetime import timedelta
+
+    from marketloom.plans.streams import o235_recommendations
+
+    by, want = defaultdict(list), set()
+    for r in spark.read.parquet(f"{sf}/events.parquet").selectExpr("user_id", "cast(ts as timestamp) ts", "value").collect():
+        by[str(r.user_id)].append((r.ts, r.value))
+    for symbol, own in by.items():
+        until = None
+        for ts, price in sorted(own):
+            if until is None or ts >= until:
+                until = ts + timedelta(hours=1)
+                want.add((symbol, ts, price, until))
+    assert {tuple(r) for r in o235_recommendations(spark, sf).collect()} == want
+
+
+def test_article_bodies(spark):
+    from marketloom.operators import news
+
+    html = '<html lang="en"><head><title>A b</title></head><nav>menu</nav><p>One <b>two</b></p><script>x = 1</script> three</html>'
+    pages = spark.createDataFrame([(1, "https://www.site.org/x", html), (2, None, None)], "page_id long, url string, html string")
+    got = {r.page_id: r for r in news.articles(pages).collect()}
+    assert got[1].body == "One two three" and got[1].title == "A b" and got[1].site == "site.org" and got[2].body == ""
+
+
+def test_attribution_phrases_and_cashtags(spark):
+    from marketloom.operators import news
+
+    names = spark.createDataFrame([(1, "Blue-Sky Holdings", "BSK"), (2, "Blue", None), (3, "sky holdings two", "XX")], "symbol long, name string, ticker string")
+    docs = spark.createDataFrame([(1, "The blue sky, holdings fell"), (2, "blue skies $BSK up"), (3, "$ZZZ or bsk"), (4, None), (5, "$XXY sky holdings")], "doc_id long, text string")
+    got = {tuple(r) for r in news.attribute(docs, names).collect()}
+    assert got == {(1, 1, "phrase"), (1, 2, "phrase"), (2, 2, "phrase"), (2, 1, "cashtag")}
+
+
+def test_window_lookup_strict(spark):
+    import pytest as pt
+
+    from marketloom.operators import asof
+
+    w = spark.sql("SELECT timestamp'2024-01-01 22:00:00' AS s, timestamp'2024-01-03 02:00:00' AS e, 7 AS id")
+    points = spark.sql("SELECT * FROM VALUES (timestamp'2024-01-01 21:59:59'), (timestamp'2024-01-01 22:00:00'), (timestamp'2024-01-02 12:00:00'), (timestamp'2024-01-03 02:00:00') AS t(at)")
+    assert [r.id for r in asof.in_window(points, w, "at", "s", "e").orderBy("at").collect()] == [None, 7, 7, None]
+    with pt.raises(Exception, match="no window"):
+        asof.in_window(points, w, "at", "s", "e", strict=True).collect()
