@@ -51,6 +51,11 @@ def exclusion(name: str) -> Column:
     return out
 
 
+def survivors(listings: DataFrame, since: str) -> DataFrame:
+    """O-20e: listings that are active, or were delisted on or after a date (NULL: not known, so left out unless active)."""
+    return listings.filter(F.col("active") | (F.col("delisted") >= F.lit(since).cast("date")))
+
+
 def universe_from_bars(bars: DataFrame, listings: DataFrame) -> DataFrame:
     """O-20c, O-20d, O-20e: each traded ticker with its best listing that is no fund or note, or the reason for none.
 

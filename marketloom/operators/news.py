@@ -101,3 +101,10 @@ def age_minutes(text: str) -> Column:
 def article_id(*parts: str) -> Column:
     """O-101: a stable id of an article."""
     return F.substring(F.sha1(F.encode(F.concat_ws("|", *parts), "UTF-8")), 1, 16)
+
+
+def listing_report(items: DataFrame) -> DataFrame:
+    """O-222: listed = stored + new + duplicate + failed, for each listing page and over all, in one pass. items: page, fate."""
+    fates = [F.count_if(F.col("fate") == f).alias(f) for f in ("stored", "new", "duplicate", "failed")]
+    out = items.groupingSets([["page"], []], "page").agg(F.count("*").alias("listed"), *fates, F.grouping("page").alias("__all"))
+    return out.withColumn("page", F.when(F.col("__all") == 1, F.lit("all")).otherwise(F.col("page"))).drop("__all")

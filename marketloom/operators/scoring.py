@@ -107,14 +107,18 @@ def bootstrap(daily: DataFrame, a: str, b: str, replicates: int = 200) -> DataFr
 def rolling_offsets(rows: DataFrame, sessions: int, least: int) -> DataFrame:
     """O-198: for each day and level, the shift that would have made the level right over the sessions before.
 
-    Every residual is laid out to the sessions that follow it (an equality join), and its quantile is taken there.
+    Residuals are gathered once into an array for each day and level (a cross-section), and whole arrays, not rows, are laid out to the
+    sessions that follow. A group is a universe times a few sessions; its exact quantile is read from the sorted values.
     """
-    r = rows.select("day_idx", F.posexplode("q").alias("i", "v"), "actual").select("day_idx", "i", (F.col("actual") - F.col("v")).alias("res"))
-    later = r.withColumn("day_idx", F.explode(F.sequence(F.col("day_idx") + 1, F.col("day_idx") + sessions)))
+    r = rows.select("day_idx", F.posexplode("q").alias("i", "v"), "actual")
+    per = r.groupBy("day_idx", "i").agg(F.collect_list(F.col("actual") - F.col("v")).alias("res"))
+    later = per.select(F.explode(F.sequence(F.col("day_idx") + 1, F.col("day_idx") + sessions)).alias("day_idx"), "i", "res")
     tau = F.get(F.array(*[F.lit(t) for t in TAUS]), F.col("i"))
-    parts = [F.when(F.first("i") == i, F.percentile("res", F.lit(t))) for i, t in enumerate(TAUS)]
-    out = later.groupBy("day_idx", "i").agg(F.count("*").alias("n"), F.coalesce(*parts).alias("shift"))
-    return out.filter(F.col("n") >= least).select("day_idx", tau.alias("tau"), "n", "shift")
+    held = later.groupBy("day_idx", "i").agg(F.sort_array(F.flatten(F.collect_list("res"))).alias("x"))
+    held = held.select("day_idx", tau.alias("tau"), "x", F.size("x").cast("long").alias("n")).filter(F.col("n") >= least)
+    place = (F.col("n") - 1) * F.col("tau")
+    low, high = F.get("x", F.floor(place).cast("int")), F.get("x", F.ceil(place).cast("int"))
+    return held.select("day_idx", "tau", "n", (low + (high - low) * (place - F.floor(place))).alias("shift"))
 
 
 def fold_shifts(rows: DataFrame, least: int) -> DataFrame:

@@ -11,10 +11,10 @@ from marketloom.functions.expr import null_if_nan, number
 from marketloom.operators.asof import latest
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, since: str | None = None, until: str | None = None, key: str | None = None) -> DataFrame:
-    """O-01: JSON lines whose file names carry a date, within [since, until]; rows without a key are dropped."""
+def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, since: str | None = None, until: str | None = None, key: str | None = None, dated: str = "file_name") -> DataFrame:
+    """O-01: JSON lines whose file names (or paths: dated) carry a date, within [since, until]; rows without a key are dropped."""
     df = spark.read.schema(schema).json(path)
-    day = F.to_date(F.regexp_extract(F.col("_metadata.file_name"), r"(\d{4}-\d{2}-\d{2})", 1).try_cast("date"))
+    day = F.to_date(F.regexp_extract(F.col(f"_metadata.{dated}"), r"(\d{4}-\d{2}-\d{2})", 1).try_cast("date"))
     df = df.select("*", day.alias("file_date"))
     for bound, keep in ((since, F.col("file_date") >= F.lit(since)), (until, F.col("file_date") <= F.lit(until))):
         df = df.filter(keep) if bound else df
@@ -134,3 +134,17 @@ def month_of(ts: Column) -> Column:
 def poll_index(rows: DataFrame, day: str, ts: str) -> DataFrame:
     """O-06: feed_seq, the dense index of a poll's time in its day, from 0."""
     return rows.withColumn("feed_seq", F.dense_rank().over(Window.partitionBy(day).orderBy(ts)) - 1)
+
+
+def drifting_csv(lines: DataFrame, key: str, names: list[str]) -> DataFrame:
+    """O-06: rows of CSV files whose headers drift: each file's own header says where a column is; absent columns are NULL.
+
+    lines: file, value (plain cells without quotes). A line that holds the key column's name as a cell is a header; one row for each file,
+    so headers meet the lines by an equality join on the file.
+    """
+    cells = lines.select("file", F.split("value", ",").alias("cells"))
+    is_head = F.array_contains("cells", key)
+    heads = cells.filter(is_head).groupBy("file").agg(F.first("cells").alias("head"))
+    rows = cells.filter(~is_head).join(heads, "file")
+    at = lambda n: F.when(F.array_contains("head", n), F.nullif(F.get("cells", (F.array_position("head", n) - 1).cast("int")), F.lit("")))
+    return rows.select(*[at(n).alias(n) for n in names])
