@@ -22,7 +22,7 @@ def o20k_body_status(spark, d):
 # The universe: items of the benchmark, named by their first three words; every word is positive or negative by the items that use it.
 _TOKENS = "list_filter(string_split_regex(lower({0}), '[^a-z0-9]+'), lambda x: x <> '')"
 _NAMES = f"nm AS (SELECT item_id::BIGINT AS symbol, want[1:3] AS want, upper(regexp_extract(text, '^([A-Za-z]{{1,5}})', 1)) AS ticker FROM (SELECT *, {_TOKENS.format('text')} AS want FROM benchmark) WHERE len(want) > 0)"
-_LINKS = f"""{_NAMES}, w AS (SELECT doc_id, {_TOKENS.format("coalesce(text, '')")} AS w FROM documents), ah AS (SELECT doc_id, unnest(list_transform(generate_series(1, len(w)), lambda i: w[i:i+2])) AS nx FROM w WHERE len(w) > 0)
+_LINKS = rf"""{_NAMES}, w AS (SELECT doc_id, {_TOKENS.format("coalesce(text, '')")} AS w FROM documents), ah AS (SELECT doc_id, unnest(list_transform(generate_series(1, len(w)), lambda i: w[i:i+2])) AS nx FROM w WHERE len(w) > 0)
  , links AS (SELECT DISTINCT doc_id, symbol, 'phrase' AS kind FROM ah JOIN nm ON ah.nx[1] = nm.want[1] AND ah.nx[1:len(nm.want)] = nm.want UNION
  SELECT DISTINCT doc_id, symbol, 'cashtag' FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '\$([A-Z]{{1,5}})\b', 1)) AS ticker FROM documents) JOIN nm USING (ticker))"""
 _SCORES = """lx AS (SELECT word, sign(sum(CASE WHEN item_id % 2 = 0 THEN 1 ELSE -1 END)) AS polarity FROM (SELECT item_id, unnest(string_split_regex(lower(trim(text)), '\\s+')) AS word FROM benchmark) GROUP BY word)
