@@ -17,6 +17,7 @@ earlier one. Extra columns are not read. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from bisect import bisect
 from collections import defaultdict
 from functools import lru_cache, partial
 
@@ -158,10 +159,11 @@ def chained(runs: list[tuple[int, int, dict[str, list[int]]]]) -> list[tuple[str
             open_[name] = near + new
     out = []
     for name in open_:
-        taken: list[tuple[int, int]] = []
+        taken: list[tuple[int, int]] = []  # in order
         for first, last, covered in sorted({*done[name], *(x[:3] for x in open_[name])}, key=lambda x: (-x[2], x[0], x[1])):
-            if all(last < a or first > b for a, b in taken):
-                taken.append((first, last))
+            k = bisect(taken, (first, last))
+            if (k == 0 or taken[k - 1][1] < first) and (k == len(taken) or last < taken[k][0]):
+                taken.insert(k, (first, last))
                 out.append((name, first, last, covered))
     return sorted(out, key=lambda x: (x[1], x[2], x[0]))
 
