@@ -2,6 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes every stage's result to the folder that executors
 share and reads it again as the next stage's docs. All stages but the last return the columns of documents.
+
+Defined cases, for every stage. A null id: the row is judged like any other; near-duplicates among such rows keep one (of a component with
+ids, the one with the smallest id), and mixing places them all in one block. A null text is an empty one: quality rules reject it; the stages
+after them, called by themselves, keep it (no evidence of toxicity, linked with nothing, one token in mixing, one piece with the end token).
+Null languages and sources change nothing but mixing, where a null source is a source of its own. Very long texts are handled whole. Rows
+that repeat (id and text) are judged alike; near-duplicates keep one of them. Ties: near-duplicates keep the smallest id; elsewhere nothing is
+ranked. An empty table gives an empty one. Extra columns pass through all stages but packing, whatever their names.
 """
 
 from __future__ import annotations
