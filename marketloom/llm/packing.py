@@ -7,7 +7,8 @@ batches of one shape are drawn. No sequence crosses documents and nothing is pad
 Tokens never leave the task that made them (a checksum does); a piece's number in its bucket comes from a hash slot, a row number
 in that slot and a small table of slot counts, so no bucket is ever gathered in one task.
 
-Defined cases. A null text is empty: one piece with only the end token. Repeated rows are documents of their own. Extra columns
+Defined cases. A null text is empty: one piece with only the end token. Repeated rows are documents of their own, also with null ids.
+Very long texts are encoded whole, alone in their portion; ties are numbered by id, start and checksum. Extra columns
 are not read. An empty table gives an empty result.
 """
 

@@ -12,9 +12,9 @@ An archive's name holds its writer's attempt; only ranges in the manifest, which
 
 Which payloads repeat is a table of digests; it is broadcast while it takes at most common.MOST_BROADCAST_BYTES, else joined by a shuffle.
 
-Defined cases. A null html is empty. A null page_id is written as none: equal payloads never refer to it if another page has them, and it
-is a revisit like others; pages with null ids only are all responses. Very long pages are cut into chunks. Rows that repeat the smallest page_id of a payload are all responses. Extra columns are not
-read. An empty table gives an empty result.
+Defined cases. A null html is empty. A page without an id is a revisit like others where another page with an id has its payload; pages
+whose payload only occurs without ids are all responses. Rows that repeat the smallest page_id of a payload are all responses. Very long
+pages are cut into chunks. Extra columns are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -250,6 +250,26 @@ def test_pipeline(spark, sf):
     assert len({r.sequence_id for r in out}) == len(out) and packing.MOST == 2048
 
 
+def test_pipeline_stages_on_odd_rows(spark, sf):
+    """Nulls in any column, empty and very long texts, repeated rows, an empty table, and columns with clashing names, for every stage."""
+    rng = random.Random(8)
+    prose = lambda k: " ".join(f"word{rng.randrange(5000)}" for _ in range(k))
+    one = prose(60)
+    texts = [(1, one), (1, one), (2, one), (None, one), (None, prose(50)), (3, None), (4, ""), (5, prose(30_000)), (6, prose(40)), (7, prose(45))]
+    rows = [(i, t, [None, "en"][k % 2], [None, "a", "b"][k % 3], len(t or ""), k, "x", 1.5, "b") for k, (i, t) in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int, epoch int, __row string, __whole double, __block string")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf)
+        kept[name] = [(r.doc_id, getattr(r, "text", None)) for r in out.collect()]
+        if name != "packing":
+            assert out.columns == docs.columns, name
+        assert stage(spark, docs.limit(0), sf).count() == 0, name
+    assert {i for i, _ in kept["quality rules"]} <= {1, 2, None, 5, 6, 7} and len(kept["toxicity"]) <= len(rows)
+    assert Counter(i for i, _ in kept["near-duplicates"]) == Counter([1, None, 3, 4, 5, 6, 7])
+    assert {i for i, _ in kept["mixing"]} == {i for i, _ in texts} and {i for i, _ in kept["packing"]} == {i for i, _ in texts}
+
+
 def brute_discount(counts):
     n = Counter(x for x in counts if x)
     d = toxicity.discounts([n[k] for k in (1, 2, 3, 4)])
