@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,16 +11,15 @@ from marketloom.functions.expr import ratio
 from marketloom.operators.scoring import TAUS
 
 
-def assemble_run(folds: dict[int, DataFrame], panel: DataFrame, labels: list[str]) -> DataFrame:
-    """O-36d: the folds of a run as one table with a fold column.
+def assemble_run(rows: DataFrame, panel: DataFrame, labels: list[str], needed: list[str]) -> DataFrame:
+    """O-36d: the folds of a run (a fold column: read its folder, one partition for each fold) as one table.
 
-    All folds must have the same columns. Rows without a reference or an outcome are dropped. Labels that a row lacks come from the
-    panel (symbol and labels), else they are 'unknown'.
+    All needed columns must be there. Rows without a reference or an outcome are dropped. Labels that a row lacks come from the panel (symbol
+    and labels), else they are 'unknown'.
     """
-    names = {tuple(sorted(f.columns)) for f in folds.values()}
-    if len(names) != 1:
-        raise ValueError(f"folds have other columns: {sorted(names)}")
-    rows = reduce(DataFrame.unionByName, [f.withColumn("fold", F.lit(k)) for k, f in folds.items()]).filter("prev IS NOT NULL AND actual IS NOT NULL")
+    if lacking := set(needed) - set(rows.columns):
+        raise ValueError(f"the run lacks {sorted(lacking)}")
+    rows = rows.filter("prev IS NOT NULL AND actual IS NOT NULL")
     known = panel.select("symbol", *[F.col(c).alias(f"__{c}") for c in labels])
     filled = {c: F.coalesce(F.col(c) if c in rows.columns else F.lit(None), F.col(f"__{c}"), F.lit("unknown")) for c in labels}
     return rows.join(known, "symbol", "left").withColumns(filled).drop(*[f"__{c}" for c in labels])

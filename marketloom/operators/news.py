@@ -54,7 +54,7 @@ def attribute(docs: DataFrame, names: DataFrame, longest: int = 6) -> DataFrame:
     known = names.select("symbol", split.alias("want")).filter(F.size("want").between(1, longest)).withColumn("first", F.get("want", F.lit(0)))
     words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^a-z0-9]+"), lambda x: x != "")
     ahead = docs.select("doc_id", words.alias("w")).filter(F.size("w") > 0)
-    ahead = ahead.select("doc_id", F.explode(F.array_distinct(F.transform("w", lambda x, i: F.slice("w", i + 1, longest)))).alias("next"))
+    ahead = ahead.select("doc_id", F.explode(F.transform("w", lambda x, i: F.slice("w", i + 1, longest))).alias("next"))
     phrase = ahead.join(known, F.get("next", F.lit(0)) == F.col("first")).filter(F.slice("next", F.lit(1), F.size("want")) == F.col("want")).select("doc_id", "symbol", F.lit("phrase").alias("kind"))
     tags = docs.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"\$([A-Z]{1,5})\b"), F.lit(1)))).alias("ticker"))
     cash = tags.join(names.filter("ticker IS NOT NULL").select("symbol", "ticker"), "ticker").select("doc_id", "symbol", F.lit("cashtag").alias("kind"))

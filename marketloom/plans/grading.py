@@ -8,15 +8,17 @@ from marketloom.operators import grading, scoring
 from marketloom.operators.scoring import TAUS
 from marketloom.plans.base import bars, query, rounded, sectors, sessions
 from marketloom.plans.scoring import _BUCKET, _EDGES, FORECASTS, cdf, forecasts
+from marketloom.plans.streams import _work
 
 
 @query(FORECASTS + """ SELECT f.symbol, f.date, f.fold::INT AS fold, f32(f.actual) AS actual, f32(f.sigma) AS prev, coalesce(s.industry, 'unknown') AS industry, coalesce(s.sector, 'unknown') AS sector
  FROM fc f LEFT JOIN sectors s ON s.symbol = f.symbol AND s.weight > 0""")
 def o36d_assembled_run(spark, d):
-    f = forecasts(spark, d).withColumn("prev", F.col("sigma")).drop("sigma", "q", "grp", "day_idx")
-    held = [r.fold for r in f.select("fold").distinct().collect()]  # a fold is a stretch of 400 sessions
-    parts = {int(k): f.filter(F.col("fold") == k).drop("fold") for k in held}
-    out = grading.assemble_run(parts, sectors(spark, d).filter("weight > 0"), ["industry", "sector"])
+    folder = _work(spark)
+    f = forecasts(spark, d).select("symbol", "date", "actual", F.col("sigma").alias("prev"), F.col("fold").cast("int").alias("fold"))
+    f.write.partitionBy("fold").parquet(folder)  # the run, a folder for each fold
+    rows = spark.read.schema("symbol long, date date, actual double, prev double, fold int").parquet(folder)
+    out = grading.assemble_run(rows, sectors(spark, d).filter("weight > 0"), ["industry", "sector"], ["symbol", "date", "actual", "prev", "fold"])
     return rounded(out.select("symbol", "date", "fold", "actual", "prev", "industry", "sector"))
 
 
