@@ -110,3 +110,49 @@ def volume_at_price(minutes: DataFrame, decisions: DataFrame, width: float = 0.2
     ranked = cells.withColumn("share", share)
     reached = lambda s: F.min(F.when(F.col("share") >= s, F.col("bin"))) * width
     return ranked.groupBy(*key).agg(ratio(F.sum("up"), F.sum("v")).alias("above"), ratio(F.sum("w_up"), F.sum("w")).alias("above_recent"), (F.max_by("bin", F.struct("v", -F.col("bin"))) * width).alias("control"), reached(0.15).alias("low"), reached(0.85).alias("high"))
+
+
+def reconcile(rows: DataFrame, by: list[str], ratios: dict[str, tuple[str, str]], matches: dict[str, tuple[str, str]], tolerance: float = 0.005) -> DataFrame:
+    """O-127: how two feeds agree, by group: for each pair of volumes the median, least and largest ratio (of four decimals; rows where either is 0
+    or NULL do not count), for each pair of prices the rows within a relative tolerance.
+
+    One row for each group and pair: pair, n, median, least, largest, hits. Ratios are counted by value before the median, so a group's task
+    meets distinct values and no rows.
+    """
+    kinds = [F.struct(F.lit(k).alias("pair"), F.round(_nonzero_ratio(a, b), 4).alias("value"), F.lit(None).cast("int").alias("hit")) for k, (a, b) in ratios.items()]
+    close = lambda a, b: (F.abs(F.col(a) - F.col(b)) <= tolerance * F.greatest(F.abs(F.col(b)), F.lit(1e-9))).cast("int")
+    kinds += [F.struct(F.lit(k).alias("pair"), F.lit(None).cast("double").alias("value"), close(a, b).alias("hit")) for k, (a, b) in matches.items()]
+    long = rows.select(*by, F.explode(F.array(*kinds)).alias("x")).select(*by, "x.*").filter("value IS NOT NULL OR hit IS NOT NULL")
+    counted = long.groupBy(*by, "pair", "value").agg(F.count("*").alias("c"), F.sum("hit").alias("hits"))
+    return counted.groupBy(*by, "pair").agg(F.sum("c").alias("n"), F.percentile("value", F.lit(0.5), F.col("c")).alias("median"), F.min("value").alias("least"), F.max("value").alias("largest"), F.sum("hits").alias("hits"))
+
+
+def _nonzero_ratio(a: str, b: str) -> Column:
+    """a / b where neither is 0."""
+    return F.when(F.col(a) != 0, ratio(a, b))
+
+
+def index_minutes(minutes: DataFrame, past: int = 20) -> DataFrame:
+    """O-139b: a market index by minute of the regular session: the close carried forward within the day, volume (0 where nothing traded), the day's VWAP
+    and the normal volume of the minute, its median over the sessions before (NULL with fewer than `past`).
+
+    minutes: symbol, date, minute (OPEN to CLOSE - 1), close, volume, vwap. One row for each symbol, session of it, and minute.
+    """
+    days = minutes.groupBy("symbol", "date").agg(ratio(F.sum(F.col("vwap") * F.col("volume")), F.sum("volume")).alias("day_vwap"))
+    grid = days.select("symbol", "date", "day_vwap", F.explode(F.sequence(F.lit(OPEN), F.lit(CLOSE - 1))).alias("minute"))
+    m = grid.join(minutes.select("symbol", "date", "minute", "close", "volume"), ["symbol", "date", "minute"], "left").withColumn("volume", F.coalesce("volume", F.lit(0.0)))
+    m = m.withColumn("close", F.last("close", ignorenulls=True).over(Window.partitionBy("symbol", "date").orderBy("minute")))
+    before = F.sort_array(F.collect_list("volume").over(Window.partitionBy("symbol", "minute").orderBy("date").rowsBetween(-past, -1)))
+    middle = (F.get("__v", F.lit((past - 1) // 2)) + F.get("__v", F.lit(past // 2))) / 2
+    return m.withColumn("__v", before).withColumn("normal_volume", F.when(F.size("__v") == past, middle)).drop("__v")
+
+
+def index_days(daily: DataFrame, dividends: DataFrame) -> DataFrame:
+    """O-139b, O-139: an index's sessions with the dividends that go ex that day, and the gap of the open over the previous close less those dividends.
+
+    daily: symbol, date, open, close; dividends: symbol, ex_date, cash, any number a day.
+    """
+    paid = dividends.groupBy("symbol", F.col("ex_date").alias("date")).agg(F.sum("cash").alias("dividend"))
+    d = daily.join(paid, ["symbol", "date"], "left").withColumn("dividend", F.coalesce("dividend", F.lit(0.0)))
+    before = F.lag("close").over(Window.partitionBy("symbol").orderBy("date"))
+    return d.withColumn("gap", F.ln(ratio("open", before - F.col("dividend"))))
