@@ -255,3 +255,50 @@ def test_window_lookup_strict(spark):
     assert [r.id for r in asof.in_window(points, w, "at", "s", "e").orderBy("at").collect()] == [None, 7, 7, None]
     with pt.raises(Exception, match="no window"):
         asof.in_window(points, w, "at", "s", "e", strict=True).collect()
+
+
+def test_move_outcomes_and_chances(spark):
+    from marketloom.operators import moves
+
+    prints = spark.createDataFrame([("a", 2, 110.0, 3.0), ("a", 2, 90.0, 1.0), ("a", 3, 100.0, 5.0)], "symbol string, n int, price double, volume double")
+    decisions = spark.createDataFrame([("a", 1, 100.0, 0.5)], "symbol string, n int, price double, sigma double")
+    made = {r.win: r for r in moves.centres(prints, decisions, 3).collect()}
+    assert set(made) == {1, 2}
+    assert made[1].mass_up == 0.75 and abs(made[1].centre_up - math.log(1.1) / 0.5) < 1e-12 and abs(made[1].centre_down + math.log(0.9) / 0.5) < 1e-12
+    assert made[2].centre_up is None and made[2].centre_down is None
+    rows = spark.createDataFrame([(True, 0.5, 0.75, 0.2, 0.2), (False, 0.5, 0.99, 0.2, 9.0), (True, 0.5, None, None, None)], "up boolean, sigma double, mass_up double, centre_up double, centre_down double")
+    out = [(r.formed, r.reached) for r in moves.move_outcome(rows, 0.05).collect()]
+    assert out == [(1, 1), (0, 0), (None, None)]
+    taus, q = [0.05, 0.25, 0.5, 0.75, 0.95], [0.1, 0.2, 0.3, 0.4, 0.5]
+    rows = spark.createDataFrame([("a", 1, True, 1.0, q, None, 0.1), ("a", 2, True, 1.0, q, None, None)], "k string, win int, up boolean, sigma double, q_centre array<double>, q_mass array<double>, centre_move double")
+    c = moves.move_chance(rows, math.expm1(0.3), taus).withColumns({"formed": F.lit(1), "reached": F.lit(0)})
+    got = moves.cumulative(c, ["k", "up"], "win").orderBy("win").collect()
+    assert [round(r.p, 9) for r in got] == [0.5, 0.5] and [round(r.p_any, 9) for r in got] == [0.5, 0.75]
+    assert [r.best_window for r in got] == [1, 1] and got[1].furthest == 0.1
+
+
+def test_reconcile_and_index(spark):
+    from marketloom.operators import extended
+
+    rows = spark.createDataFrame([("x", 10.0, 20.0, 5.0, 5.01), ("x", 30.0, 20.0, 5.0, 6.0), ("x", 0.0, 20.0, None, 6.0), ("x", 5.0, 0.0, 1.0, 1.0)], "g string, a double, b double, p double, q double")
+    got = {r.pair: r for r in extended.reconcile(rows, ["g"], {"v": ("a", "b")}, {"c": ("p", "q")}).collect()}
+    assert (got["v"].n, got["v"].median, got["v"].least, got["v"].largest, got["v"].hits) == (2, 1.0, 0.5, 1.5, None)
+    assert (got["c"].n, got["c"].hits, got["c"].median) == (3, 2, None)
+    assert extended.reconcile(rows.filter("g = ''"), ["g"], {"v": ("a", "b")}, {"c": ("p", "q")}).count() == 0
+    day = dt.date(2024, 1, 1)
+    m = spark.createDataFrame([("i", day + dt.timedelta(days=k), 571, 10.0 + k, float(k), 10.0) for k in range(4)], "symbol string, date date, minute int, close double, volume double, vwap double")
+    got = {(r.date, r.minute): r for r in extended.index_minutes(m, 3).collect()}
+    assert len(got) == 4 * 390 and got[day, 571].day_vwap is None  # the first day's only bar has no volume
+    last = day + dt.timedelta(days=3)
+    assert got[last, 570].close is None and got[last, 959].close == 13.0 and got[last, 571].normal_volume == 1.0 and got[last, 572].normal_volume == 0.0
+
+
+def test_climatology_and_sweep(spark):
+    from marketloom.operators import analog
+
+    lib = spark.createDataFrame([(1, 0.12), (1, -0.3), (2, 9.0), (3, 0.0)], "day_idx int, after double")
+    got = {(r.day_idx, r.win): (r.c_up, [round(x, 3) for x in r.c_q]) for r in analog.climatology(lib, [1, 5], [0.1, 0.9]).collect()}
+    assert got == {(2, 1): (0.5, [-0.275, 0.125]), (2, 5): (0.5, [-0.275, 0.125]), (3, 1): (1.0, [5.025, 5.025]), (3, 5): (2 / 3, [-0.275, 5.025])}
+    found = spark.createDataFrame([("a", 10, 9, 0.1, [0.5, 0.0]), ("a", 10, 2, 0.1, [0.1, 0.2])], "symbol string, day_idx int, m_day int, m_after double, z array<double>")
+    got = {(r.m_day, r.dial, r.win): round(r.w, 6) for r in analog.sweep(found, 0.4, [0.2, 0.4], [3, 10]).collect()}
+    assert got == {(9, 0.4, 3): 0.75, (9, 0.4, 10): 0.75, (2, 0.2, 10): round((1 - 0.04) * (1 - 0.16), 6), (2, 0.4, 10): round(0.99 * 0.96, 6)}
