@@ -1,12 +1,13 @@
 """The queries of this subpackage, and their SQL where SQL can express them."""
 
-from marketloom.llm import licenses, media, mixing, near_dedup, packing, quality_rules, sharding, token_counts, toxicity, warc
+from marketloom.llm import conversations, licenses, media, mixing, near_dedup, packing, quality_rules, sharding, token_counts, toxicity, warc
 
 QUERIES = {
     f.__name__: f
     for f in (
         media.op1_media_columns, packing.op2_packing, licenses.op3_license_scans, mixing.op4_mixing, warc.op5_warc,
         token_counts.op6_token_counts, sharding.op7_sharding, near_dedup.op8_near_dedup, toxicity.op9_toxicity, quality_rules.op10_quality_rules,
+        conversations.op11_conversation_repair,
     )
 }
 ORACLES = {"op4_mixing": mixing.OP4_SQL, "op10_quality_rules": quality_rules.OP10_SQL}
