@@ -72,6 +72,18 @@ def small_side(df: DataFrame, most_bytes: int = MOST_BROADCAST_BYTES) -> DataFra
     return F.broadcast(df) if df.count() * row_bytes(df.schema) <= most_bytes else df
 
 
+#: Hadoop's names of object stores, and those of Arrow's file systems.
+STORES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfs"}
+
+
+def store_of(folder: str):
+    """(Arrow file system, path) of a folder that is named as Spark names it."""
+    from pyarrow import fs
+
+    scheme, mark, rest = folder.partition("://")
+    return fs.FileSystem.from_uri(f"{STORES.get(scheme, scheme)}://{rest}" if mark else folder)
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

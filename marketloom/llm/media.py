@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from marketloom.llm.common import shared_path, table
+from marketloom.llm.common import shared_path, store_of, table
 
 WIDTH = 64
 #: Bytes of an archive that one read task takes.
@@ -92,7 +92,7 @@ def feature(samples: bytes) -> str:
 
 
 def _write(batches, folder: str):
-    store, base = fs.FileSystem.from_uri(folder)
+    store, base = store_of(folder)
     name = out = index = None
     at = count = 0
 
@@ -127,7 +127,7 @@ def _write(batches, folder: str):
 
 def save_media(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text") -> None:
     """Writes archives into folder, and the table of those that count into folder/manifest. folder: a URI that all tasks reach."""
-    store, base = fs.FileSystem.from_uri(folder)
+    store, base = store_of(folder)
     store.create_dir(base, recursive=True)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text))
     rows.mapInArrow(partial(_write, folder=folder), "archive string, n_bytes long, n_members long").write.parquet(f"{folder}/manifest")
@@ -148,7 +148,7 @@ class MediaReader(DataSourceReader):
     def partitions(self):
         import pyarrow.dataset as ds
 
-        store, base = fs.FileSystem.from_uri(self.folder)
+        store, base = store_of(self.folder)
         files = [x.path for x in store.get_file_info(fs.FileSelector(f"{base}/manifest")) if x.path.endswith(".parquet")]
         manifest = ds.dataset(files, filesystem=store).to_table() if files else None
         if not manifest or not manifest.num_rows:
@@ -177,7 +177,7 @@ class MediaReader(DataSourceReader):
     def read(self, part):
         if not part.archive:
             return
-        store, base = fs.FileSystem.from_uri(self.folder)
+        store, base = store_of(self.folder)
         path = f"{base}/{part.archive}"
         reopen = lambda: store.open_input_file(path)
         file, ids, media, held = None, [], [], 0

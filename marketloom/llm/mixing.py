@@ -1,24 +1,29 @@
 """Temperature mixing of sources.
 
 A source with T tokens gets a weight in proportion to T ** alpha. The exponent is bisected: the largest tempering (smallest
-alpha) at which no source is repeated more than a limit, or at which the weights' entropy is no more than a target. The weights
+alpha) at which no source is repeated more than a limit and, if one is given, the weights' entropy is no more than a target. The weights
 are realised as epochs over permuted blocks: rows hash into a fixed number of blocks, each epoch of a source permutes its blocks,
 and the last, partial epoch takes whole blocks while they fit the source's budget.
 
-Only DataFrame functions. Texts are never shuffled: the block plan (sources x epochs x blocks) is small and is joined to the scan.
-The default budget is the least at which the largest source is read whole once, so no row is dropped; smaller sources repeat.
+Only DataFrame functions. The block plan is one row for each source, with the reads of its blocks as packed numbers (about 40 kB); it is
+broadcast to the scan while its counted rows stay under common.MOST_BROADCAST_BYTES (about 800 sources), and no text is shuffled then. With more sources
+the rows are joined by source and block in a shuffle, which adaptive execution splits where a source is hot. The default budget is the least at which the largest source is read whole once, so no row is dropped; smaller sources repeat.
 
-Defined cases. A null source is a source of its own. Tokens are bytes / 4, rounded up, at least 1 (also for null and empty
+Defined cases. A null source is a source of its own. Rows without an id go to blocks by their tokens and text, so that many of them spread; equal rows share a
+block and are read together. Very long texts count whole and are moved as they are; a block that holds one may not fit the last epoch's budget, and is then
+left out of that epoch only. Extra columns pass through under __row, whatever their names. Tokens are bytes / 4, rounded up, at least 1 (also for null and empty
 texts). Repeated rows all count. One source, or equal sources: alpha 0 and one epoch. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marketloom.llm.common import hash32, small_side, staged, table, text_or_empty
+from marketloom.llm.common import MOST_BROADCAST_BYTES, hash32, small_side, staged, table, text_or_empty
 
 N_BLOCKS = 1024
 REPEAT_LIMIT = 2.0
@@ -33,7 +38,8 @@ def tokens(text: str = "text") -> Column:
 
 def blocked(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", n_blocks: int = N_BLOCKS, seed: str = "mix") -> DataFrame:
     """docs with __source, __tokens and __block."""
-    block = (hash32(seed, F.coalesce(F.col(key).cast("string"), F.lit(""))) % n_blocks).cast("int")
+    own = F.coalesce(F.col(key).cast("string"), F.concat_ws("/", tokens(text), F.md5(text_or_empty(text).cast("binary"))))
+    block = (hash32(seed, own) % n_blocks).cast("int")
     return docs.withColumns({"__source": F.coalesce(F.col(source).cast("string"), F.lit("\0null")), "__tokens": tokens(text), "__block": block})
 
 
@@ -41,19 +47,24 @@ def exponent(totals: DataFrame, repeat_limit: float | None = REPEAT_LIMIT, targe
     """The bisected exponent. totals: one row for each source, with column total.
 
     With a repetition limit: the smallest alpha in [0, 1] at which (largest total / total) ** (1 - alpha) stays within the limit
-    for every source. With a target entropy (nats): the largest alpha whose weights still reach it. Each pass is one aggregation
-    with partial sums, and only its few numbers come to the driver.
+    for every source. With a target entropy (nats): the smallest alpha whose weights have no more. With both, both hold, so a target never
+    repeats a tiny source beyond the limit. Each pass is one aggregation with partial sums, and only its few numbers come to the driver.
     """
 
     def good(alphas: list[float]) -> list[bool]:
+        asked = [F.pow(F.max("total") / F.min("total"), F.lit(1 - a)).alias(f"r{i}") for i, a in enumerate(alphas)]
         if target_entropy is not None:
-            sums = [(F.sum(F.pow(F.col("total"), F.lit(a))), F.sum(F.pow(F.col("total"), F.lit(a)) * a * F.ln("total"))) for a in alphas]
-            row = totals.agg(*[x.alias(f"{n}{i}") for i, pair in enumerate(sums) for n, x in zip("zx", pair)]).first()
-            import math
+            asked += [F.sum(F.pow(F.col("total"), F.lit(a))).alias(f"z{i}") for i, a in enumerate(alphas)]
+            asked += [F.sum(F.pow(F.col("total"), F.lit(a)) * a * F.ln("total")).alias(f"x{i}") for i, a in enumerate(alphas)]
+        row = totals.agg(*asked).first()
+
+        def holds(i: int) -> bool:
+            if row[f"r{i}"] is None:
+                return True
+            calm = target_entropy is None or math.log(row[f"z{i}"]) - row[f"x{i}"] / row[f"z{i}"] < target_entropy
+            return calm and (repeat_limit is None or row[f"r{i}"] <= repeat_limit)
 
-            return [row[f"z{i}"] is None or math.log(row[f"z{i}"]) - row[f"x{i}"] / row[f"z{i}"] < target_entropy for i in range(len(alphas))]
-        row = totals.agg(F.max("total").alias("most"), F.min("total").alias("least")).select(*[F.pow(F.col("most") / F.col("least"), F.lit(1 - a)).alias(f"r{i}") for i, a in enumerate(alphas)]).first()
-        return [row[f"r{i}"] is None or row[f"r{i}"] <= repeat_limit for i in range(len(alphas))]
+        return [holds(i) for i in range(len(alphas))]
 
     if good([0.0])[0]:
         return 0.0
@@ -91,14 +102,26 @@ def block_plan(blocks: DataFrame, alpha: float, budget: int | None = None, seed:
     return read.select("__source", F.col("epoch").cast("int").alias("epoch"), "__block", "block_rank", "weight", F.lit(alpha).alias("alpha"))
 
 
-def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", repeat_limit: float | None = REPEAT_LIMIT, target_entropy: float | None = None, budget: int | None = None, n_blocks: int = N_BLOCKS, seed: str = "mix") -> DataFrame:
+def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", repeat_limit: float = REPEAT_LIMIT, target_entropy: float | None = None, budget: int | None = None, n_blocks: int = N_BLOCKS, seed: str = "mix") -> DataFrame:
     """Every read of every row: docs's columns under __row, and __tokens, __block, epoch, block_rank, weight, alpha."""
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(f"`{key}`").alias("__key"), F.col(f"`{source}`").alias("__src"), F.col(f"`{text}`").alias("__text"))
-    rows = blocked(held, "__key", "__src", "__text", n_blocks, seed)
-    blocks = staged(rows.groupBy("__source", "__block").agg(F.sum("__tokens").alias("block_tokens")), "mix-blocks")
+    rows = blocked(held, "__key", "__src", "__text", n_blocks, seed).drop("__key", "__src", "__text")
+    blocks = staged(blocked(held, "__key", "__src", "__text", n_blocks, seed).groupBy("__source", "__block").agg(F.sum("__tokens").alias("block_tokens")), "mix-blocks")
     alpha = exponent(blocks.groupBy("__source").agg(F.sum("block_tokens").alias("total")), repeat_limit, target_entropy)
-    plan = small_side(staged(block_plan(blocks, alpha, budget, seed), "mix-plan"))
-    return rows.drop("__key", "__src", "__text").join(plan, ["__source", "__block"])
+    plan = staged(block_plan(blocks, alpha, budget, seed), "mix-plan")
+    size = plan.agg(F.count("*").alias("reads"), F.count_distinct("__source").alias("sources")).first()
+    if size.reads * 8 + size.sources * 24 * n_blocks > MOST_BROADCAST_BYTES:
+        out = rows.join(plan, ["__source", "__block"])
+    else:
+        # A read is epoch * n_blocks + rank; reads of a source by block.
+        read = (F.col("epoch").cast("long") * n_blocks + F.col("block_rank") - 1).alias("read")
+        per = plan.select("__source", "__block", "weight", read).groupBy("__source", "__block").agg(F.max("weight").alias("weight"), F.sort_array(F.collect_list("read")).alias("reads"))
+        # A source has n_blocks rows here at most.
+        laid = per.groupBy("__source").agg(F.max("weight").alias("weight"), F.map_from_entries(F.collect_list(F.struct("__block", "reads"))).alias("by"))
+        of = laid.select("__source", "weight", F.transform(F.sequence(F.lit(0), F.lit(n_blocks - 1)), lambda i: F.col("by")[i]).alias("__reads"))
+        met = rows.join(F.broadcast(of), "__source").withColumn("__read", F.explode(F.get("__reads", F.col("__block"))))
+        out = met.select("__source", "__block", "__row", "__tokens", F.expr(f"__read div {n_blocks}").cast("int").alias("epoch"), (F.col("__read") % n_blocks + 1).cast("int").alias("block_rank"), "weight", F.lit(alpha).alias("alpha"))
+    return out
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:

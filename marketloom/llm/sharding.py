@@ -10,7 +10,8 @@ and broadcast; rows are never gathered by shard, only by slot.
 Maps are kept as Parquet, a folder for each version; an old version stays readable. Groups of equal texts are not kept together: their rows
 hash by id like all others, so that a text with a third of all rows doesn't fill a shard (text_crc32 shows such groups).
 
-Defined cases. A null text has no bytes, so its size is the overhead of 16. A null id hashes as the empty string. Repeated rows
+Defined cases. A null text has no bytes, so its size is the overhead of 16. A row without an id hashes by its size and text_crc32, so that
+many such rows spread like others; only rows that are equal in id, size and text share a slot by nature. Repeated rows
 all count and get places of their own; ties in size go to the lower slot and shard. Very long texts count whole. Extra columns are not
 read. An empty table gives an empty result.
 """
@@ -29,13 +30,11 @@ OVERHEAD = 16
 
 def slotted(docs: DataFrame, key: str = "doc_id", text: str = "text", n_slots: int = N_SLOTS) -> DataFrame:
     """(key, size, text_crc32, virtual_slot) of every row."""
-    body = F.col(text)
-    return docs.select(
-        F.col(key),
-        (F.coalesce(F.octet_length(body), F.lit(0)) + OVERHEAD).cast("long").alias("size"),
-        F.crc32(F.encode(F.coalesce(body, F.lit("")), "UTF-8")).cast("long").alias("text_crc32"),
-        (hash32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % n_slots).cast("int").alias("virtual_slot"),
-    )
+    body, own = F.col(f"`{text}`"), F.col(f"`{key}`")
+    size = (F.coalesce(F.octet_length(body), F.lit(0)) + OVERHEAD).cast("long")
+    crc = F.crc32(F.encode(F.coalesce(body, F.lit("")), "UTF-8")).cast("long")
+    slot = hash32(F.coalesce(own.cast("string"), F.concat_ws("/", size, crc))) % n_slots
+    return docs.select(own, size.alias("size"), crc.alias("text_crc32"), slot.cast("int").alias("virtual_slot"))
 
 
 def slot_stats(rows: DataFrame) -> DataFrame:
@@ -83,14 +82,14 @@ def edit_map(old: DataFrame, stats: DataFrame, n_shards: int) -> DataFrame:
     return one.select((F.col("version") + 1).alias("version"), F.inline("chosen"))
 
 
-def assign(rows: DataFrame, slot_map: DataFrame, stats: DataFrame) -> DataFrame:
+def assign(rows: DataFrame, slot_map: DataFrame, stats: DataFrame, key: str = "doc_id") -> DataFrame:
     """rows with shard, map version and slot: the row's place in its shard, without gaps from 0.
 
     A place is the place in the virtual slot plus the rows of the shard's slots before it; the latter comes from the slot table.
     """
     before = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slot_map.join(stats.select("virtual_slot", "slot_rows"), "virtual_slot").withColumn("__before", F.coalesce(F.sum("slot_rows").over(before), F.lit(0))).drop("slot_rows")
-    inside = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
+    inside = Window.partitionBy("virtual_slot").orderBy(F.col(f"`{key}`"), "text_crc32", "size")
     placed = rows.withColumn("__inside", F.row_number().over(inside) - 1)
     # The map has at most N_SLOTS rows.
     return placed.join(F.broadcast(offsets), "virtual_slot").withColumn("slot", (F.col("__before") + F.col("__inside")).cast("long")).drop("__before", "__inside")
@@ -137,7 +136,7 @@ def shard(docs: DataFrame, folder: str, n_shards: int, tolerance: float = 0.02,
     slot_map = load_map(docs.sparkSession, folder)
     if slot_map is None:  # no rows at all
         slot_map = docs.sparkSession.createDataFrame([], "version int, virtual_slot int, shard int")
-    return assign(rows, slot_map, stats)
+    return assign(rows, slot_map, stats, key)
 
 
 def op7_sharding(spark, sf_dir: str, n_shards: int = 40) -> DataFrame:

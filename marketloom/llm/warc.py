@@ -30,7 +30,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import shared_path, small_side, staged, table
+from marketloom.llm.common import shared_path, small_side, staged, store_of, table
 
 CHUNK = 1 << 20
 #: Bytes of an archive that one read task takes; a record is never split.
@@ -61,7 +61,7 @@ def chunk_table(pages: DataFrame, key: str = "page_id", url: str = "url", html:
 
 
 def _write(batches, folder: str):
-    store, base = fs.FileSystem.from_uri(folder)
+    store, base = store_of(folder)
     out = name = digest = None
     at = start = left = 0
     want = ""
@@ -112,7 +112,7 @@ def _write(batches, folder: str):
 
 def write_archives(chunks: DataFrame, folder: str) -> DataFrame:
     """Writes archives into folder (a URI that all tasks reach); returns the manifest (archive, start, end), a written table."""
-    store, base = fs.FileSystem.from_uri(folder)
+    store, base = store_of(folder)
     store.create_dir(base, recursive=True)
     return staged(chunks.mapInArrow(partial(_write, folder=folder), "archive string, start long, end long"), "warc-manifest")
 
@@ -165,7 +165,7 @@ def _records(file, end: int, chunk: int):
 
 
 def _read(batches, folder: str, chunk: int, with_data: bool, most: int = 8 << 20):
-    store, base = fs.FileSystem.from_uri(folder)
+    store, base = store_of(folder)
     for batch in batches:
         for name, start, end in zip(*(c.to_pylist() for c in batch.columns)):
             with store.open_input_file(f"{base}/{name}") as raw:
