@@ -39,16 +39,20 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], on: str, right_o
 def snap_to_session(df: DataFrame, date: str, sessions: DataFrame, name: str = "day_idx", direction: str = "forward") -> DataFrame:
     """O-28: index of the first session on or after a date (or the last on or before it).
 
-    The calendar grows by one row a day, so it is laid out as one lookup row for each calendar day and broadcast.
+    The calendar grows by one row a day, so it is laid out as one lookup row for each calendar day and broadcast. However far a date lies before the first
+    session (or, backward, after the last one), that session is its own; beyond the calendar's other end there is none (NULL).
     """
     s = sessions.select("date", "day_idx")
     w = Window.orderBy("date")
     if direction == "forward":
-        spans = s.withColumn("__from", F.coalesce(F.date_add(F.lag("date").over(w), 1), F.date_sub(F.col("date"), 400))).withColumn("__to", F.col("date"))
+        spans = s.withColumn("__from", F.coalesce(F.date_add(F.lag("date").over(w), 1), F.col("date"))).withColumn("__to", F.col("date"))
     else:
-        spans = s.withColumn("__from", F.col("date")).withColumn("__to", F.coalesce(F.date_sub(F.lead("date").over(w), 1), F.date_add(F.col("date"), 400)))
+        spans = s.withColumn("__from", F.col("date")).withColumn("__to", F.coalesce(F.date_sub(F.lead("date").over(w), 1), F.col("date")))
     days = spans.select(F.explode(F.sequence("__from", "__to")).alias("__day"), F.col("day_idx").alias(name))
-    return df.join(F.broadcast(days), F.col(date) == F.col("__day"), "left").drop("__day")
+    edge = s.agg(*([F.min("date").alias("__edge"), F.min_by("day_idx", "date").alias("__out")] if direction == "forward" else [F.max("date").alias("__edge"), F.max_by("day_idx", "date").alias("__out")]))
+    found = df.join(F.broadcast(days), F.col(date) == F.col("__day"), "left").crossJoin(F.broadcast(edge))  # edge is one row
+    beyond = F.col(date) < F.col("__edge") if direction == "forward" else F.col(date) > F.col("__edge")
+    return found.withColumn(name, F.when(beyond, F.col("__out")).otherwise(F.col(name))).drop("__day", "__edge", "__out")
 
 
 def range_product(left: DataFrame, events: DataFrame, by: str, at: str, event_at: str, factor: str, name: str = "factor") -> DataFrame:

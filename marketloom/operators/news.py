@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 # Corporate suffixes, and phrases of closed articles.
-SUFFIXES = ["inc", "corp", "corporation", "co", "company", "ltd", "plc", "group", "holdings"]
+SUFFIXES = ["inc", "incorporated", "corp", "corporation", "co", "company", "ltd", "limited", "plc", "llc", "lp", "sa", "ag", "nv", "holdings", "holding", "group", "the", "class", "common", "stock", "ordinary", "shares"]
+# Tickers that are common words.
+WORD_TICKERS = [
+    "A", "I", "AN", "AS", "AT", "BE", "BY", "DO", "GO", "IF", "IN", "IS", "IT", "ON", "OR", "SO", "TO", "UP", "US", "WE", "ALL", "AND", "ANY", "ARE", "BIG", "CEO", "FOR",
+    "GET", "HAS", "NEW", "NOW", "ONE", "OUT", "SEE", "THE", "WHO", "YOU", "CAN", "USA", "PM", "AM",
+]
 PAYWALLS = "subscribe to read|sign in to continue|for subscribers only"
 
 
@@ -43,24 +48,64 @@ def tokens(text: str) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^a-z0-9]+"), lambda x: x != ""))
 
 
-def attribute(docs: DataFrame, names: DataFrame, longest: int = 6) -> DataFrame:
+def _words(text) -> Column:
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^a-z0-9]+"), lambda x: x != "")
+
+
+def named_in(docs: DataFrame, names: DataFrame) -> DataFrame:
+    """O-100: (doc_id, symbol) where all words of a name, however many, stand in a text in order and side by side.
+
+    docs: doc_id (one row each), text; names: symbol, name. A name is looked up by the word of it that is in the fewest texts: an equality join of
+    the texts' distinct words, so a common word that every name has costs nothing unless a name has no other. What it finds is gathered by
+    document, and the whole name is then looked for in the text itself.
+    """
+    known = names.select("symbol", _words(F.col("name")).alias("want")).filter(F.size("want") > 0)
+    texts = docs.select("doc_id", _words(F.col("text")).alias("w")).filter(F.size("w") > 0)
+    words = texts.select("doc_id", F.explode(F.array_distinct("w")).alias("word"))
+    parts = known.select("symbol", "want", F.explode(F.array_distinct("want")).alias("word"))
+    counts = words.join(parts.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
+    rarest = parts.join(counts, "word", "left").groupBy("symbol", "want").agg(F.min_by("word", F.struct(F.coalesce("n", F.lit(0)), "word")).alias("word"))
+    begun = words.join(rarest, "word").groupBy("doc_id").agg(F.collect_set(F.struct("symbol", F.array_join("want", " ").alias("phrase"))).alias("c"))
+    held = texts.join(begun, "doc_id").withColumn("body", F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" ")))
+    return held.select("doc_id", F.explode(F.filter("c", lambda x: F.contains(F.col("body"), F.concat(F.lit(" "), x["phrase"], F.lit(" "))))).alias("x")).select("doc_id", "x.symbol").distinct()
+
+
+def attribute(docs: DataFrame, names: DataFrame) -> DataFrame:
     """O-100, O-223: (doc_id, symbol, kind) for each symbol that a text names: 'phrase' if all words of a name stand there in order, 'cashtag' for
     '$' and the ticker in upper case. A cashtag that is no known ticker, and a name that is only begun, are rejected.
 
-    names: symbol, name (any number of words up to longest), ticker or NULL; a universe. Its first words meet the texts' words in an equality
-    join that carries only the words that follow, so no text is compared with every name.
+    names: symbol, name (any number of words), ticker or NULL; a universe.
     """
-    split = F.filter(F.split(F.lower(F.col("name")), r"[^a-z0-9]+"), lambda x: x != "")
-    known = names.select("symbol", split.alias("want")).filter(F.size("want").between(1, longest)).withColumn("first", F.get("want", F.lit(0)))
-    words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^a-z0-9]+"), lambda x: x != "")
-    ahead = docs.select("doc_id", words.alias("w")).filter(F.size("w") > 0)
-    ahead = ahead.select("doc_id", F.explode(F.transform("w", lambda x, i: F.slice("w", i + 1, longest))).alias("next"))
-    phrase = ahead.join(known, F.get("next", F.lit(0)) == F.col("first")).filter(F.slice("next", F.lit(1), F.size("want")) == F.col("want")).select("doc_id", "symbol", F.lit("phrase").alias("kind"))
+    phrase = named_in(docs, names).select("doc_id", "symbol", F.lit("phrase").alias("kind"))
     tags = docs.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"\$([A-Z]{1,5})\b"), F.lit(1)))).alias("ticker"))
     cash = tags.join(names.filter("ticker IS NOT NULL").select("symbol", "ticker"), "ticker").select("doc_id", "symbol", F.lit("cashtag").alias("kind"))
     return phrase.union(cash).distinct()
 
 
+def verified(docs: DataFrame, names: DataFrame) -> DataFrame:
+    """O-223: (doc_id, symbol, method) of candidates and what the text says for them: 'ticker+name', 'name', 'cashtag', or 'rejected'.
+
+    docs: doc_id (one row each), text, tag (the feed's own symbol, or NULL). names: symbol, name (NULL: unknown), ticker. Candidates are the feed's tag,
+    cashtags, and standalone upper-case words of at most five letters that are tickers; a ticker inside another word is none. A feed's tag or a bare word
+    without the company's name in the text is rejected; so is a name of one or two letters. Common words in WORD_TICKERS are no sign of a company by themselves.
+    """
+    text = F.coalesce("text", F.lit(""))
+    cash = F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(r"\$([A-Za-z]{1,5})(?:\.[A-Za-z]+)?\b"), F.lit(1)), F.upper))
+    bare = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?<![A-Za-z0-9])([A-Z]{1,5})(?![A-Za-z0-9])"), F.lit(1)))
+    read = docs.select("doc_id", "text", "tag", cash.alias("cash"), bare.alias("bare"))
+    tickers = names.filter("ticker IS NOT NULL").select("symbol", F.upper("ticker").alias("ticker"))
+    seen = read.select("doc_id", F.explode(F.array_union("cash", "bare")).alias("ticker"), "cash", "bare")
+    by_text = seen.join(tickers, "ticker").select("doc_id", "symbol", F.array_contains("cash", F.col("ticker")).alias("cashtag"), (F.array_contains("bare", F.col("ticker")) & ~F.col("ticker").isin(WORD_TICKERS)).alias("bare"))
+    by_tag = read.filter("tag IS NOT NULL").select("doc_id", F.col("tag").alias("symbol"), F.lit(False).alias("cashtag"), F.lit(False).alias("bare"))
+    candidates = by_text.union(by_tag).groupBy("doc_id", "symbol").agg(F.bool_or("cashtag").alias("cashtag"), F.bool_or("bare").alias("bare"))
+    # Only names of candidates are looked for.
+    asked = names.select("symbol", normal_name("name").alias("name")).filter(F.length("name") > 2).join(candidates.select("symbol").distinct(), "symbol", "left_semi")
+    has = named_in(docs, asked).withColumn("named", F.lit(True))
+    out = candidates.join(has, ["doc_id", "symbol"], "left")
+    method = F.when(F.col("named") & F.col("bare"), "ticker+name").when(F.col("named"), "name").when(F.col("cashtag"), "cashtag").otherwise("rejected")
+    return out.select("doc_id", "symbol", method.alias("method"))
+
+
 def lexicon_scores(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
     """O-224: (doc_id, shares of positive and negative words, their difference, label); the default of a pluggable scorer.
 

@@ -117,12 +117,12 @@ def o144_time_at_price(spark, d):
 @query()
 def o145_value_area(spark, d):
     """The fold has no SQL twin; tested against a plain loop."""
-    p = polls(spark, d).withColumn("bin", F.least(F.lit(99), F.greatest(F.lit(0), F.floor("price").cast("int"))))
+    p = polls(spark, d).withColumn("bin", F.floor("price").cast("int"))
     h = p.groupBy("symbol", "date", "bin").agg(F.sum("volume").alias("v"))
-    filled = h.groupBy("symbol", "date").agg(F.map_from_entries(F.collect_list(F.struct("bin", "v"))).alias("m"))
-    hist = F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)))
-    out = filled.select("symbol", "date", intraday.value_area(hist).alias("a"))
-    return rounded(out.select("symbol", "date", F.col("a.low").alias("low"), F.col("a.high").alias("high"), F.col("a.held").alias("held")))
+    filled = h.groupBy("symbol", "date").agg(F.min("bin").alias("bottom"), F.max("bin").alias("top"), F.map_from_entries(F.collect_list(F.struct("bin", "v"))).alias("m"))
+    hist = F.transform(F.sequence("bottom", "top"), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)))
+    out = filled.select("symbol", "date", "bottom", intraday.value_area(hist).alias("a"))
+    return rounded(out.select("symbol", "date", (F.col("bottom") + F.col("a.low")).alias("low"), (F.col("bottom") + F.col("a.high")).alias("high"), F.col("a.held").alias("held")))
 
 
 @query()

@@ -50,8 +50,11 @@ def o205_move_chances(spark, d):
     return rounded(chances(spark, d).select("symbol", "n", "win", "up", "p_forms", "p_beyond", "p", "formed", "reached", "centre_move"))
 
 
-@query(MOVES + """, cu AS (SELECT *, 1 - product(1 - p) OVER w AS p_any, max(formed) OVER w AS formed_any, max(reached) OVER w AS reached_any, CASE WHEN up THEN max(centre_move) OVER w ELSE min(centre_move) OVER w END AS furthest, arg_max(win, (p, -win)) OVER w AS best_window FROM mo WINDOW w AS (PARTITION BY symbol, n, up ORDER BY win))
- SELECT c.symbol, c.n, c.win, c.up, f32(p_any) AS p_any, formed_any, reached_any, f32(furthest) AS furthest, best_window::INT AS best_window, f32(b.qc[3]) AS best_median, f32(b.centre_move) AS best_centre FROM cu c JOIN (SELECT symbol, n, up, win, qc, centre_move FROM mo) b ON b.symbol = c.symbol AND b.n = c.n AND b.up = c.up AND b.win = c.best_window""")
+@query(MOVES + """, li AS (SELECT symbol, n, up, list({'win': win, 'p': p, 'formed': formed, 'reached': reached, 'cm': centre_move, 'mid': qc[3]} ORDER BY win) AS l FROM mo GROUP BY ALL),
+ ix AS (SELECT symbol, n, up, l, unnest(range(1, len(l) + 1)) AS i FROM li),
+ cu AS (SELECT symbol, n, up, l[i].win AS win, l[1:i] AS l, list_sort(list_transform(l[1:i], lambda x: {'k': -x.p, 'win': x.win, 'mid': x.mid, 'cm': x.cm}))[1] AS b FROM ix)
+ SELECT symbol, n, win, up, f32(1 - list_product(list_transform(l, lambda x: 1 - x.p))) AS p_any, list_max(list_transform(l, lambda x: x.formed)) AS formed_any, list_max(list_transform(l, lambda x: x.reached)) AS reached_any,
+ f32(CASE WHEN up THEN list_max(list_transform(l, lambda x: x.cm)) ELSE list_min(list_transform(l, lambda x: x.cm)) END) AS furthest, b.win::INT AS best_window, f32(b.mid) AS best_median, f32(b.cm) AS best_centre FROM cu""")
 def o205_cumulative_moves(spark, d):
     c = moves.cumulative(chances(spark, d), ["symbol", "n", "up"], "win")
     return rounded(c.select("symbol", "n", "win", "up", "p_any", "formed_any", "reached_any", "furthest", "best_window", "best_median", "best_centre"))

@@ -36,7 +36,7 @@ def _links(spark, d):
     words = F.filter(F.split(F.lower("text"), r"[^a-z0-9]+"), lambda x: x != "")
     first = F.upper(F.regexp_extract("text", r"^([A-Za-z]{1,5})", 1))
     names = b.select(F.col("item_id").cast("long").alias("symbol"), F.array_join(F.slice(words, 1, 3), " ").alias("name"), F.when(first != "", first).alias("ticker"))
-    return news.attribute(read(spark, d, "documents"), names, 3)
+    return news.attribute(read(spark, d, "documents"), names)
 
 
 def _lexicon(spark, d):
@@ -49,6 +49,27 @@ def o223_attribution(spark, d):
     return _links(spark, d)
 
 
+# Companies: items of the benchmark by their whole text (names of any length), tickers by their first letters; the feed's tag is the number of the source.
+_VERIFIED = r"""WITH co AS (SELECT symbol, array_to_string(list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '' AND x NOT IN ({0})), ' ') AS name, ticker FROM (SELECT item_id::BIGINT AS symbol, text, upper(regexp_extract(text, '^([A-Za-z]{{1,5}})', 1)) AS ticker FROM benchmark WHERE item_id % 2 = 1
+ UNION ALL SELECT item_id, array_to_string((string_split(text, ' '))[1:2], ' ') || ' Inc.', upper(regexp_extract(text, '^([A-Za-z]{{1,5}})', 1)) FROM benchmark WHERE item_id % 2 = 0)),
+ dc AS (SELECT doc_id, coalesce(text, '') AS text, TRY_CAST(regexp_extract(source, '(\d+)', 1) AS BIGINT) AS tag, ' ' || array_to_string(list_filter(string_split_regex(lower(coalesce(text, '')), '[^a-z0-9]+'), lambda x: x <> ''), ' ') || ' ' AS body FROM documents),
+ tk AS (SELECT doc_id, list_transform(regexp_extract_all(text, '\$([A-Za-z]{{1,5}})(?:\.[A-Za-z]+)?\b', 1), lambda x: upper(x)) AS cash, list_filter(string_split_regex(text, '[^A-Za-z0-9]+'), lambda x: regexp_full_match(x, '[A-Z]{{1,5}}')) AS bare FROM dc),
+ cd AS (SELECT t.doc_id, c.symbol, list_contains(t.cash, t.ticker) AS cashtag, list_contains(t.bare, t.ticker) AND t.ticker NOT IN ({1}) AS bare FROM (SELECT *, unnest(list_distinct(list_concat(cash, bare))) AS ticker FROM tk) t JOIN co c ON c.ticker = t.ticker AND c.ticker <> ''
+ UNION ALL SELECT doc_id, tag, false, false FROM dc WHERE tag IS NOT NULL),
+ ca AS (SELECT doc_id, symbol, bool_or(cashtag) AS cashtag, bool_or(bare) AS bare FROM cd GROUP BY ALL),
+ nm AS (SELECT ca.*, coalesce(bool_or(length(co.name) > 2 AND contains(dc.body, ' ' || co.name || ' ')), false) AS named FROM ca JOIN dc USING (doc_id) LEFT JOIN co USING (symbol) GROUP BY ALL)
+ SELECT doc_id, symbol, CASE WHEN named AND bare THEN 'ticker+name' WHEN named THEN 'name' WHEN cashtag THEN 'cashtag' ELSE 'rejected' END AS method FROM nm""".format(*[", ".join(f"'{x}'" for x in xs) for xs in (news.SUFFIXES, news.WORD_TICKERS)])
+
+
+@query(_VERIFIED)
+def o223_verified(spark, d):
+    """Candidates by feed tag, cashtag and bare ticker, each accepted or rejected by the text."""
+    ticker = F.upper(F.regexp_extract("text", r"^([A-Za-z]{1,5})", 1))
+    short = F.concat(F.array_join(F.slice(F.split("text", " "), 1, 2), " "), F.lit(" Inc."))
+    companies = read(spark, d, "benchmark").select(F.col("item_id").cast("long").alias("symbol"), F.when(F.col("item_id") % 2 == 1, F.col("text")).otherwise(short).alias("name"), F.when(ticker != "", ticker).alias("ticker"))
+    return news.verified(read(spark, d, "documents").withColumn("tag", F.regexp_extract("source", r"(\d+)", 1).try_cast("long")), companies)
+
+
 @query(f"WITH {_SCORES} SELECT doc_id, f32(p) AS score_pos, f32(n) AS score_neg, f32(score_agg) AS score_agg, label FROM sc")
 def o224_lexicon_scores(spark, d):
     return rounded(news.lexicon_scores(read(spark, d, "documents"), _lexicon(spark, d)))
