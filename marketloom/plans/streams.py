@@ -23,7 +23,10 @@ def _work(spark) -> str:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "file:///tmp/marketloom"
-    return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)  # when the session's JVM ends
+    return path
 
 
 def _appended(spark, df):
@@ -54,6 +57,10 @@ def _envelopes(spark, d):
     """Events as JSON envelopes of one poll; those of odd user ids in the hundreds are of a version that isn't known."""
     t = read(spark, d, "events")
     raw = spark.readStream.schema(t.schema).option("pathGlobFilter", "events.parquet*").parquet(f"{d}/events.parquet*")
+    return _enveloped(raw)
+
+
+def _enveloped(raw):
     row = F.array(F.struct(F.col("event_type").alias("symbol"), F.col("value").alias("price"), (F.get_json_object("props", "$.k").cast("double") + 1).alias("volume")))
     version = F.when(F.col("user_id") % 7 == 3, 2).otherwise(1)
     body = F.struct(version.alias("schema_version"), F.lit("feed").alias("source"), F.lit("poll").alias("kind"), F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("ts_utc"), F.col("event_id").alias("feed_seq"), row.alias("rows"), F.concat(F.lit("k"), F.col("event_id")).alias("_key"))
@@ -83,12 +90,38 @@ def o231_redelivery(spark, d):
 
 @query("SELECT CASE WHEN user_id % 7 = 3 THEN 'version' ELSE 'good' END AS kind, count(*) AS n FROM events GROUP BY 1")
 def o233_split_sink(spark, d):
-    """Good rows and bad messages to two tables from one pass."""
+    """Good rows and bad messages of one read; the table's counts."""
+    out = _work(spark)
+    streams.split_sink(streams.parsed(_envelopes(spark, d)), out, f"{out}/checkpoint").start().awaitTermination()
+    rows = spark.read.parquet(f"{out}/rows")
+    return rows.groupBy(F.coalesce("problem", F.lit("good")).alias("kind")).agg(F.count("*").alias("n"))
+
+
+PARTS = 3
+
+
+@query(f"""WITH e AS (SELECT *, event_id % {PARTS} AS part FROM events), m AS (SELECT part, max(ts) FILTER (WHERE user_id % 7 <> 3) AS newest FROM e GROUP BY part),
+ k AS (SELECT part, CASE WHEN user_id % 7 = 3 THEN 'bad' WHEN ts < (SELECT max(newest) FROM m WHERE m.part < e.part) - INTERVAL 7 DAYS THEN 'late' ELSE 'good' END AS kind FROM e)
+ SELECT part::INT AS epoch, count(*) FILTER (WHERE kind = 'good') AS good, count(*) FILTER (WHERE kind = 'late') AS late, count(*) FILTER (WHERE kind = 'bad') AS bad FROM k GROUP BY part""")
+def o232_late_rows(spark, d):
+    """Events arrive in three parts, each an epoch; what is observed while they are written (rows more than seven days behind earlier parts are late)."""
     out = _work(spark)
-    batches = streams.parsed(_envelopes(spark, d))
-    streams.split_sink(batches, f"{out}/good", f"{out}/bad", f"{out}/checkpoint").start().awaitTermination()
-    good, bad = spark.read.parquet(f"{out}/good/*"), spark.read.parquet(f"{out}/bad/*")
-    return good.select(F.lit("good").alias("kind")).union(bad.select("problem")).groupBy("kind").agg(F.count("*").alias("n"))
+    events = read(spark, d, "events")
+    for part in range(PARTS):
+        events.filter(F.col("event_id") % PARTS == part).write.mode("append").parquet(f"{out}/in/part={part}")
+        raw = spark.readStream.schema(events.schema).parquet(f"{out}/in/part=*")
+        streams.split_sink(streams.parsed(_enveloped(raw)), out, f"{out}/checkpoint", "7 DAYS").start().awaitTermination()
+    return spark.read.parquet(f"{out}/marks").select("epoch", "good", "late", "bad")
+
+
+@query(POLLS + " SELECT symbol, ts::DATE AS date, f32(sum(price * volume) / sum(volume)) AS vwap, sum(volume) AS volume, max(ts) AS ts FROM polls GROUP BY ALL")
+def o239_session_vwap(spark, d):
+    """Update mode into a table of the latest row for each symbol and day."""
+    out, df = _work(spark), streams.session_vwaps(_stream(spark, d))
+    run = streams.upsert_sink(df, ["symbol", "date"], f"{out}/latest", f"{out}/checkpoint").start()
+    run.awaitTermination()
+    newest = max(p["batchId"] for p in run.recentProgress)
+    return rounded(spark.read.schema(df.schema).parquet(f"{out}/latest/version={newest}"))
 
 
 @query(r"""WITH m AS (SELECT CASE WHEN user_id % 11 <> 0 THEN event_type END AS type, CASE WHEN user_id % 5 = 0 THEN 2 ELSE 1 END AS v, regexp_extract(props, '(\d+)', 1)::INT AS k FROM events)
@@ -107,8 +140,25 @@ def o238_liveness(spark, d):
     return streams.stale(status, "2024-01-31 00:00:00", 86400)
 
 
-@query()
-def o235_recommendations(spark, d):
-    """Repeats within an hour of a recommendation are suppressed; tested against brute force."""
+# Parameters of a day: two versions; on odd days the second one is shorter, and the session closes at 20:00 UTC on two days of three.
+_RECS = """WITH RECURSIVE p AS (SELECT user_id::VARCHAR AS symbol, ts, value AS price, ts::DATE AS date FROM events),
+ x AS (SELECT *, least(ts + to_seconds(CASE WHEN day(date) % 2 = 1 THEN 1800 ELSE 7200 END), CASE WHEN day(date) % 3 > 0 THEN date + INTERVAL 20 HOURS END, date + INTERVAL 24 HOURS) AS expires FROM p),
+ o AS (SELECT *, row_number() OVER (PARTITION BY symbol, date ORDER BY ts, price) AS i FROM x),
+ nx AS (SELECT a.symbol, a.date, a.i, a.ts, a.price, a.expires, min(b.i) AS nxt FROM o a LEFT JOIN o b ON a.symbol = b.symbol AND a.date = b.date AND b.i > a.i AND b.ts >= a.expires GROUP BY ALL),
+ walk AS (SELECT * FROM nx WHERE i = 1 UNION ALL SELECT n.* FROM walk w JOIN nx n ON n.symbol = w.symbol AND n.date = w.date AND n.i = w.nxt)
+ SELECT symbol, date, ts, f32(price) AS price, expires, substr(sha256(symbol || '|' || epoch_us(ts)), 1, 24) AS id FROM walk"""
+
+
+def _rec_polls(spark, d):
     polls = read(spark, d, "events").select(F.col("user_id").cast("string").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("price"))
-    return streams.recommend(polls, 3600)
+    days = polls.select(F.to_date("ts").alias("date")).distinct()
+    close = F.when(F.day("date") % 3 > 0, F.timestamp_add("HOUR", F.lit(20), F.col("date").cast("timestamp")))
+    first = days.select("date", F.lit(1).alias("version"), F.lit(9000).alias("ttl_s"), F.lit(7200).alias("max_s"), F.lit(None).cast("timestamp").alias("close"))
+    second = days.select("date", F.lit(2).alias("version"), F.when(F.day("date") % 2 == 1, 1800).otherwise(9000).alias("ttl_s"), F.lit(7200).alias("max_s"), close.alias("close"))
+    return polls, first.union(second)
+
+
+@query(_RECS)
+def o235_recommendations(spark, d):
+    """Repeats are left out while a recommendation of the symbol is active."""
+    return rounded(streams.recommend(*_rec_polls(spark, d)))

@@ -137,13 +137,14 @@ def test_stream_ingest_and_restart(spark, tmp_path):
     inbox.mkdir()
     batch = lambda i, key=None, version=1: json.dumps({"schema_version": version, "source": "s", "kind": "poll", "ts_utc": f"2024-01-02T14:3{i}:00Z", "feed_seq": i, "rows": [{"symbol": "A", "price": 1.0 + i, "volume": 2.0}], "_key": key or f"k{i}"})
     (inbox / "a.txt").write_text("\n".join([batch(0), batch(1), batch(1), "broken", batch(2, version=9)]))
-    run = lambda: streams.split_sink(streams.parsed(spark.readStream.text(str(inbox))), str(tmp_path / "good"), str(tmp_path / "bad"), str(tmp_path / "cp")).start().awaitTermination()
+    run = lambda: streams.split_sink(streams.parsed(spark.readStream.text(str(inbox))), str(tmp_path / "out"), str(tmp_path / "cp")).start().awaitTermination()
     run()
     (inbox / "b.txt").write_text(batch(3))
     run()  # goes on from the checkpoint
-    good = spark.read.parquet(str(tmp_path / "good"))
+    rows = spark.read.parquet(str(tmp_path / "out" / "rows"))
+    good = rows.filter("kind = 'good'")
     assert sorted(r.feed_seq for r in good.collect()) == [0, 1, 1, 3] and {r.hour for r in good.collect()} == {9}
-    assert sorted(r.problem for r in spark.read.parquet(str(tmp_path / "bad")).collect()) == ["unparseable", "version"]
+    assert sorted(r.problem for r in rows.filter("kind = 'bad'").collect()) == ["unparseable", "version"]
     rows = streams.poll_rows(streams.once(streams.parsed(spark.readStream.text(str(inbox))).select("value", "problem", "b", F.col("b.ts_utc").alias("ts_utc"), F.col("b._key").alias("_key")).filter("problem IS NULL")))
     streams.sink(rows, str(tmp_path / "table"), str(tmp_path / "cp2")).start().awaitTermination()
     assert sorted(r.feed_seq for r in spark.read.parquet(str(tmp_path / "table")).collect()) == [0, 1, 3]
@@ -209,24 +210,6 @@ def test_capped_moves_by_bisection(spark):
         assert abs(r.others_move - want) < 1e-6
 
 
-def test_recommendations_brute_force(spark, sf):
-    from collections import defaultdict
-    from datetime import timedelta
-
-    from marketloom.plans.streams import o235_recommendations
-
-    by, want = defaultdict(list), set()
-    for r in spark.read.parquet(f"{sf}/events.parquet").selectExpr("user_id", "cast(ts as timestamp) ts", "value").collect():
-        by[str(r.user_id)].append((r.ts, r.value))
-    for symbol, own in by.items():
-        until = None
-        for ts, price in sorted(own):
-            if until is None or ts >= until:
-                until = ts + timedelta(hours=1)
-                want.add((symbol, ts, price, until))
-    assert {tuple(r) for r in o235_recommendations(spark, sf).collect()} == want
-
-
 def test_article_bodies(spark):
     from marketloom.operators import news
 
