@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from marketloom.functions.expr import ratio
+from marketloom.operators import ranks
 
 
 def staggered(minutes: DataFrame, every: int) -> DataFrame:
@@ -19,22 +20,23 @@ def staggered(minutes: DataFrame, every: int) -> DataFrame:
 def vocabulary(rows: DataFrame, value: str, session: str, least: int) -> DataFrame:
     """O-157: (value, code) of values seen in at least `least` sessions, codes from 1 in order of the values; others are 0.
 
-    The vocabulary is small by nature (categories), so its numbering is one window.
+    value is a number. Values are numbered in slots, so that a vocabulary may be large.
     """
     known = rows.groupBy(F.col(value).alias("value")).agg(F.count_distinct(session).alias("n")).filter(F.col("n") >= least)
-    return known.select("value", F.row_number().over(Window.orderBy("value")).alias("code"))
+    return ranks.numbered(known, "value", "code")
 
 
 def coded(rows: DataFrame, value: str, codes: DataFrame, name: str) -> DataFrame:
     """O-157: rows with the code of a value, 0 where it is unknown."""
     c = codes.select(F.col("value").alias("__v"), F.col("code").alias("__c"))
-    return rows.join(F.broadcast(c), F.col(value) == F.col("__v"), "left").withColumn(name, F.coalesce("__c", F.lit(0))).drop("__v", "__c")  # categories
+    return rows.join(c, F.col(value) == F.col("__v"), "left").withColumn(name, F.coalesce("__c", F.lit(0))).drop("__v", "__c")
 
 
 def scaled(rows: DataFrame, columns: list[str], limit: float = 5.0) -> DataFrame:
     """O-157, O-55: (x - median) / (IQR / 1.349) within +-limit, 0 where x is unknown."""
-    q = rows.agg(*[F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"__q_{c}") for c in columns])
-    out = rows.join(F.broadcast(q))  # one row
+    out = rows
+    for c in columns:
+        out = out.crossJoin(F.broadcast(ranks.quantiles(rows, [], c, [0.25, 0.5, 0.75]).select(F.col("q").alias(f"__q_{c}"))))  # one row
 
     def z(c: str) -> Column:
         at = lambda i: F.get(F.col(f"__q_{c}"), F.lit(i))

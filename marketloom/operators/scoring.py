@@ -8,6 +8,8 @@ from pyspark.sql.window import Window
 
 from marketloom.functions import expr as X
 from marketloom.functions.expr import ratio
+from marketloom.operators import ranks
+from marketloom.operators.ranks import auc, rank_ic, weighted_quantiles  # noqa: F401
 
 # Forecast levels and the normal quantiles at them.
 TAUS = [0.05, 0.25, 0.5, 0.75, 0.95]
@@ -69,39 +71,30 @@ def quantile_table(forecasts: DataFrame) -> DataFrame:
     return rows.groupBy(F.get(F.array(*[F.lit(t) for t in TAUS]), F.col("i")).alias("tau")).agg(F.count("*").alias("n"), F.avg((F.col("actual") <= F.col("v")).cast("int")).alias("share"))
 
 
-def rank_ic(rows: DataFrame, by: list[str], score: str, outcome: str, least: int) -> DataFrame:
-    """O-59: Spearman correlation across the members of each group of at least `least` members."""
-    from marketloom.operators.rolling import average_rank
+def bootstrap(daily: DataFrame, a: str, b: str, replicates: int = 200, by: list[str] | None = None, block: int = 1, gap: int = 0) -> DataFrame:
+    """O-57: skill 1 - sum(a) / sum(b) with a 95 % interval over resampled days, for each group.
 
-    r = rows.withColumns({"__a": average_rank(score, by), "__b": average_rank(outcome, by)})
-    return r.groupBy(*by).agg(F.count("*").alias("n"), F.corr("__a", "__b").alias("ic")).filter(F.col("n") >= least)
-
-
-def auc(rows: DataFrame, score: str, label: str, by: list[str]) -> DataFrame:
-    """O-58: area under the curve by ranks, ties half."""
-    from marketloom.operators.rolling import average_rank
-
-    r = rows.withColumn("__r", average_rank(score, by))
-    n1, n = F.sum(label), F.count("*")
-    return r.groupBy(*by).agg(ratio(F.sum(F.col("__r") * F.col(label)) - n1 * (n1 + 1) / 2, n1 * (n - n1)).alias("auc"), n.alias("n"))
-
-
-def bootstrap(daily: DataFrame, a: str, b: str, replicates: int = 200) -> DataFrame:
-    """O-57: mean skill 1 - sum(a) / sum(b) with a 95 % interval over resampled days.
-
-    daily: one row for each day with its sums. Draws come from an integer formula, so other engines repeat them. The day table is
-    small by nature (one row for each session); each replicate looks its slots up by an equality join.
+    daily: one row for each day (date) and group with its sums. Days are numbered in each group; a replicate draws circular blocks of `block` following days until
+    it has as many days as there are, so that neighbouring days stay together; days closer than `gap` after a used one are left out first (they
+    share outcomes). Draws come from an integer formula, so other engines repeat them. Draws are counted for each day and replicate before they meet the sums:
+    one pass over (group, day) rows, each laid out to at most replicates x block counts, and only sums are shuffled.
     """
-    w = Window.orderBy("date")
-    numbered = daily.select((F.row_number().over(w) - 1).alias("slot"), F.col(a).alias("__a"), F.col(b).alias("__b"))
-    n = F.count("*").over(Window.partitionBy())
-    numbered = numbered.withColumn("n", n)
-    draws = numbered.select("slot", "n").withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-    drawn = draws.select("b", F.pmod(F.col("b").cast("long") * 73856093 + F.col("slot").cast("long") * 19349663 + F.col("b").cast("long") * F.col("slot") * 83492791, F.col("n")).cast("int").alias("slot"))
-    reps = drawn.join(numbered, "slot").groupBy("b").agg((1 - ratio(F.sum("__a"), F.sum("__b"))).alias("skill"))
-    q = F.percentile("skill", F.array(F.lit(0.025), F.lit(0.975)))
-    point = daily.agg((1 - ratio(F.sum(a), F.sum(b))).alias("skill"))
-    return reps.agg(q.alias("q")).join(F.broadcast(point)).select("skill", F.get("q", F.lit(0)).alias("low"), F.get("q", F.lit(1)).alias("high"))
+    by = by or []
+    order = Window.partitionBy(*by, *([] if by else [F.lit(0)])).orderBy("date")  # days of one group
+    days = daily.withColumn("__i", F.row_number().over(order) - 1).filter(F.col("__i") % (gap + 1) == 0)
+    days = days.select(*by, F.expr(f"__i div {gap + 1}").alias("slot"), F.col(a).alias("__a"), F.col(b).alias("__b"), F.count("*").over(Window.partitionBy(*by, *([] if by else [F.lit(0)]))).alias("n"))
+    # Every block-th slot of a replicate starts a block at a drawn day; the last block is cut at n days.
+    starts = days.filter(F.col("slot") % block == 0).select(*by, "slot", "n", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("b"))
+    drawn = F.pmod(F.col("b").cast("long") * 73856093 + F.col("slot").cast("long") * 19349663 + F.col("b").cast("long") * F.col("slot") * 83492791, F.col("n"))
+    length = F.least(F.lit(block), F.col("n") - F.col("slot")).cast("int")
+    laid = starts.select(*by, "b", "n", drawn.alias("__from"), F.explode(F.sequence(F.lit(0), length - 1)).alias("__k"))
+    times = laid.groupBy(*by, "b", F.pmod(F.col("__from") + F.col("__k"), F.col("n")).alias("slot")).agg(F.count("*").alias("__times"))
+    reps = times.join(days, [*by, "slot"]).groupBy(*by, "b").agg((1 - ratio(F.sum(F.col("__times") * F.col("__a")), F.sum(F.col("__times") * F.col("__b")))).alias("skill"))
+    q = F.percentile("skill", F.array(F.lit(0.025), F.lit(0.975)))  # of the replicates, a few hundred
+    point = days.groupBy(*by).agg((1 - ratio(F.sum("__a"), F.sum("__b"))).alias("skill"))
+    ends = reps.groupBy(*by).agg(q.alias("q"))
+    both = ends.join(point, by) if by else ends.crossJoin(F.broadcast(point))  # one row each
+    return both.select(*by, "skill", F.get("q", F.lit(0)).alias("low"), F.get("q", F.lit(1)).alias("high"))
 
 
 def rolling_offsets(rows: DataFrame, sessions: int, least: int) -> DataFrame:
@@ -135,10 +128,9 @@ def fold_shifts(rows: DataFrame, least: int) -> DataFrame:
 
 
 def climatology(rows: DataFrame, cell: str, value: str) -> DataFrame:
-    """O-200, O-91: quantiles of a value for each cell, and over all (cell -1), in one pass."""
-    q = F.percentile(value, F.array(*[F.lit(t) for t in TAUS]))
-    out = rows.groupingSets([[cell], []], cell).agg(F.count("*").alias("n"), q.alias("q"), F.grouping(cell).alias("g"))
-    return out.select(F.when(F.col("g") == 1, F.lit(-1)).otherwise(F.col(cell)).alias(cell), "n", "q")
+    """O-200, O-91: quantiles of a value for each cell, and over all (cell -1). Every value counts in its own cell and in cell -1, which ranks cuts into slots."""
+    both = rows.select(F.explode(F.array(F.col(cell).cast("long"), F.lit(-1).cast("long"))).alias("__cell"), F.col(value).alias("__x"))
+    return ranks.quantiles(both, ["__cell"], "__x", TAUS).select(F.col("__cell").alias(cell), "n", "q")
 
 
 def paired(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
@@ -147,21 +139,6 @@ def paired(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return j.groupBy("date").agg(F.count("*").alias("n"), F.avg("loss_a").alias("loss_a"), F.avg("loss_b").alias("loss_b"), F.avg((F.col("loss_b") < F.col("loss_a")).cast("int")).alias("b_better"))
 
 
-def weighted_quantiles(rows: DataFrame, by: list[str], x: str, w: str, taus: list[float]) -> DataFrame:
-    """O-54: quantiles by cumulative weight with linear interpolation between the middles of neighbouring weights."""
-    win = Window.partitionBy(*by).orderBy(x, w)
-    c = F.sum(w).over(win.rowsBetween(Window.unboundedPreceding, 0))
-    total = F.sum(w).over(Window.partitionBy(*by))
-    r = rows.filter(F.col(w) > 0).withColumn("__p", (c - F.col(w) / 2) / total)
-    r = r.withColumns({"__x1": F.lead(x).over(win), "__p1": F.lead("__p").over(win), "__first": F.row_number().over(win) == 1})
-    out = []
-    for i, t in enumerate(taus):
-        inside = F.when((F.col("__p") <= t) & (F.col("__p1") > t), F.col(x) + (F.col("__x1") - F.col(x)) * ratio(t - F.col("__p"), F.col("__p1") - F.col("__p")))
-        edge = F.when(F.col("__first") & (F.col("__p") > t), F.col(x)).when(F.col("__p1").isNull() & (F.col("__p") <= t), F.col(x))
-        out.append(F.max(F.coalesce(inside, edge)).alias(f"w{i}"))
-    return r.groupBy(*by).agg(*out)
-
-
 def effective_days(rows: DataFrame, by: list[str], day: str, w: str) -> DataFrame:
     """O-56: (sum W)^2 / sum W^2 over the days' weights W."""
     per = rows.groupBy(*by, day).agg(F.sum(w).alias("__w"))

@@ -146,3 +146,15 @@ def o121_handoff(spark, d):
     record = F.avg(inside).over(Window.partitionBy("symbol").orderBy("day_idx").rowsBetween(-20, -1))
     f = f.select("symbol", "date", "sector", (F.get("q", F.lit(4)) - F.get("q", F.lit(0))).alias("width"), record.alias("own_record"))
     return rounded(f.withColumns({"sector_width": loo_mean("width", ["date", "sector"]), "place": F.row_number().over(Window.partitionBy("date").orderBy(F.desc("width"), "symbol"))}))
+
+
+@query(FORECASTS + """ , dy AS (SELECT grp, row_number() OVER (PARTITION BY grp ORDER BY date) - 1 AS i, a, b FROM (SELECT grp, date, sum(loss) AS a, sum(naive_loss) AS b FROM sc GROUP BY ALL)),
+ sl AS (SELECT grp, i // 2 AS slot, a, b, count(*) OVER (PARTITION BY grp) AS n FROM dy WHERE i % 2 = 0),
+ st AS (SELECT grp, slot, n, rep, (rep * 73856093 + slot * 19349663 + rep * slot * 83492791) % n AS frm FROM sl, (SELECT unnest(range(0, 200)) AS rep) WHERE slot % 5 = 0),
+ dw AS (SELECT grp, rep, (frm + k) % n AS slot FROM st, (SELECT unnest(range(0, 5)) AS k) WHERE st.slot + k < n),
+ rp AS (SELECT grp, rep, 1 - sum(a) / sum(b) AS skill FROM dw JOIN sl USING (grp, slot) GROUP BY ALL)
+ SELECT grp, f32((SELECT 1 - sum(a) / sum(b) FROM sl WHERE sl.grp = rp.grp)) AS skill, f32(quantile_cont(skill, 0.025)) AS low, f32(quantile_cont(skill, 0.975)) AS high FROM rp GROUP BY grp""")
+def o57_block_bootstrap(spark, d):
+    """By group: circular blocks of five days, of every second day."""
+    per = scoring.scored(forecasts(spark, d)).groupBy("grp", "date").agg(F.sum("loss").alias("a"), F.sum("naive_loss").alias("b"))
+    return rounded(scoring.bootstrap(per, "a", "b", by=["grp"], block=5, gap=1))
