@@ -1,6 +1,6 @@
 """Names of all queries, their functions and their SQL."""
 
-from marketloom.plans import analog, base, daily, extended, feeds, frames, grading, intraday, moves, news, paths, records, reports, scoring, screening, sources, streams  # noqa: F401
+from marketloom.plans import analog, base, daily, extended, feeds, frames, grading, intraday, library, moves, news, paths, records, reports, scoring, screening, sources, streams  # noqa: F401
 
 QUERIES = base.QUERIES
 ORACLES = base.ORACLES
