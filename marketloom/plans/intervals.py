@@ -38,10 +38,11 @@ def o76_o132_outages(spark, d):
 , sm AS (SELECT cl.*, coalesce(ea.cum_pv - coalesce(sa.cum_pv, 0), NULL) / nullif(ea.cum_v - coalesce(sa.cum_v, 0), 0) AS va, (eb.cum_pv - coalesce(sb.cum_pv, 0)) / nullif(eb.cum_v - coalesce(sb.cum_v, 0), 0) AS vb FROM cl
  ASOF LEFT JOIN fa ea ON ea.symbol = cl.symbol AND ea.date = cl.date AND cl.at_ts >= ea.ts ASOF LEFT JOIN fa sa ON sa.symbol = cl.symbol AND sa.date = cl.date AND cl.since >= sa.ts
  ASOF LEFT JOIN fb eb ON eb.symbol = cl.symbol AND eb.date = cl.date AND cl.at_ts >= eb.ts ASOF LEFT JOIN fb sb ON sb.symbol = cl.symbol AND sb.date = cl.date AND cl.since >= sb.ts)
- SELECT symbol, date, at_ts AS "at", kind, f32(va) AS vwap_a, f32(vb) AS vwap_b, f32(10000 * (va / nullif(vb, 0) - 1)) AS bp FROM sm""")
+ SELECT symbol, date, at_ts AS "at", kind, f32(va) AS vwap_a, f32(vb) AS vwap_b, f32(round(10000 * (va / nullif(vb, 0) - 1), 6)) AS bp FROM sm""")
 def o136b_feed_checkpoints(spark, d):
     """VWAPs of both feeds since the day's start and over the last 60 and 240 minutes, where neither had an outage."""
     a, b, outages = feeds(spark, d)
     hours = F.explode(F.array(*[F.timestamp_add("HOUR", F.lit(h), F.col("date").cast("timestamp")) for h in (10, 13, 16)]))
     points = a.select("symbol", "date").distinct().select("symbol", "date", hours.alias("at"))
-    return rounded(intervals.checkpoints(a, b, outages, points, {"session": None, "trailing_60": 60, "trailing_240": 240}))
+    out = intervals.checkpoints(a, b, outages, points, {"session": None, "trailing_60": 60, "trailing_240": 240})
+    return rounded(out.withColumn("bp", F.round("bp", 6)))

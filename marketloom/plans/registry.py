@@ -1,6 +1,6 @@
 """Names of all queries, their functions and their SQL."""
 
-from marketloom.plans import analog, articles, base, daily, extended, feeds, frames, grading, intervals, intraday, library, moves, news, panel, paths, records, reports, scoring, screening, sources, streams  # noqa: F401
+from marketloom.plans import analog, articles, base, daily, extended, feeds, frames, grading, intervals, intraday, kernels, library, moves, news, panel, paths, records, reports, scoring, screening, sources, streams  # noqa: F401
 
 QUERIES = base.QUERIES
 ORACLES = base.ORACLES
