@@ -9,8 +9,8 @@ first member by bisection and every member can be fetched, checked and fetched a
 it. An archive's name holds its writer's attempt; only archives in the manifest, which Spark commits, are read, so lost or repeated
 attempts leave no rows.
 
-Defined cases. A null text is empty: 64 zero bytes. A null id is kept as null. Repeated rows are members of their own. Extra columns
-are not read. An empty table gives an empty archive list and an empty result.
+Defined cases. A null text is empty: 64 zero bytes. A null id is kept as null. Repeated rows are members of their own. Very long texts are stored and fetched whole, one
+member at a time, as a range ends with the member that begins in it. Ties cannot occur: members are found by offset. Extra columns are not read, whatever their names. An empty table gives an empty archive list and an empty result.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ in that slot and a small table of slot counts, so no bucket is ever gathered in
 
 Defined cases. A null text is empty: one piece with only the end token. Repeated rows are documents of their own, also with null ids.
 Very long texts are encoded whole, alone in their portion; ties are numbered by id, start and checksum. Extra columns
-are not read. An empty table gives an empty result.
+are not read, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations

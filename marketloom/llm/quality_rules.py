@@ -7,7 +7,8 @@ of its rules, is bitwise arithmetic on the ledger and never looks at a text agai
 Only DataFrame functions: the plan has no Python and no shuffle.
 
 Defined cases. A null text is an empty text: no words, fails MIN_WORDS. Words are runs of anything but code points 0x20 and
-0x09-0x0D. Repeated rows give repeated ledger rows. Extra columns of the input are not read. An empty table gives an empty
+0x09-0x0D. Repeated rows give repeated ledger rows, and so do rows with null ids, which are judged like
+any other. Very long texts are judged whole, a row at a time. Nothing is ranked, so there are no ties. Extra columns of the input are not read (keep passes all columns on). An empty table gives an empty
 ledger. An 8-word window is recognised by the 64-bit hash of its words.
 """
 

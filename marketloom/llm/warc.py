@@ -14,7 +14,7 @@ Which payloads repeat is a table of digests; it is broadcast while it takes at m
 
 Defined cases. A null html is empty. A page without an id is a revisit like others where another page with an id has its payload; pages
 whose payload only occurs without ids are all responses. Rows that repeat the smallest page_id of a payload are all responses. Very long
-pages are cut into chunks. Extra columns are not read. An empty table gives an empty result.
+pages are cut into chunks. Extra columns are not read, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
