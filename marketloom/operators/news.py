@@ -119,9 +119,11 @@ def lexicon_scores(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
     return rows.withColumns({"score_agg": agg, "label": F.when(agg > 0.02, "positive").when(agg < -0.02, "negative").otherwise("neutral")})
 
 
-def score_with(docs: DataFrame, done: DataFrame, scorer, schema: str) -> DataFrame:
-    """O-224, O-242: runs a scorer (an iterator of pandas frames to one) over the documents that aren't in done yet."""
-    return docs.join(done.select("doc_id"), "doc_id", "left_anti").mapInPandas(scorer, schema)
+def score_with(docs: DataFrame, done: DataFrame, scorer, schema: str | None = None) -> DataFrame:
+    """O-224, O-242: a scorer over the documents that aren't in done yet: a function from a DataFrame to one (built from columns, such as lexicon_scores with its lexicon), or, with the schema of
+    what it returns, an iterator of pandas frames to one."""
+    rest = docs.join(done.select("doc_id"), "doc_id", "left_anti")
+    return scorer(rest) if schema is None else rest.mapInPandas(scorer, schema)
 
 
 def daily_sentiment(scores: DataFrame, links: DataFrame) -> DataFrame:
@@ -143,6 +145,20 @@ def age_minutes(text: str) -> Column:
     return n * F.when(unit == "m", 1).when(unit == "h", 60).when(unit == "d", 1440)
 
 
+def age_bounds(text: str) -> Column:
+    """O-102: (least, most) minutes that a relative age stands for: '21h ago' is 21 hours or more and less than 22."""
+    n, unit = F.regexp_extract(text, r"(\d+)\s*([mhd])", 1).try_cast("int"), F.regexp_extract(text, r"(\d+)\s*([mhd])", 2)
+    size = F.when(unit == "m", 1).when(unit == "h", 60).when(unit == "d", 1440)
+    return F.struct((n * size).alias("least"), ((n + 1) * size).alias("most"))
+
+
+def reconciled(seen: str, age: str, stated: str) -> Column:
+    """O-102: whether a stated time agrees with the relative age that was seen: agrees, future (stated after it was seen), differs, or NULL where either is unknown."""
+    bounds, at = age_bounds(age), F.col(stated)
+    inside = (at <= F.timestamp_add("MINUTE", -bounds["least"], F.col(seen))) & (at > F.timestamp_add("MINUTE", -bounds["most"], F.col(seen)))
+    return F.when(at.isNull() | bounds["least"].isNull(), None).when(inside, "agrees").when(at > F.col(seen), "future").otherwise("differs")
+
+
 def article_id(*parts: str) -> Column:
     """O-101: a stable id of an article."""
     return F.substring(F.sha1(F.encode(F.concat_ws("|", *parts), "UTF-8")), 1, 16)

@@ -80,6 +80,13 @@ def o48_daily_sentiment(spark, d):
     return rounded(news.daily_sentiment(news.lexicon_scores(read(spark, d, "documents"), _lexicon(spark, d)), _links(spark, d).select("doc_id", "symbol").distinct()))
 
 
+@query(f"WITH {_SCORES} SELECT doc_id, f32(p) AS score_pos, f32(n) AS score_neg, f32(score_agg) AS score_agg, label FROM sc WHERE doc_id % 4 <> 0")
+def o242_pluggable_scorer(spark, d):
+    """A scorer given as a function (here the lexicon's) over the documents that have no score yet."""
+    docs, lexicon = read(spark, d, "documents").select("doc_id", "text"), _lexicon(spark, d)
+    return rounded(news.score_with(docs, docs.filter("doc_id % 4 = 0"), lambda rest: news.lexicon_scores(rest, lexicon)))
+
+
 @query("WITH b AS (SELECT md5(coalesce(text, '')) AS k, doc_id FROM documents WHERE source <> 'src1'), kn AS (SELECT DISTINCT md5(coalesce(text, '')) AS k FROM documents WHERE source = 'src1') SELECT k, max(doc_id) AS doc_id FROM b WHERE k NOT IN (SELECT k FROM kn) GROUP BY k")
 def o221_incremental_dedup(spark, d):
     docs = read(spark, d, "documents").select("source", "doc_id", F.md5(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("k"))

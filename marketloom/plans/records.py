@@ -146,16 +146,17 @@ def o125_completeness(spark, d):
     return feeds.complete(rows, "cutoff", 15).select("event_id", "data_until", "complete")
 
 
-@query("SELECT doc_id, length(coalesce(text, ''))::BIGINT AS score FROM documents WHERE doc_id % 4 <> 0")
-def o242_pluggable_scorer(spark, d):
-    """A scorer given as a function runs over the documents that have no score yet, in Arrow batches."""
-    docs = read(spark, d, "documents").select("doc_id", "text")
-
-    def scorer(frames):
-        for f in frames:
-            yield f.assign(score=f["text"].fillna("").str.len())[["doc_id", "score"]]
-
-    return news.score_with(docs, docs.filter("doc_id % 4 = 0"), scorer, "doc_id long, score long")
+@query("""SELECT event_id, k * u AS least, (k + 1) * u AS most, CASE WHEN ts - to_minutes((k * u)::INT) >= stated AND ts - to_minutes(((k + 1) * u)::INT) < stated THEN 'agrees' WHEN stated > ts THEN 'future' ELSE 'differs' END AS verdict FROM (
+ SELECT event_id, ts, user_id AS k, CASE user_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 60 ELSE 1440 END AS u, CASE event_id % 3 WHEN 0 THEN ts - to_minutes((user_id * CASE user_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 60 ELSE 1440 END)::INT) WHEN 1 THEN ts + INTERVAL 1 HOUR ELSE ts - INTERVAL 400 DAYS END AS stated FROM events)""")
+def o102_age_bounds(spark, d):
+    """The bounds of a relative age, and whether a stated time lies within them."""
+    unit = F.get(F.array(F.lit("m ago"), F.lit("h ago"), F.lit(" d ago")), (F.col("user_id") % 3).cast("int"))
+    size = F.get(F.array(F.lit(1), F.lit(60), F.lit(1440)), (F.col("user_id") % 3).cast("int"))
+    e = _events(spark, d)
+    stated = F.when(F.col("event_id") % 3 == 0, F.timestamp_add("MINUTE", -(F.col("user_id") * size).cast("int"), F.col("ts"))).when(F.col("event_id") % 3 == 1, F.timestamp_add("HOUR", F.lit(1), F.col("ts"))).otherwise(F.timestamp_add("DAY", F.lit(-400), F.col("ts")))
+    rows = e.select("event_id", "ts", F.concat(F.col("user_id").cast("string"), unit).alias("age"), stated.alias("stated"))
+    bounds = news.age_bounds("age")
+    return rows.select("event_id", bounds["least"].cast("long").alias("least"), bounds["most"].cast("long").alias("most"), news.reconciled("ts", "age", "stated").alias("verdict"))
 
 
 @query("""WITH l AS (SELECT page_id, url, regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS site, CASE WHEN page_id % 5 = 0 THEN 'stored' WHEN row_number() OVER (PARTITION BY md5(coalesce(html, '')) ORDER BY page_id) > 1 THEN 'duplicate' WHEN length(coalesce(html, '')) < 200 THEN 'failed' ELSE 'new' END AS fate FROM pages)

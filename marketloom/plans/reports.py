@@ -45,6 +45,16 @@ def o210_band_scaling(spark, d):
     return rounded(out.select("symbol", "date", F.get("q", F.lit(0)).alias("low"), F.get("q", F.lit(4)).alias("high")))
 
 
+@query()
+def o210_fitted_scale(spark, d):
+    """Scale fitted by gradient steps on the earlier folds and applied to the last; losses of both, raw and scaled. Tested against a grid of scales."""
+    f = forecasts(spark, d)
+    last = f.agg(F.max("fold")).first()[0]
+    a, b = reports.fit_scale(f.filter(F.col("fold") < (last if last is not None else 0)), "sigma")
+    both = scoring.scored(f).select("symbol", "date", "fold", F.col("loss").alias("raw")).join(scoring.scored(reports.scaled(f, a, b, "sigma")).select("symbol", "date", F.col("loss").alias("fitted")), ["symbol", "date"])
+    return rounded(both.groupBy("fold").agg(F.count("*").alias("n"), F.avg("raw").alias("raw"), F.avg("fitted").alias("fitted")))
+
+
 @query()
 def o213_range_model(spark, d):
     """A trained model; tested to beat the mean on its own training rows."""

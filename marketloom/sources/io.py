@@ -36,11 +36,14 @@ def with_provenance(df: DataFrame, source: str, run_id: str) -> DataFrame:
     return df.withColumns({"_source": F.lit(source), "_ingested_at": F.current_timestamp(), "_run_id": F.lit(run_id)})
 
 
-def write_dated(df: DataFrame, path: str, date: str = "date", sort: tuple[str, ...] = ()) -> None:
-    """O-11..O-14, O-80: one sorted partition for each date; a date that is written again replaces the old one, others stay."""
-    out = df.repartition(F.col(date))
-    out = out.sortWithinPartitions(date, *sort) if sort else out
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path)
+def write_dated(df: DataFrame, path: str, date: str = "date", sort: tuple[str, ...] = (), most_rows: int = 20_000_000) -> None:
+    """O-11..O-14, O-80: a folder for each date; a date that is written again replaces the old one, others stay.
+
+    With a sort order, rows are range-partitioned by date and that order, so a large day is spread over tasks; its files are sorted, and follow one another in the order. No file has more than
+    most_rows rows.
+    """
+    out = df.repartitionByRange(F.col(date), *[F.col(c) for c in sort]).sortWithinPartitions(date, *sort) if sort else df.repartition(F.col(date))
+    out.write.option("maxRecordsPerFile", most_rows).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path)
 
 
 def merge_keep_old(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
