@@ -45,6 +45,68 @@ def averages(minutes: DataFrame, entries: DataFrame, bins: list[tuple[int, int]]
     return j.withColumn("bin", which).filter("bin IS NOT NULL").groupBy("symbol", "date", "at", "bin").agg(ratio(F.sum(F.col("vwap") * F.col("volume")), F.sum("volume")).alias("vwap"), F.avg("close").alias("twap"), F.max_by("close", "minute").alias("last"), F.sum("volume").alias("volume"))
 
 
+def bin_targets(minutes: DataFrame, entries: DataFrame, bins: list[tuple[int, int | None]], closes: int, least_mass: float = 0.05) -> DataFrame:
+    """O-149: the pocket of each duration bin (from, to] in minutes after an entry, clipped at the close; to = None reaches the close. One row for each entry and bin.
+
+    minutes: symbol, date, minute, vwap, volume, normal (may be NULL); entries: symbol, date, at, entry, sigma; closes: minute of the day. Places are log moves from the entry in sigmas. bulge and sag:
+    volume-weighted moves up and down; cm_up, cm_dn: their centres where that side has at least least_mass of the volume; rvol: log of volume + 1 over normal volume + 1; pi_up, pi_dn: bulge and sag times
+    the volume's ratio to the normal one, by minute (NULL without a normal volume). cut: the close comes before the bin ends. A bin without volume has NULL for its pocket, not for rvol.
+    """
+    at, left = F.unix_seconds("at"), F.lit(closes) - (F.hour("at") * 60 + F.minute("at"))
+    spans = F.array(*[F.struct(F.lit(i + 1).alias("bin"), F.lit(a).alias("a"), F.least(F.lit(b), left).alias("b"), (F.lit(b) > left if b is not None else F.lit(False)).alias("cut")) for i, (a, b) in enumerate(bins)])
+    asked = entries.select("symbol", "date", "at", "entry", "sigma", F.explode(spans).alias("x")).select("symbol", "date", "at", "entry", "sigma", "x.*")
+    m = minutes.select(F.col("symbol").alias("__s"), F.col("date").alias("__d"), "minute", "vwap", "volume", "normal")
+    inside = (F.unix_seconds("minute") > at + 60 * F.col("a")) & (F.unix_seconds("minute") <= at + 60 * F.col("b"))
+    j = asked.join(m, (F.col("symbol") == F.col("__s")) & (F.col("date") == F.col("__d")) & inside, "left")
+    j = j.withColumn("d", ratio(F.ln(ratio("vwap", "entry")), F.col("sigma")))
+    j = j.withColumn("v", F.when(F.col("d").isNotNull(), F.col("volume")).otherwise(0.0))
+    part = lambda on, x: F.coalesce(F.sum(F.when(on, x)), F.lit(0.0))
+    up, down, d, v = F.col("d") > 0, F.col("d") < 0, F.col("d"), F.col("v")
+    g = j.groupBy("symbol", "date", "at", "bin", "a", "b", "cut").agg(
+        F.sum("v").alias("volume"), F.coalesce(F.sum("normal"), F.lit(0.0)).alias("__n"), part(up, d * v).alias("__u"), part(down, -d * v).alias("__d"), part(up, v).alias("__mu"), part(down, v).alias("__md"))
+    vol = F.col("volume")
+    g = g.withColumns({"bulge": ratio("__u", vol), "sag": ratio("__d", vol), "mass_up": ratio("__mu", vol), "mass_dn": ratio("__md", vol), "mins": F.greatest(F.col("b") - F.col("a"), F.lit(0)), "times": ratio(vol, "__n")})
+    centre = lambda side, mass: F.when(F.col(mass) >= least_mass, ratio(side, mass))
+    return g.select(
+        "symbol", "date", "at", "bin", "volume", "bulge", "sag", "mass_up", "mass_dn", centre("bulge", "mass_up").alias("cm_up"), centre("sag", "mass_dn").alias("cm_dn"), (F.col("bulge") - F.col("sag")).alias("net"),
+        F.ln((vol + 1) / (F.col("__n") + 1)).alias("rvol"), ratio(F.col("bulge") * F.col("times"), "mins").alias("pi_up"), ratio(F.col("sag") * F.col("times"), "mins").alias("pi_dn"), F.col("cut").cast("int").alias("cut"), "mins",
+    )
+
+
+def peak_bins(targets: DataFrame) -> DataFrame:
+    """O-150: the bin with the most of pi_up, and of pi_dn, of each entry (the first of equal ones; NULL where no bin has any)."""
+    best = lambda c: F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(c), -F.col("bin"))))
+    return targets.groupBy("symbol", "date", "at").agg(*[(-best(f"pi_{s}")["col2"]).alias(f"peak_{s}") for s in ("up", "dn")])
+
+
+def row_targets(minutes: DataFrame, entries: DataFrame, horizon: int, closes: int, move: float = 0.01, race: float = 0.5) -> DataFrame:
+    """O-150: of the minutes within the horizon (and before the close): when half of the upward and of the downward mass has come, the share of a typical day's volume until the price touched +-move (1 if it never does), which
+    of +-race sigmas came first (0 up, 1 down, 2 neither or both at once), and the pocket of them all. An entry without a later minute has no row.
+
+    minutes: symbol, date, minute, high, low, vwap, volume; entries: symbol, date, at, entry, sigma, typical. Times are minutes after the entry.
+    """
+    j = _after(minutes, entries, horizon, ["high", "low", "vwap", "volume"]).filter(F.hour("minute") * 60 + F.minute("minute") <= closes)
+    move_of = lambda c: F.ln(ratio(c, "entry"))
+    j = j.withColumns({"age": ((F.unix_seconds("minute") - F.unix_seconds("at")) / 60).cast("int"), "d": ratio(move_of("vwap"), F.col("sigma"))})
+    j = j.withColumn("v", F.when(F.col("d").isNotNull(), F.col("volume")).otherwise(0.0))
+    key = Window.partitionBy("symbol", "date", "at").orderBy("minute")
+    upto, whole = key.rowsBetween(Window.unboundedPreceding, 0), key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    w = {"up": F.greatest(F.col("d") * F.col("v"), F.lit(0.0)), "dn": F.greatest(-F.col("d") * F.col("v"), F.lit(0.0))}
+    side = {"up": (F.coalesce(w["up"], F.lit(0.0)), "high", 1), "dn": (F.coalesce(w["dn"], F.lit(0.0)), "low", -1)}
+    j = j.withColumns({"cum": F.sum("volume").over(upto)} | {f"c_{s}": F.sum(x).over(upto) for s, (x, _, _) in side.items()} | {f"t_{s}": F.sum(x).over(whole) for s, (x, _, _) in side.items()})
+    total = F.sum("v")
+    out = [ratio(F.max(f"t_{s}"), total).alias(n) for s, n in (("up", "bulge"), ("dn", "sag"))] + [ratio(F.coalesce(F.sum(F.when(F.col("d") > 0, F.col("v"))), F.lit(0.0)), total).alias("mass_up")]
+    for s, (_, extreme, sign) in side.items():
+        out.append(F.min(F.when((F.col(f"c_{s}") >= 0.5 * F.col(f"t_{s}")) & (F.col(f"t_{s}") > 0), F.col("age"))).alias(f"t50_{s}"))
+        touched = move_of(extreme) * sign >= F.ln(F.lit(1 + move))
+        out.append(F.coalesce(ratio(F.min_by("cum", F.when(touched, F.col("age"))), F.max("typical")), F.lit(1.0)).alias(f"vol_to_{s}"))
+        out.append(F.min(F.when(move_of(extreme) * sign >= race * F.col("sigma"), F.col("age"))).alias(f"__r_{s}"))
+    g = j.groupBy("symbol", "date", "at").agg(*out)
+    far = lambda s: F.coalesce(F.col(f"__r_{s}"), F.lit(1 << 20))
+    first = F.when(far("up") < far("dn"), 0).when(far("dn") < far("up"), 1).otherwise(2)
+    return g.select("symbol", "date", "at", "t50_up", "t50_dn", "vol_to_up", "vol_to_dn", first.alias("race"), "mass_up", "bulge", "sag", (F.col("bulge") - F.col("sag")).alias("net"))
+
+
 def occupancy(minutes: DataFrame, entries: DataFrame, horizon: int) -> DataFrame:
     """O-151: share of minutes that close above and below the entry."""
     j = _after(minutes, entries, horizon, ["close"])
