@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from marketloom.functions.expr import ratio
-from marketloom.operators.asof import asof_join, latest
+from marketloom.operators.asof import asof_join, latest, near_join
 
 MESSAGE = "ev string, sym string, s bigint, o double, h double, l double, c double, v double, av double, z double"
 
@@ -137,3 +137,27 @@ def model_frame(rows: DataFrame, target: str) -> DataFrame:
     moved = rows.withColumn("__t", F.lag(target).over(w))
     pad = rows.groupBy("symbol").agg((F.max("day_idx") + 1).alias("day_idx"), F.max_by(target, "day_idx").alias(target))
     return moved.select("symbol", "day_idx", F.col("__t").alias(target), F.lit(False).alias("padding")).unionByName(pad.withColumn("padding", F.lit(True)))
+
+
+SIGHTINGS = ("close shortly after", "close shortly before", "inside a bar close by", "printed near", "printed far", "previous close", "not printed")
+
+
+def sightings(polls: DataFrame, bars: DataFrame, previous: DataFrame, soon: int, near: int, far: int, tick: float) -> DataFrame:
+    """O-31: where the price of each poll shows up in the bars around the moment it describes: seconds to the nearest bar that closes on it, to the nearest that holds it, and the first SIGHTINGS that fits.
+
+    polls: symbol, date, poll_id (unique in a symbol), at, price; bars: symbol, bar_end, low, high, close; previous: symbol, date, previous_close. Closing and, first, holding bars are at most `near` seconds away;
+    if none holds the price, bars up to `far` seconds away count. Closes within `soon` seconds are close; of equally near bars the earlier counts. Prices are equal within tick. Polls and bars meet by (symbol, bucket
+    of time), in one pass for both distances; every poll has a row.
+    """
+    pairs = near_join(polls.select("symbol", "poll_id", "at", "price"), bars.select("symbol", "bar_end", "low", "high", "close"), ["symbol"], "at", "bar_end", far)
+    off = (F.unix_micros("bar_end") - F.unix_micros("at")) / 1e6
+    pairs = pairs.withColumn("__off", off)
+    inside = F.col("price").between(F.col("low") - tick, F.col("high") + tick)
+    close_by = F.abs("__off") <= near
+    closes = F.min(F.when(close_by & (F.abs(F.col("price") - F.col("close")) < tick), F.struct(F.abs("__off"), F.col("__off").alias("off"))))
+    seen = pairs.groupBy("symbol", "poll_id").agg(closes["off"].alias("off_close"), F.min(F.when(close_by & inside, F.abs("__off"))).alias("__near"), F.min(F.when(inside, F.abs("__off"))).alias("__far"))
+    out = polls.select("symbol", "date", "poll_id", "at", "price").join(seen, ["symbol", "poll_id"], "left").join(previous, ["symbol", "date"], "left")
+    c, n = F.col("off_close"), F.col("__near")
+    kinds = [(c > 0) & (c <= soon), c.between(-soon, 0), n <= soon, n.isNotNull(), F.col("__far").isNotNull(), F.abs(F.col("price") - F.col("previous_close")) < tick, F.lit(True)]
+    kind = F.coalesce(*[F.when(k, F.lit(name)) for k, name in zip(kinds, SIGHTINGS)])
+    return out.select("symbol", "date", "poll_id", "at", "price", "off_close", F.coalesce("__near", "__far").alias("off_range"), kind.alias("sighting"))

@@ -70,3 +70,26 @@ def by_lean(rows: DataFrame) -> DataFrame:
         F.count("*").alias("predictions"), F.avg("p_up").alias("mean_p_up"), F.avg("p_dn").alias("mean_p_dn"), F.avg((F.col("vwap_move") > 0).cast("int")).alias("went_up"),
         pick("reached_up", "reached_dn").alias("lean_reached"), pick("reached_dn", "reached_up").alias("other_reached"))
     return t.crossJoin(F.broadcast(t.agg(F.sum("predictions").alias("__all")))).withColumn("share", F.col("predictions") / F.col("__all")).drop("__all")  # one row
+
+
+def by_lean_decile(rows: DataFrame, named: DataFrame, deciles: int = 10) -> DataFrame:
+    """O-161b: decisions cut by their lean (p_up - p_dn) into equally many, over all days and without the named ones: how far the price went, and how often either side was touched.
+
+    rows: symbol, date, p_up, p_dn, touched_up, touched_dn, vwap_move, one row for each decision; named: date (a row a day). Equal leans share the decile of their mean rank; ranks come from counted
+    values in slots. A move of 0 has no direction.
+    """
+    marked = rows.join(F.broadcast(named.select("date").distinct().withColumn("__named", F.lit(True))), "date", "left")
+    which = F.explode(F.when(F.col("__named").isNull(), F.array(F.lit("all"), F.lit("rest"))).otherwise(F.array(F.lit("all"))))
+    r = marked.withColumn("lean", F.round(F.col("p_up") - F.col("p_dn"), 9)).withColumn("days", which).filter("lean IS NOT NULL")
+    rank = ranks.running(r, ["days"], "lean").select("days", "lean", F.floor((F.col("before") + F.col("n") / 2) * deciles / F.col("total")).cast("int").alias("decile"))
+    went = F.when(F.col("vwap_move") != 0, (F.col("vwap_move") > 0).cast("int"))
+    return r.join(rank, ["days", "lean"]).groupBy("days", "decile").agg(
+        F.count("*").alias("n"), F.avg("lean").alias("lean"), F.avg(went).alias("went_up"), F.avg("touched_up").alias("touched_up"), F.avg("touched_dn").alias("touched_dn"), F.avg("vwap_move").alias("vwap_move"))
+
+
+def lean_skill(rows: DataFrame) -> DataFrame:
+    """O-161b: area under the curve of the lean for the direction that the price went, and, where one side alone was touched, for that side; with the number of rows of each."""
+    lean = F.round(F.col("p_up") - F.col("p_dn"), 9)
+    went = rows.filter("vwap_move <> 0").select(F.lit("went_up").alias("outcome"), lean.alias("lean"), (F.col("vwap_move") > 0).cast("int").alias("y"))
+    one = rows.filter("touched_up + touched_dn = 1").select(F.lit("only_up_touched").alias("outcome"), lean.alias("lean"), F.col("touched_up").alias("y"))
+    return ranks.auc(went.union(one).filter("lean IS NOT NULL"), "lean", "y", ["outcome"])

@@ -40,7 +40,7 @@ def said(spark, d):
         F.lit(name).alias("side"), F.col(f"p_{s}").alias("p"), F.col(f"reached_{s}").alias("reached"), F.col(f"touched_{s}").alias("touched"), F.when(traded, F.col(f"cm_{s}").isNotNull().cast("int")).alias("formed"),
         (sign * F.col(f"cm_{s}")).alias("centre"), (sign * F.col(f"best_{s}")).alias("best"), (F.col(f"best_{s}") / goal).alias("best_x"))
     r = r.filter("p_up IS NOT NULL AND p_dn IS NOT NULL").withColumn("x", F.explode(F.array(side("up", "up", F.lit(1)), side("down", "dn", F.lit(-1)))))
-    return r.select("symbol", "date", "minute", "x.*", F.col("net").alias("vwap_move"), "p_up", "p_dn", "reached_up", "reached_dn")
+    return r.select("symbol", "date", "minute", "x.*", F.col("net").alias("vwap_move"), "p_up", "p_dn", "reached_up", "reached_dn", "touched_up", "touched_dn")
 
 
 def flagged(spark, d):
@@ -76,3 +76,23 @@ def o206_moves_by_time(spark, d):
  f32(avg(CASE WHEN p_up >= p_dn THEN reached_up ELSE reached_dn END)) AS lean_reached, f32(avg(CASE WHEN p_up >= p_dn THEN reached_dn ELSE reached_up END)) AS other_reached, f32(count(*) / (SELECT count(*) FROM mt)) AS share FROM mt GROUP BY 1""")
 def o206_moves_by_lean(spark, d):
     return rounded(move_tables.by_lean(flagged(spark, d)[0]))
+
+
+LEANS = MOVES + """, ld AS (SELECT *, round(p_up - p_dn, 9) AS lean FROM sp WHERE p_up IS NOT NULL AND p_dn IS NOT NULL), wild AS (SELECT date FROM ld GROUP BY date HAVING avg(touched_up) > 0.9)"""
+
+
+def leans(spark, d):
+    rows = written(said(spark, d).filter("side = 'up'"), "leans")  # a row for each decision
+    return rows, rows.groupBy("date").agg(F.avg("touched_up").alias("m")).filter("m > 0.9")
+
+
+@query(LEANS + """, al AS (SELECT 'all' AS days, * FROM ld UNION ALL SELECT 'rest', * FROM ld WHERE date NOT IN (SELECT date FROM wild)), rk AS (SELECT *, rank() OVER (PARTITION BY days ORDER BY lean) - 1 AS before, count(*) OVER (PARTITION BY days, lean) AS k, count(*) OVER (PARTITION BY days) AS total FROM al)
+ SELECT days, floor((before + k / 2) * 10 / total)::INT AS decile, count(*) AS n, f32(avg(lean)) AS lean, f32(avg(CASE WHEN net <> 0 THEN (net > 0)::INT END)) AS went_up, f32(avg(touched_up)) AS touched_up, f32(avg(touched_dn)) AS touched_dn, f32(avg(net)) AS vwap_move FROM rk GROUP BY 1, 2""")
+def o161b_lean_deciles(spark, d):
+    return rounded(move_tables.by_lean_decile(*leans(spark, d)))
+
+
+@query(LEANS + """, oc AS (SELECT 'went_up' AS outcome, lean, (net > 0)::INT AS y FROM ld WHERE net <> 0 UNION ALL SELECT 'only_up_touched', lean, touched_up FROM ld WHERE touched_up + touched_dn = 1), rk AS (SELECT outcome, y, rank() OVER (PARTITION BY outcome ORDER BY lean) + (count(*) OVER (PARTITION BY outcome, lean) - 1) / 2.0 AS r FROM oc)
+ SELECT outcome, f32((sum(r * y) - sum(y) * (sum(y) + 1) / 2) / nullif(sum(y) * (count(*) - sum(y)), 0)) AS auc, count(*) AS n FROM rk GROUP BY outcome""")
+def o161b_lean_skill(spark, d):
+    return rounded(move_tables.lean_skill(leans(spark, d)[0]))

@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from marketloom.operators import feeds, intraday
 from marketloom.operators import session_polls as sp
 from marketloom.plans.base import query, read, rounded
+from marketloom.plans.intraday import POLLS, polls
 
 OPENS, CLOSES, GRACE, LEAST, LONG = 570, 960, 30, 900.0, 5400.0
 HORIZONS, POLLS_NEEDED = {"r_15m": 900, "r_60m": 3600, "r_120m": 7200}, {"r_15m": 2}
@@ -104,3 +106,26 @@ def o135_session_targets(spark, d):
     f = feed(spark, d).filter("price IS NOT NULL").groupBy("symbol", "date")
     vwap = f.agg((F.sum(F.col("price") * F.col("size")) / F.sum("size")).alias("day_vwap"), F.count("*").alias("k")).filter("k % 4 <> 0").drop("k")
     return rounded(sp.session_targets(points(spark, d).join(vwap, ["symbol", "date"], "left"), regular(spark, d), HORIZONS, 3600, POLLS_NEEDED))
+
+
+SEEN = POLLS + """, q AS (SELECT symbol, date, event_id AS poll_id, ts - INTERVAL 15 MINUTES AS at_ts, price FROM polls)
+, b AS (SELECT symbol, time_bucket(INTERVAL 5 MINUTES, ts) + INTERVAL 5 MINUTES AS bar_end, min(price) AS low, max(price) AS high, arg_max(price, (ts, price)) AS close FROM polls GROUP BY ALL)
+, pv AS (SELECT symbol, date, lag(c) OVER (PARTITION BY symbol ORDER BY date) AS previous_close FROM (SELECT symbol, date, arg_max(price, (ts, price)) AS c FROM polls GROUP BY ALL))
+, pr AS (SELECT q.symbol, q.poll_id, q.price, (epoch_us(b.bar_end) - epoch_us(q.at_ts)) / 1e6 AS off, q.price BETWEEN b.low - 0.5 AND b.high + 0.5 AS inside, abs(q.price - b.close) < 0.5 AS closes FROM q JOIN b ON q.symbol = b.symbol AND b.bar_end BETWEEN q.at_ts - INTERVAL 7200 SECONDS AND q.at_ts + INTERVAL 7200 SECONDS)
+, sn AS (SELECT symbol, poll_id, arg_min(off, (abs(off), off)) FILTER (WHERE abs(off) <= 1800 AND closes) AS off_close, min(abs(off)) FILTER (WHERE abs(off) <= 1800 AND inside) AS n, min(abs(off)) FILTER (WHERE inside) AS f FROM pr GROUP BY ALL)
+, si AS (SELECT q.*, off_close, coalesce(n, f) AS off_range, CASE WHEN off_close > 0 AND off_close <= 600 THEN 'close shortly after' WHEN off_close BETWEEN -600 AND 0 THEN 'close shortly before' WHEN n <= 600 THEN 'inside a bar close by' WHEN n IS NOT NULL THEN 'printed near' WHEN f IS NOT NULL THEN 'printed far'
+  WHEN abs(price - previous_close) < 0.5 THEN 'previous close' ELSE 'not printed' END AS sighting FROM q LEFT JOIN sn USING (symbol, poll_id) LEFT JOIN pv USING (symbol, date))"""
+
+
+def seen(spark, d):
+    p = polls(spark, d)
+    bars = intraday.minute_bars(p, 5).select("symbol", F.timestamp_add("MINUTE", F.lit(5), "minute").alias("bar_end"), "low", "high", "close")
+    close = p.groupBy("symbol", "date").agg(F.max_by("price", F.struct("ts", "price")).alias("c"))
+    previous = close.select("symbol", "date", F.lag("c").over(Window.partitionBy("symbol").orderBy("date")).alias("previous_close"))
+    asked = p.select("symbol", "date", F.col("event_id").alias("poll_id"), F.timestamp_add("MINUTE", F.lit(-15), "ts").alias("at"), "price")
+    return feeds.sightings(asked, bars, previous, 600, 1800, 7200, 0.5)
+
+
+@query(SEEN + " SELECT symbol, date, poll_id, at_ts AS at, f32(price) AS price, f32(off_close) AS off_close, f32(off_range) AS off_range, sighting FROM si")
+def o31_sightings(spark, d):
+    return rounded(seen(spark, d))

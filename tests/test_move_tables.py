@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketloom.operators import move_tables
 
@@ -52,3 +53,16 @@ def test_empty(made):
     assert move_tables.by_lean(none).count() == 0 and move_tables.by_time(none).count() == 0
     assert {r.predictions for r in move_tables.by_day(none, scored).collect()} == {0}
     assert {(r.side, r.predictions) for r in move_tables.by_period(none, scored).collect()} == {("up", 0), ("down", 0), ("both", 0)}
+
+
+def test_lean_deciles_and_skill(spark):
+    rows = [("a", D1 if i < 10 else D2, i / 20, 0.0, int(i >= 10), int(i < 5), 0.0 if i == 0 else i - 9.5) for i in range(20)]
+    frame = spark.createDataFrame(rows, "symbol string, date date, p_up double, p_dn double, touched_up int, touched_dn int, vwap_move double")
+    named = spark.createDataFrame([(D2,)], "date date")
+    out = {(r.days, r.decile): (r.n, r.went_up, r.touched_up) for r in move_tables.by_lean_decile(frame, named).collect()}
+    assert {k: v[0] for k, v in out.items() if k[0] == "all"} == {("all", i): 2 for i in range(10)} and out["all", 9] == (2, 1.0, 1.0) and out["all", 0] == (2, 0.0, 0.0)
+    assert {k: v[0] for k, v in out.items() if k[0] == "rest"} == {("rest", i): 1 for i in range(10)}
+    skill = {r.outcome: (r.auc, r.n) for r in move_tables.lean_skill(frame).collect()}
+    assert skill == {"went_up": (1.0, 19), "only_up_touched": (1.0, 15)}
+    tied = move_tables.by_lean_decile(frame.withColumn("p_up", F.lit(0.5)), named).filter("days = 'all'").collect()
+    assert [(r.decile, r.n) for r in tied] == [(5, 20)]  # equal leans stay together
