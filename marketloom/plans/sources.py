@@ -2,10 +2,12 @@
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from marketloom.operators import asof, feeds
-from marketloom.plans.base import BARS, bars, query, read, rounded
+from marketloom.plans.base import BARS, bars, query, read, rounded, trades
 from marketloom.sources import io
+from marketloom.staging import shared_path
 
 
 @query("WITH v AS (SELECT o_custkey, o_orderdate, o_totalprice FROM orders WHERE o_totalprice IS NOT NULL) SELECT a.o_custkey, f32(a.p) AS first_price, f32(b.p) AS last_price FROM (SELECT o_custkey, arg_min(o_totalprice, (o_orderdate, o_totalprice)) AS p FROM v GROUP BY 1) a JOIN (SELECT o_custkey, arg_min(o_totalprice, (-epoch_us(o_orderdate), o_totalprice)) AS p FROM v GROUP BY 1) b USING (o_custkey)")
@@ -98,3 +100,20 @@ def o20b_exclusions(spark, d):
     kind = F.get(F.array(*[F.lit(k) for k in _KINDS]), (F.col("p_partkey") % 8).cast("int"))
     named = read(spark, d, "part").select("p_partkey", F.concat_ws(" ", "p_name", kind).alias("name"))
     return named.select("p_partkey", feeds.exclusion("name").alias("reason"))
+
+
+@query("SELECT event_id, ts, ts::DATE AS date, dense_rank() OVER (ORDER BY ts::DATE) AS win FROM events")
+def o14_published_days(spark, d):
+    """Every event in its day's window, published by day and read back."""
+    e = read(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    days = e.select(F.date_trunc("day", "ts").alias("start_ts")).distinct()  # a row a day
+    w = days.select("start_ts", F.timestamp_add("DAY", F.lit(1), F.col("start_ts")).alias("end_ts"), F.row_number().over(Window.orderBy("start_ts")).cast("long").alias("win"))
+    return io.finalize_days(e, w, "ts", "start_ts", "end_ts", shared_path(spark, "days"), ("ts", "event_id"))
+
+
+@query(BARS + " SELECT symbol, date, f32(arg_min(price, (seq1, seq2, price))) AS price, min(seq1) AS seq1 FROM t GROUP BY symbol, date")
+def o15_compacted_days(spark, d):
+    """The first trade of each symbol and day, published by month (the days are many and small) and read back."""
+    t = trades(spark, d).withColumn("month", F.date_trunc("month", "date").cast("date"))
+    out, _ = io.compact_days(t, shared_path(spark, "compacted"), ["symbol", "date"], [F.col("seq1"), F.col("seq2"), F.col("price")], "month")
+    return rounded(out.select("symbol", "date", "price", "seq1"))

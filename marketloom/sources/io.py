@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from marketloom.functions.expr import null_if_nan, number
-from marketloom.operators.asof import latest
+from marketloom.operators.asof import in_window, latest
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, since: str | None = None, until: str | None = None, key: str | None = None, dated: str = "file_name") -> DataFrame:
@@ -46,6 +48,47 @@ def write_dated(df: DataFrame, path: str, date: str = "date", sort: tuple[str, .
     out.write.option("maxRecordsPerFile", most_rows).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path)
 
 
+def publish_dated(rows: DataFrame, path: str, expected: int, date: str = "date", sort: tuple[str, ...] = ()) -> DataFrame:
+    """O-14, O-15: the days of rows, published under path only if exactly `expected` rows were written; a day that is published again replaces its old folder, others stay. Returns what the path then holds.
+
+    Days are written beside the published ones, in a folder that readers skip, counted from the files, and then renamed one by one (the driver renames a folder a day; a reader of the very day that is renamed may miss it).
+    A wrong count raises ValueError and leaves the published days as they were.
+    """
+    spark = rows.sparkSession
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    root, work = hadoop(path), hadoop(f"{path.rstrip('/')}/_writing-{uuid.uuid4().hex}")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        write_dated(rows, work.toString(), date, sort)
+        written = spark.read.schema(rows.schema).parquet(work.toString()).count()
+        if written != expected:
+            raise ValueError(f"{written} rows were written instead of {expected}")
+        for day in fs.listStatus(work):
+            if day.isDirectory():
+                target = hadoop(root, day.getPath().getName())
+                fs.delete(target, True)
+                if not fs.rename(day.getPath(), target):
+                    raise OSError(f"{target.toString()} was not published")
+    finally:
+        fs.delete(work, True)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def finalize_days(points: DataFrame, windows: DataFrame, at: str, start: str, end: str, path: str, sort: tuple[str, ...] = ()) -> DataFrame:
+    """O-14: points routed to the session windows [start, end) that hold them and published by the window's date.
+
+    A point in no window fails the job, and so does one in two (the count of rows differs): nothing is published then.
+    """
+    routed = in_window(points, windows, at, start, end, strict=True).withColumn("date", F.to_date(start)).drop(start, end)
+    return publish_dated(routed, path, points.count(), "date", sort)
+
+
+def compact_days(rows: DataFrame, path: str, keys: list[str], order: list[Column], date: str = "date") -> tuple[DataFrame, DataFrame]:
+    """O-15: rows without repeated keys, published by day and sorted by key, and the report of `compact`, whose distinct count they have to match."""
+    out, report = compact(rows, keys, order)
+    return publish_dated(out, path, report.first()["n_distinct"] or 0, date, tuple(k for k in keys if k != date)), report
+
+
 def merge_keep_old(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """O-12: new rows win for their keys; keys that only old has are kept."""
     both = old.withColumn("__p", F.lit(1)).unionByName(new.withColumn("__p", F.lit(0)), allowMissingColumns=True)
