@@ -87,6 +87,8 @@ def row_targets(minutes: DataFrame, entries: DataFrame, horizon: int, closes: in
     """
     j = _after(minutes, entries, horizon, ["high", "low", "vwap", "volume"]).filter(F.hour("minute") * 60 + F.minute("minute") <= closes)
     move_of = lambda c: F.ln(ratio(c, "entry"))
+    # Prices are compared, not logs: a price of 0 is below any level.
+    beyond = lambda c, sign, level: F.col(c) >= F.col("entry") * level if sign > 0 else F.col(c) <= F.col("entry") / level
     j = j.withColumns({"age": ((F.unix_seconds("minute") - F.unix_seconds("at")) / 60).cast("int"), "d": ratio(move_of("vwap"), F.col("sigma"))})
     j = j.withColumn("v", F.when(F.col("d").isNotNull(), F.col("volume")).otherwise(0.0))
     key = Window.partitionBy("symbol", "date", "at").orderBy("minute")
@@ -98,9 +100,9 @@ def row_targets(minutes: DataFrame, entries: DataFrame, horizon: int, closes: in
     out = [ratio(F.max(f"t_{s}"), total).alias(n) for s, n in (("up", "bulge"), ("dn", "sag"))] + [ratio(F.coalesce(F.sum(F.when(F.col("d") > 0, F.col("v"))), F.lit(0.0)), total).alias("mass_up")]
     for s, (_, extreme, sign) in side.items():
         out.append(F.min(F.when((F.col(f"c_{s}") >= 0.5 * F.col(f"t_{s}")) & (F.col(f"t_{s}") > 0), F.col("age"))).alias(f"t50_{s}"))
-        touched = move_of(extreme) * sign >= F.ln(F.lit(1 + move))
+        touched = beyond(extreme, sign, F.lit(1 + move))
         out.append(F.coalesce(ratio(F.min_by("cum", F.when(touched, F.col("age"))), F.max("typical")), F.lit(1.0)).alias(f"vol_to_{s}"))
-        out.append(F.min(F.when(move_of(extreme) * sign >= race * F.col("sigma"), F.col("age"))).alias(f"__r_{s}"))
+        out.append(F.min(F.when(beyond(extreme, sign, F.exp(race * F.col("sigma"))), F.col("age"))).alias(f"__r_{s}"))
     g = j.groupBy("symbol", "date", "at").agg(*out)
     far = lambda s: F.coalesce(F.col(f"__r_{s}"), F.lit(1 << 20))
     first = F.when(far("up") < far("dn"), 0).when(far("dn") < far("up"), 1).otherwise(2)

@@ -10,30 +10,30 @@ from marketloom.staging import written
 
 SPAN, MOVE, DAYS, LEAST, FLAG = 120, 1.1, 20, 5, 0.5
 
-MOVES = POLLS + """, dc AS (SELECT symbol, date, minute AS at_ts, close AS entry FROM dense WHERE hour(minute) BETWEEN 9 AND 15)
+MOVES = POLLS + """, dc AS (SELECT symbol, date, minute AS at_ts, close AS entry FROM dense WHERE hour(minute) BETWEEN 9 AND 15 AND close > 0)
 , pk AS (SELECT d.symbol, d.date, d.at_ts, d.entry, sum(m.volume) AS tot, sum(m.volume) FILTER (WHERE m.vwap > d.entry) AS mu, sum(m.volume) FILTER (WHERE m.vwap < d.entry) AS md, sum(ln(m.vwap / d.entry) * m.volume) FILTER (WHERE m.vwap > d.entry) AS u, sum(-ln(m.vwap / d.entry) * m.volume) FILTER (WHERE m.vwap < d.entry) AS w, max(m.high) AS hi, min(m.low) AS lo
   FROM dc d LEFT JOIN dense m ON d.symbol = m.symbol AND d.date = m.date AND m.minute > d.at_ts AND m.minute <= d.at_ts + INTERVAL 120 MINUTES GROUP BY ALL)
 , ce AS (SELECT *, CASE WHEN mu / nullif(tot, 0) >= 0.05 THEN u / mu END AS cu, CASE WHEN md / nullif(tot, 0) >= 0.05 THEN w / md END AS cd, CASE WHEN tot > 0 THEN (coalesce(u, 0) - coalesce(w, 0)) / tot END AS net, hour(at_ts) * 60 + minute(at_ts) AS minute FROM pk)
-, ou AS (SELECT *, CASE WHEN tot > 0 THEN coalesce(cu >= ln(1.1), false)::INT END AS reached_up, CASE WHEN tot > 0 THEN coalesce(cd >= ln(1.1), false)::INT END AS reached_dn, (ln(hi / entry) >= ln(1.1))::INT AS touched_up, (-ln(lo / entry) >= ln(1.1))::INT AS touched_dn FROM ce)
+, ou AS (SELECT *, CASE WHEN tot > 0 THEN coalesce(cu >= ln(1.1), false)::INT END AS reached_up, CASE WHEN tot > 0 THEN coalesce(cd >= ln(1.1), false)::INT END AS reached_dn, (hi >= entry * 1.1)::INT AS touched_up, (lo <= entry / 1.1)::INT AS touched_dn FROM ce)
 , sp AS (SELECT *, CASE WHEN count(touched_up) OVER b >= 5 THEN avg(touched_up) OVER b END AS p_up, CASE WHEN count(touched_dn) OVER b >= 5 THEN avg(touched_dn) OVER b END AS p_dn FROM ou WINDOW b AS (PARTITION BY symbol, minute ORDER BY date ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING))
 , bo AS (SELECT symbol, date, minute, 'up' AS side, p_up AS p, reached_up AS reached, touched_up AS touched, CASE WHEN tot > 0 THEN (cu IS NOT NULL)::INT END AS formed, cu AS centre, ln(hi / entry) AS best, ln(hi / entry) / ln(1.1) AS best_x, net AS vwap_move, p_up, p_dn, reached_up, reached_dn FROM sp WHERE p_up IS NOT NULL AND p_dn IS NOT NULL
-  UNION ALL SELECT symbol, date, minute, 'down', p_dn, reached_dn, touched_dn, CASE WHEN tot > 0 THEN (cd IS NOT NULL)::INT END, -cd, ln(lo / entry), -ln(lo / entry) / ln(1.1), net, p_up, p_dn, reached_up, reached_dn FROM sp WHERE p_up IS NOT NULL AND p_dn IS NOT NULL)
+  UNION ALL SELECT symbol, date, minute, 'down', p_dn, reached_dn, touched_dn, CASE WHEN tot > 0 THEN (cd IS NOT NULL)::INT END, -cd, ln(nullif(lo, 0) / entry), -ln(nullif(lo, 0) / entry) / ln(1.1), net, p_up, p_dn, reached_up, reached_dn FROM sp WHERE p_up IS NOT NULL AND p_dn IS NOT NULL)
 , sc AS (SELECT date, side, count(*) AS decisions FROM bo GROUP BY ALL), mt AS (SELECT * FROM bo WHERE p >= 0.5)"""
 _RATES = "count(*) AS predictions, avg(p) AS said, avg(reached) AS reached, avg(touched) AS touched, avg(best_x) FILTER (WHERE touched = 1) AS mean_over"
 _STATES = "count(*) FILTER (WHERE reached = 1) AS happened, count(*) FILTER (WHERE coalesce(reached, 0) <> 1 AND touched = 1) AS touched_only, count(*) FILTER (WHERE reached = 0 AND coalesce(touched, 0) <> 1) AS did_not"
 
 
 def said(spark, d):
-    """One row for each decision and side, with what was said and what happened."""
+    """One row for each decision and side, with what was said and what happened. A price of 0 counts as touched and has no log move; at one, nothing is decided."""
     minutes = dense(spark, d)
-    at = minutes.filter(F.hour("minute").between(9, 15)).select("symbol", "date", F.col("minute").alias("at"), F.col("close").alias("entry"), F.lit(1.0).alias("sigma"))
+    at = minutes.filter(F.hour("minute").between(9, 15) & (F.col("close") > 0)).select("symbol", "date", F.col("minute").alias("at"), F.col("close").alias("entry"), F.lit(1.0).alias("sigma"))
     pocket = paths.bin_targets(minutes.withColumn("normal", F.lit(None).cast("double")), at, [(0, SPAN)], 1440).select("symbol", "date", "at", "volume", "cm_up", "cm_dn", "net")
     r = at.join(pocket, ["symbol", "date", "at"]).join(intraday.excursions(minutes, at, SPAN).select("symbol", "date", "at", "high", "low"), ["symbol", "date", "at"], "left")
     goal, traded = F.ln(F.lit(MOVE)), F.col("volume") > 0
     r = r.withColumns({"minute": F.hour("at") * 60 + F.minute("at"), "best_up": F.ln(F.col("high") / F.col("entry")), "best_dn": -F.ln(F.col("low") / F.col("entry"))})
     by = Window.partitionBy("symbol", "minute").orderBy("date").rowsBetween(-DAYS, -1)
     for s in ("up", "dn"):
-        r = r.withColumns({f"reached_{s}": F.when(traded, F.coalesce(F.col(f"cm_{s}") >= goal, F.lit(False)).cast("int")), f"touched_{s}": (F.col(f"best_{s}") >= goal).cast("int")})
+        r = r.withColumns({f"reached_{s}": F.when(traded, F.coalesce(F.col(f"cm_{s}") >= goal, F.lit(False)).cast("int")), f"touched_{s}": (F.col("high") >= F.col("entry") * MOVE if s == "up" else F.col("low") <= F.col("entry") / MOVE).cast("int")})
     for s in ("up", "dn"):
         r = r.withColumn(f"p_{s}", F.when(F.count(f"touched_{s}").over(by) >= LEAST, F.avg(f"touched_{s}").over(by)))
     side = lambda name, s, sign: F.struct(
