@@ -54,7 +54,7 @@ def o40_squared_changes(spark, d):
     return rounded(paths.squared_changes(dense(spark, d), 120))
 
 
-@query(POLLS + """, st AS (SELECT *, ln(price / lag(price) OVER (PARTITION BY symbol, date ORDER BY ts)) AS step, floor(epoch(ts))::BIGINT AS t FROM series), p AS (SELECT *, CASE WHEN side > 0 THEN volume ELSE 0 END AS u, CASE WHEN side < 0 THEN volume ELSE 0 END AS dn, coalesce(greatest(step, 0), 0) AS pu, coalesce(greatest(-step, 0), 0) AS pd FROM st)
+@query(POLLS + """, st AS (SELECT *, lnp(price / lag(price) OVER (PARTITION BY symbol, date ORDER BY ts)) AS step, floor(epoch(ts))::BIGINT AS t FROM series), p AS (SELECT *, CASE WHEN side > 0 THEN volume ELSE 0 END AS u, CASE WHEN side < 0 THEN volume ELSE 0 END AS dn, coalesce(greatest(step, 0), 0) AS pu, coalesce(greatest(-step, 0), 0) AS pd FROM st)
  SELECT symbol, date, ts, f32(ln((sum(u) OVER w / (sum(pu) OVER w + 0.01) + 1) / (sum(dn) OVER w / (sum(pd) OVER w + 0.01) + 1))) AS balance_120m FROM p WINDOW w AS (PARTITION BY symbol, date ORDER BY t RANGE BETWEEN 7200 PRECEDING AND CURRENT ROW)""")
 def o143_resistance(spark, d):
     return rounded(paths.resistance(series(spark, d), [120]))
