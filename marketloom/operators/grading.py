@@ -114,11 +114,12 @@ def live_by_day(rows: DataFrame) -> DataFrame:
 
 
 def day_picks(rows: DataFrame, rankings: list[str], outcome: str, n: int) -> DataFrame:
-    """O-212: for each day the mean outcome of the n highest of each ranking (ties by symbol), and the whole universe's median.
+    """O-212: for each day the mean outcome of the n highest of each ranking, and the whole universe's median. Rankings count
+    in nine decimals, since the last digits of a spread depend on the order of its sums; ties go by symbol.
 
     One window for each ranking, all over the same day partitions.
     """
-    ranked = rows.withColumns({f"__{r}": F.row_number().over(Window.partitionBy("date").orderBy(F.desc(r), "symbol")) for r in rankings})
+    ranked = rows.withColumns({f"__{r}": F.row_number().over(Window.partitionBy("date").orderBy(F.desc(F.round(r, 9)), "symbol")) for r in rankings})
     return ranked.groupBy("date").agg(*[F.avg(F.when(F.col(f"__{r}") <= n, F.col(outcome))).alias(f"by_{r}") for r in rankings], F.median(outcome).alias("universe_median"))
 
 

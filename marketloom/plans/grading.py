@@ -97,7 +97,7 @@ def o208_live_by_day(spark, d):
     return rounded(grading.live_by_day(scoring.scored(forecasts(spark, d))))
 
 
-PICKS = FORECASTS + """ , rk AS (SELECT date, symbol, abs(actual) AS moved, sigma, row_number() OVER (PARTITION BY date ORDER BY sigma DESC, symbol) AS a, row_number() OVER (PARTITION BY date ORDER BY symbol % 7 DESC, symbol) AS b FROM fc)
+PICKS = FORECASTS + """ , rk AS (SELECT date, symbol, abs(actual) AS moved, sigma, row_number() OVER (PARTITION BY date ORDER BY round(sigma, 9) DESC, symbol) AS a, row_number() OVER (PARTITION BY date ORDER BY symbol % 7 DESC, symbol) AS b FROM fc)
  , pk AS (SELECT date, avg(moved) FILTER (WHERE a <= 5) AS by_sigma, avg(moved) FILTER (WHERE b <= 5) AS by_plain, median(moved) AS universe_median FROM rk GROUP BY date)"""
 
 
