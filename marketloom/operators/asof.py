@@ -67,17 +67,19 @@ def range_product(left: DataFrame, events: DataFrame, by: str, at: str, event_at
     return asof_join(left, suffix, [by], at, "__event_at", "forward", strict=True).drop("__event_at")
 
 
-def near_join(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str, within: int) -> DataFrame:
-    """O-31: pairs of rows with equal `by` at most `within` seconds apart.
+def near_join(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str, within: int, how: str = "inner") -> DataFrame:
+    """O-31: pairs of rows with equal `by` at most `within` seconds apart; how="left" keeps left rows without a pair.
 
     Times fall into buckets of that width and the right side is laid out over its own and both neighbouring buckets, so the join is
     an equality. right's columns must not clash with left's other than in `by`.
     """
     bucket = lambda c: F.floor(F.unix_seconds(c) / within)
     a = left.withColumn("__bucket", bucket(F.col(left_ts)))
-    b = right.withColumn("__bucket", F.explode(F.array(*[bucket(F.col(right_ts)) + i for i in (-1, 0, 1)])))
-    apart = F.abs(F.unix_micros(right_ts) - F.unix_micros(left_ts)) <= within * 1_000_000
-    return a.join(b, [*by, "__bucket"]).filter(apart).drop("__bucket")
+    b = right.withColumn("__right_bucket", F.explode(F.array(*[bucket(F.col(right_ts)) + i for i in (-1, 0, 1)]))).withColumnsRenamed({c: f"__right_{c}" for c in by})
+    near = F.abs(F.unix_micros(right_ts) - F.unix_micros(left_ts)) <= within * 1_000_000
+    for c in [*by, "bucket"]:
+        near &= F.col(c if c in by else "__bucket") == F.col(f"__right_{c}")
+    return a.join(b, near, how).drop("__bucket", "__right_bucket", *[f"__right_{c}" for c in by])
 
 
 def in_window(points: DataFrame, windows: DataFrame, at: str, start: str, end: str, strict: bool = False) -> DataFrame:

@@ -148,15 +148,23 @@ def sightings(polls: DataFrame, bars: DataFrame, previous: DataFrame, soon: int,
     polls: symbol, date, poll_id (unique in a symbol), at, price; bars: symbol, bar_end, low, high, close; previous: symbol, date, previous_close. Closing and, first, holding bars are at most `near` seconds away;
     if none holds the price, bars up to `far` seconds away count. Closes within `soon` seconds are close; of equally near bars the earlier counts. Prices are equal within tick. Polls and bars meet by (symbol, bucket
     of time), in one pass for both distances; every poll has a row.
+
+    A poll stands in one bucket, so all its pairs follow each other in one task and are reduced to a row before anything is shuffled. The smallest distances are numbers, not structs: a smallest struct
+    would have every pair sorted.
     """
-    pairs = near_join(polls.select("symbol", "poll_id", "at", "price"), bars.select("symbol", "bar_end", "low", "high", "close"), ["symbol"], "at", "bar_end", far)
-    off = (F.unix_micros("bar_end") - F.unix_micros("at")) / 1e6
-    pairs = pairs.withColumn("__off", off)
+    asked = ["symbol", "date", "poll_id", "at", "price"]
+    pairs = near_join(polls.select(*asked), bars.select("symbol", "bar_end", "low", "high", "close"), ["symbol"], "at", "bar_end", far, "left")
+    off = F.unix_micros("bar_end") - F.unix_micros("at")
+    pairs = pairs.withColumns({"__off": off, "__apart": F.abs(off)})
     inside = F.col("price").between(F.col("low") - tick, F.col("high") + tick)
-    close_by = F.abs("__off") <= near
-    closes = F.min(F.when(close_by & (F.abs(F.col("price") - F.col("close")) < tick), F.struct(F.abs("__off"), F.col("__off").alias("off"))))
-    seen = pairs.groupBy("symbol", "poll_id").agg(closes["off"].alias("off_close"), F.min(F.when(close_by & inside, F.abs("__off"))).alias("__near"), F.min(F.when(inside, F.abs("__off"))).alias("__far"))
-    out = polls.select("symbol", "date", "poll_id", "at", "price").join(seen, ["symbol", "poll_id"], "left").join(previous, ["symbol", "date"], "left")
+    close_by = F.col("__apart") <= near * 1_000_000
+    # Twice the distance, and one more for a later bar: of equally near bars the earlier is smaller.
+    place = 2 * F.col("__apart") + F.when(F.col("__off") > 0, 1).otherwise(0)
+    least = lambda c, x: F.min(F.when(c, x))
+    seen = pairs.groupBy(*asked).agg(least(close_by & (F.abs(F.col("price") - F.col("close")) < tick), place).alias("__place"), least(close_by & inside, F.col("__apart")).alias("__near"), least(inside, F.col("__apart")).alias("__far"))
+    back = F.shiftright("__place", 1) / 1e6
+    seen = seen.withColumns({"off_close": F.when(F.col("__place") % 2 == 1, back).otherwise(-back), "__near": F.col("__near") / 1e6, "__far": F.col("__far") / 1e6})
+    out = seen.join(previous, ["symbol", "date"], "left")
     c, n = F.col("off_close"), F.col("__near")
     kinds = [(c > 0) & (c <= soon), c.between(-soon, 0), n <= soon, n.isNotNull(), F.col("__far").isNotNull(), F.abs(F.col("price") - F.col("previous_close")) < tick, F.lit(True)]
     kind = F.coalesce(*[F.when(k, F.lit(name)) for k, name in zip(kinds, SIGHTINGS)])
