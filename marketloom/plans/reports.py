@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from marketloom.operators import daily, reports, scoring
 from marketloom.plans.base import bars, query, rounded
-from marketloom.plans.scoring import FORECASTS, cdf, forecasts
+from marketloom.plans.scoring import FORECASTS, cdf, forecasts, quantiles_of
+from marketloom.staging import written
 
 _MOVES = [-0.2, 0.05, 0.2]
 _MV = f""" , mv AS (SELECT *, unnest([-0.2, 0.05, 0.2]) AS move FROM sc), pr AS (SELECT *, {cdf('move')} AS c FROM mv), mp AS (SELECT *, CASE WHEN move > 0 THEN 1 - c ELSE c END AS p, (CASE WHEN move > 0 THEN actual > move ELSE actual < move END)::INT AS hit FROM pr)
@@ -48,10 +49,12 @@ def o210_band_scaling(spark, d):
 @query()
 def o210_fitted_scale(spark, d):
     """Scale fitted by gradient steps on the earlier folds and applied to the last; losses of both, raw and scaled. Tested against a grid of scales."""
-    f = forecasts(spark, d)
+    # Every step reads the rows again, so they are made once; the quantiles follow from sigma.
+    f = written(forecasts(spark, d).select("fold", "actual", "sigma"), "forecasts").withColumn("q", quantiles_of("sigma"))
     last = f.agg(F.max("fold")).first()[0]
     a, b = reports.fit_scale(f.filter(F.col("fold") < (last if last is not None else 0)), "sigma")
-    both = scoring.scored(f).select("symbol", "date", "fold", F.col("loss").alias("raw")).join(scoring.scored(reports.scaled(f, a, b, "sigma")).select("symbol", "date", F.col("loss").alias("fitted")), ["symbol", "date"])
+    raw = scoring.scored(f).select("fold", "actual", "sigma", "q", F.col("loss").alias("raw"))
+    both = scoring.scored(reports.scaled(raw, a, b, "sigma")).select("fold", "raw", F.col("loss").alias("fitted"))
     return rounded(both.groupBy("fold").agg(F.count("*").alias("n"), F.avg("raw").alias("raw"), F.avg("fitted").alias("fitted")))
 
 
