@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 
 from marketloom.functions import expr as X
 from marketloom.functions.expr import ratio
+from marketloom.operators import ranks
 from marketloom.operators.scoring import TAUS
 
 
@@ -111,7 +112,9 @@ def range_model(train: DataFrame, test: DataFrame, features: list[str], target:
     assemble = VectorAssembler(inputCols=features, outputCol="__x", handleInvalid="skip")
     ready = lambda df: assemble.transform(df.withColumn("__y", F.ln(target)))
     model = GBTRegressor(featuresCol="__x", labelCol="__y", predictionCol="mean_log", maxIter=10, maxDepth=3, seed=1).fit(ready(train.filter(F.col(target) > 0)))
-    spread = model.transform(ready(train.filter(F.col(target) > 0))).agg(F.percentile(F.col("__y") - F.col("mean_log"), F.lit(0.8)).alias("spread"))
+    residuals = model.transform(ready(train.filter(F.col(target) > 0))).select((F.col("__y") - F.col("mean_log")).alias("__e"))
+    # Exact; ranks orders slots, where one percentile would hold every residual in a task.
+    spread = ranks.quantiles(residuals, [], "__e", [0.8]).select(F.get("q", F.lit(0)).alias("spread"))
     return model.transform(ready(test)).join(F.broadcast(spread)).withColumn("score", F.col("mean_log") + F.col("spread")).drop("__x", "__y", "spread")  # one row of spread
 
 

@@ -62,7 +62,7 @@ def o210_fitted_scale(spark, d):
 def o213_range_model(spark, d):
     """A trained model; tested to beat the mean on its own training rows."""
     b = daily.true_range(bars(spark, d)).select("symbol", "day_idx", "volume", "vwap", "atr_pct", ((F.col("high") - F.col("low")) / F.col("open") + 0.001).alias("range"))
-    b = b.fillna(0.0, ["atr_pct"])
+    b = written(b.fillna(0.0, ["atr_pct"]), "ranges")  # read by every step of the training
     out = reports.range_model(b.filter("day_idx < 1500"), b.filter("day_idx >= 1500"), ["volume", "vwap", "atr_pct"], "range")
     return rounded(out.select("symbol", "day_idx", "mean_log", "score"))
 

@@ -1,5 +1,10 @@
 """Rows that many steps read are made once: what comes out reads a staged table, not the given ones."""
 
+import re
+
+import numpy as np
+
+from marketloom.operators import reports
 from marketloom.plans import reports as plans
 
 
@@ -9,3 +14,18 @@ def sources(df):
 
 def test_fitted_scale(spark, sf):
     assert sources(plans.o210_fitted_scale(spark, sf)) == {"forecasts"}
+
+
+def test_range_model(spark, sf):
+    assert sources(plans.o213_range_model(spark, sf)) == {"ranges"}
+
+
+def test_range_model_spread(spark):
+    """The spread is the exact quantile of the training residuals, without one percentile over all of them."""
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(rng.normal(size=300), np.exp(rng.normal(size=300)))], "x double, y double")
+    out = reports.range_model(df, df, ["x"], "y")
+    assert not re.search(r"(?<!approx_)percentile\(", out._jdf.queryExecution().optimizedPlan().toString())
+    rows = out.collect()
+    want = np.quantile([np.log(r.y) - r.mean_log for r in rows], 0.8)
+    assert all(abs(r.score - r.mean_log - want) < 1e-9 for r in rows)
