@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from marketloom.functions.expr import ratio
 from marketloom.operators.asof import asof_join, latest
-from marketloom.operators.rolling import average_rank
+from marketloom.operators.rolling import percentile_rank
 
 
 @dataclass(frozen=True)
@@ -69,7 +69,7 @@ def recycled(listings: DataFrame) -> DataFrame:
 
 def weighted_score(rows: DataFrame, by: list[str], weights: dict[str, float]) -> DataFrame:
     """O-70: weighted mean of percentile ranks over the features a row has."""
-    ranks = {f: F.when(F.col(f).isNotNull(), average_rank(f, by) / F.count(f).over(Window.partitionBy(*by))) for f in weights}
+    ranks = {f: percentile_rank(f, by) for f in weights}
     out = rows.withColumns({f"__r_{f}": r for f, r in ranks.items()})
     total = sum((F.when(F.col(f"__r_{f}").isNotNull(), F.lit(w)).otherwise(0.0) for f, w in weights.items()), F.lit(0.0))
     score = ratio(sum((F.coalesce(F.col(f"__r_{f}"), F.lit(0.0)) * w for f, w in weights.items()), F.lit(0.0)), total)

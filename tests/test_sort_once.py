@@ -2,7 +2,7 @@
 
 from datetime import date, datetime
 
-from marketloom.operators import feeds, rolling
+from marketloom.operators import feeds, rolling, screening
 
 
 def plan(df):
@@ -21,3 +21,8 @@ def test_cross_section_sorts_once(spark):
     out = df.select("x", rolling.loo_mean("x", ["g"]).alias("others"), rolling.average_rank("x", ["g"]).alias("r"), rolling.percentile_rank("x", ["g"]).alias("p"))
     assert plan(out).count("Sort [") == 1
     assert {tuple(r) for r in out.collect()} == {(None, 2.25, 0.5, None), (1.0, 8 / 3, 2.0, 0.5), (2.0, 7 / 3, 3.0, 0.75), (3.0, 2.0, 4.5, 1.125)}
+
+
+def test_weighted_score_sorts_once_a_feature(spark):
+    df = spark.createDataFrame([(1, 1, 3.0, 1.0), (1, 2, 1.0, None)], "g int, id int, x double, y double")
+    assert plan(screening.weighted_score(df, ["g"], {"x": 0.7, "y": 0.3})).count("Sort [") <= 2
