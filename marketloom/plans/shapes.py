@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from marketloom.operators import scoring, shapes
 from marketloom.operators.scoring import TAUS
 from marketloom.plans.base import bars, query, rounded
-from marketloom.plans.scoring import FORECASTS, forecasts
+from marketloom.plans.scoring import FORECASTS, forecasts, quantiles_of
+from marketloom.staging import written
 
 BITS = {"move": 0, "size": 1, "rise": 3}
 _PIN = lambda q: "(" + " + ".join(f"greatest({t} * (y - {q}[{i + 1}]), ({t} - 1) * (y - {q}[{i + 1}]))" for i, t in enumerate(TAUS)) + f") / {len(TAUS)}"
@@ -20,15 +21,17 @@ _IC = "(avg({0} * b) - avg({0}) * avg(b)) / nullif(stddev_pop({0}) * stddev_pop(
 
 
 def frame(spark, d):
-    f = forecasts(spark, d)
+    # The forecasts are used by their climatology, as rows and as outcomes, so they are made once; the quantiles follow from sigma.
+    f = written(forecasts(spark, d).select("symbol", "date", "grp", "actual", "sigma"), "forecasts")
     qc = scoring.climatology(f, "grp", "actual").filter("grp >= 0").select("grp", F.col("q").alias("qc"))
-    target = F.explode(F.array(*[F.lit(t) for t in ("move", "size", "rise", "none")]))
-    asked = f.join(qc, "grp").select("symbol", "date", "q", "qc", target.alias("target"))
-    moved = F.transform("q", lambda v: F.when(F.col("target") == "move", v).when(F.col("target") == "size", v + 0.1).otherwise(v * 0.8))
+    asked = f.join(F.broadcast(qc), "grp").select("symbol", "date", "sigma", "qc")  # three groups
+    q = quantiles_of("sigma")
+    smaller = F.transform(q, lambda v: v * 0.8)
+    targets = {"move": q, "size": F.transform(q, lambda v: v + 0.1), "rise": smaller, "none": smaller}
     b = bars(spark, d).filter("day_idx % 10 <> 9").select("symbol", "date", (1 + 2 * (F.col("trades") >= 2).cast("int") + 8 * (F.col("volume") > 20).cast("int")).alias("mask"))
     own = b.join(f.select("symbol", "date", "actual"), ["symbol", "date"], "left")
     y = F.create_map(F.lit("move"), F.col("actual"), F.lit("size"), F.abs("actual"), F.lit("rise"), F.when(F.col("actual") > 0, F.col("actual")))
-    return shapes.scored_frame(asked.withColumn("q", moved), own.select("symbol", "date", "mask", y.alias("y")), ["symbol", "date"], BITS, TAUS)
+    return shapes.scored_frame(asked, own.select("symbol", "date", "mask", y.alias("y")), ["symbol", "date"], BITS, TAUS, targets)
 
 
 @query(FRAME + " SELECT target, coalesce(reason, 'scored') AS reason, count(*) AS n, f32(avg(loss)) AS loss FROM (SELECT target, reason, NULL::DOUBLE AS loss FROM fr WHERE reason IS NOT NULL UNION ALL SELECT target, reason, loss FROM ok) GROUP BY ALL")

@@ -6,6 +6,7 @@ import numpy as np
 
 from marketloom.operators import reports
 from marketloom.plans import reports as plans
+from marketloom.plans import shapes
 
 
 def sources(df):
@@ -29,3 +30,7 @@ def test_range_model_spread(spark):
     rows = out.collect()
     want = np.quantile([np.log(r.y) - r.mean_log for r in rows], 0.8)
     assert all(abs(r.score - r.mean_log - want) < 1e-9 for r in rows)
+
+
+def test_shape_scores(spark, sf):
+    assert sources(shapes.o203_shape_scores(spark, sf)) <= {"moment"}
