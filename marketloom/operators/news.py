@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from marketloom.staging import small_side
+
 # Corporate suffixes, and phrases of closed articles.
 SUFFIXES = ["inc", "incorporated", "corp", "corporation", "co", "company", "ltd", "limited", "plc", "llc", "lp", "sa", "ag", "nv", "holdings", "holding", "group", "the", "class", "common", "stock", "ordinary", "shares"]
 # Tickers that are common words.
@@ -109,10 +111,13 @@ def verified(docs: DataFrame, names: DataFrame) -> DataFrame:
 def lexicon_scores(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
     """O-224: (doc_id, shares of positive and negative words, their difference, label); the default of a pluggable scorer.
 
-    lexicon: word and polarity (1 or -1), one row for each word; joined to the words of each document, counted before they meet it.
+    lexicon: word and polarity (1 or -1), one row for each word. A lexicon of a bounded size goes to the words, which are summed in their task, so a row for each document is shuffled; to a larger one they
+    are shuffled, counted before they meet it.
     """
     words = docs.select("doc_id", F.explode(F.split(F.lower(F.btrim(F.coalesce("text", F.lit("")))), r"\s+")).alias("word"))
-    counted = words.groupBy("doc_id", "word").agg(F.count("*").alias("n")).join(lexicon, "word", "left")
+    known = small_side(lexicon)
+    counted = words.withColumn("n", F.lit(1).cast("long")) if known is not lexicon else words.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
+    counted = counted.join(known, "word", "left")
     share = lambda sign: F.sum(F.when(F.col("polarity") == sign, F.col("n")).otherwise(0)) / F.sum("n")
     rows = counted.groupBy("doc_id").agg(share(1).alias("score_pos"), share(-1).alias("score_neg"))
     agg = F.col("score_pos") - F.col("score_neg")
@@ -122,7 +127,8 @@ def lexicon_scores(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
 def score_with(docs: DataFrame, done: DataFrame, scorer, schema: str | None = None) -> DataFrame:
     """O-224, O-242: a scorer over the documents that aren't in done yet: a function from a DataFrame to one (built from columns, such as lexicon_scores with its lexicon), or, with the schema of
     what it returns, an iterator of pandas frames to one."""
-    rest = docs.join(done.select("doc_id"), "doc_id", "left_anti")
+    # Only ids are hashed, and texts stream by: a merge join would sort them.
+    rest = docs.join(done.select("doc_id").hint("shuffle_hash"), "doc_id", "left_anti")
     return scorer(rest) if schema is None else rest.mapInPandas(scorer, schema)
 
 
