@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marketloom.staging import small_side
+from marketloom.staging import small_side, written
 
 # Corporate suffixes, and phrases of closed articles.
 SUFFIXES = ["inc", "incorporated", "corp", "corporation", "co", "company", "ltd", "limited", "plc", "llc", "lp", "sa", "ag", "nv", "holdings", "holding", "group", "the", "class", "common", "stock", "ordinary", "shares"]
@@ -59,16 +59,17 @@ def named_in(docs: DataFrame, names: DataFrame) -> DataFrame:
 
     docs: doc_id (one row each), text; names: symbol, name. A name is looked up by the word of it that is in the fewest texts: an equality join of
     the texts' distinct words, so a common word that every name has costs nothing unless a name has no other. What it finds is gathered by
-    document, and the whole name is then looked for in the text itself.
+    document, and the whole name is then looked for in the text itself. The words of a universe of bounded size go to the texts, so the texts' words are not shuffled; a text meets what it begins as it is, and
+    is cut into words after that.
     """
-    known = names.select("symbol", _words(F.col("name")).alias("want")).filter(F.size("want") > 0)
-    texts = docs.select("doc_id", _words(F.col("text")).alias("w")).filter(F.size("w") > 0)
-    words = texts.select("doc_id", F.explode(F.array_distinct("w")).alias("word"))
-    parts = known.select("symbol", "want", F.explode(F.array_distinct("want")).alias("word"))
-    counts = words.join(parts.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
-    rarest = parts.join(counts, "word", "left").groupBy("symbol", "want").agg(F.min_by("word", F.struct(F.coalesce("n", F.lit(0)), "word")).alias("word"))
-    begun = words.join(rarest, "word").groupBy("doc_id").agg(F.collect_set(F.struct("symbol", F.array_join("want", " ").alias("phrase"))).alias("c"))
-    held = texts.join(begun, "doc_id").withColumn("body", F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" ")))
+    known = names.select("symbol", _words(F.col("name")).alias("want")).filter(F.size("want") > 0).select("symbol", F.array_join("want", " ").alias("phrase"))
+    words = docs.select("doc_id", F.explode(F.array_distinct(_words(F.col("text")))).alias("word"))
+    parts = known.select("symbol", "phrase", F.explode(F.array_distinct(F.split("phrase", " "))).alias("word"))
+    counts = words.join(small_side(parts.select("word").distinct()), "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
+    rarest = parts.join(counts, "word", "left").groupBy("symbol", "phrase").agg(F.min_by("word", F.struct(F.coalesce("n", F.lit(0)), "word")).alias("word"))
+    rarest = small_side(written(rarest, "rarest-words"))
+    begun = words.join(rarest, "word").groupBy("doc_id").agg(F.collect_set(F.struct("symbol", "phrase")).alias("c"))
+    held = docs.select("doc_id", "text").join(begun, "doc_id").withColumn("body", F.concat(F.lit(" "), F.array_join(_words(F.col("text")), " "), F.lit(" ")))
     return held.select("doc_id", F.explode(F.filter("c", lambda x: F.contains(F.col("body"), F.concat(F.lit(" "), x["phrase"], F.lit(" "))))).alias("x")).select("doc_id", "x.symbol").distinct()
 
 

@@ -24,3 +24,12 @@ def test_scores_shuffle_no_words(spark, monkeypatch):
 def test_rest_isn_t_sorted(spark):
     out = news.score_with(docs(spark), docs(spark).filter("doc_id = 1"), lambda rest: rest)
     assert "SortMergeJoin" not in plan(out) and sorted(r.doc_id for r in out.collect()) == [2, 3, 4]
+
+
+def test_names_shuffle_no_words(spark, monkeypatch):
+    names = spark.createDataFrame([(7, "Red Fox"), (8, "good red"), (9, "!")], "symbol long, name string")
+    out = news.named_in(docs(spark), names)
+    assert "hashpartitioning(word" not in plan(out)
+    assert [tuple(r) for r in out.collect()] == [(4, 7)]
+    monkeypatch.setattr(news, "small_side", lambda df: df)
+    assert [tuple(r) for r in news.named_in(docs(spark), names).collect()] == [(4, 7)]
