@@ -6,7 +6,7 @@ import numpy as np
 
 from marketloom.operators import reports
 from marketloom.plans import reports as plans
-from marketloom.plans import shapes
+from marketloom.plans import moves, shapes
 
 
 def sources(df):
@@ -34,3 +34,10 @@ def test_range_model_spread(spark):
 
 def test_shape_scores(spark, sf):
     assert sources(shapes.o203_shape_scores(spark, sf)) <= {"moment"}
+
+
+def test_cumulative_moves(spark, sf):
+    """Trades are read once, and a decision's windows are not shuffled again after they met what the prints made of them."""
+    df = moves.o205_cumulative_moves(spark, sf)
+    assert df._jdf.queryExecution().optimizedPlan().collectLeaves().mkString("\n").count("l_suppkey") == 1
+    assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(") <= 6
