@@ -6,6 +6,8 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from marketloom.llm import secret_scans as s
 
@@ -111,3 +113,48 @@ def test_long_candidates_are_read_whole():
 
 def test_no_network_without_both_labels(spark):
     assert s.trained(s.findings(spark.createDataFrame([("nothing here",)], "text string"))) is None
+
+
+def labelled(spark, n, seed):
+    texts, _, _ = corpus(n, seed)
+    return s.findings(spark.createDataFrame([(t,) for i, t in enumerate(texts) if i % 3 != 1], "text string")).localCheckpoint()
+
+
+def test_all_windows_are_learnt_from(spark, monkeypatch):
+    """Windows beyond the first of each label and set, by hash, change the weights and the calibration."""
+    monkeypatch.setattr(s, "_EPOCHS", 1)
+    monkeypatch.setattr(s, "_STEPS", 1, raising=False)
+    rows = labelled(spark, 300, 4)
+    one = rows.groupBy("win").agg(F.max("label").alias("label")).withColumn("h", F.xxhash64("win"))
+    first = one.withColumn("place", F.row_number().over(Window.partitionBy("label", F.pmod("h", F.lit(5)) > 0).orderBy("h", "win"))).filter("place <= 30").select("label", "win").localCheckpoint()
+    few, every = s.trained(first, 30), s.trained(rows, 30)
+    assert any((few.p[k] != every.p[k]).any() for k in few.p)
+    assert (few.scale, few.offset) != (every.scale, every.offset)
+
+
+def test_blocks_hold_every_window_once_and_both_labels(spark):
+    rows = labelled(spark, 300, 5).groupBy("win").agg(F.max("label").alias("label")).withColumn("h", F.xxhash64("win")).localCheckpoint()
+    counts = [rows.filter(f"label = {k}").count() for k in (0, 1)]
+    laid, n = s.blocks(rows, counts, 30)
+    got = laid.collect()
+    assert n == -(-max(counts) // 30) and {r.block for r in got} == set(range(n))
+    assert sorted(bytes(r.win) for r in got if r.own) == sorted(bytes(r.win) for r in rows.collect())
+    for b in range(n):
+        assert all(0 < sum(r.block == b and r.label == k for r in got) < 90 for k in (0, 1))
+
+
+def test_many_blocks_find_held_out_secrets(spark):
+    rows = labelled(spark, 1_500, 2)
+    net = s.trained(rows, 300)
+    texts, bare, plain = corpus(600, 3)
+    hit = lambda i: s.net_spans(texts[i], s.rule_spans(texts[i]), net)
+    assert np.mean([bool(hit(i)) for i in bare]) >= 0.9
+    assert np.mean([bool(hit(i)) for i in plain]) <= 0.02
+
+
+def test_smallest_is_exact(spark):
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(0, 5, 500), np.repeat([-1e6, 0.25, 3e7], 40)]).astype(np.float32)
+    df = spark.createDataFrame([(float(v),) for v in x], "v float")
+    for at in (0, 39, 40, 300, 579, 619):
+        assert s.smallest(df, "v", at, 16) == np.sort(x)[at]
