@@ -6,6 +6,7 @@ from marketloom.operators import asof, daily, panel
 from marketloom.plans.base import BARS, bars, query, read, releases, rounded, sectors, sessions, trades
 from marketloom.plans.daily import _RETURNS, _SPLITS, _splits
 
+TRADES_A_TASK = 150_000
 SECTORS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE_EAST"]
 _ANN = """ , an AS (SELECT symbol, day_idx, bool_or(form <= '2') AS scheduled FROM (SELECT r.symbol, r.form, (SELECT min(s.day_idx) FROM sessions s WHERE s.date >= r.date) AS day_idx FROM releases r WHERE r.form < '4') WHERE day_idx IS NOT NULL GROUP BY ALL)
  , av AS (SELECT a.symbol, a.day_idx, (SELECT min(c.day_idx) FROM sessions c WHERE c.date >= s.date + INTERVAL 364 DAYS) AS aday FROM an a JOIN sessions s USING (day_idx))
@@ -53,32 +54,23 @@ _EXT = """ , ex AS (SELECT symbol, date, sum(price * volume) FILTER (WHERE seq2
   sum(price * volume) FILTER (WHERE seq2 = 1) / sum(volume) FILTER (WHERE seq2 = 1) AS pm_vwap, sum(volume) FILTER (WHERE seq2 = 1) AS pm_volume, arg_max(price, seq1) FILTER (WHERE seq2 = 1) AS pm_last, max(price) FILTER (WHERE seq2 = 1) AS pm_high, min(price) FILTER (WHERE seq2 = 1) AS pm_low FROM t GROUP BY ALL)"""
 
 
-def extended(spark, d):
-    def part(inside):
-        v = F.when(inside, F.col("volume"))
-        return F.sum(F.col("price") * v) / F.sum(v), F.sum(v)
-
-    pre, late, day = F.col("seq2") == 1, F.col("seq2") >= 6, F.col("seq2").between(2, 5)
-    price = F.when(pre, F.col("price"))
-    (rth, _), (ah, ah_v), (pm, pm_v) = part(day), part(late), part(pre)
-    return trades(spark, d).groupBy("symbol", "date").agg(rth.alias("rth_vwap"), ah.alias("ah_vwap"), ah_v.alias("ah_volume"), pm.alias("pm_vwap"), pm_v.alias("pm_volume"), F.max_by("price", F.when(pre, F.col("seq1"))).alias("pm_last"), F.max(price).alias("pm_high"), F.min(price).alias("pm_low"))
-
-
 def adjusted(spark, d):
     return daily.split_adjusted(bars(spark, d), _splits(spark, d)).drop("adj_close", "adj_volume")
 
 
 def whole(spark, d, inference=False):
     cal = sessions(spark, d)
-    s = sectors(spark, d).select("symbol", F.regexp_replace("sector", " ", "_").alias("sector"), "industry")
-    members = daily.universe(bars(spark, d), 20, 0.0, 0.0).select("symbol").join(s, "symbol", "left")
-    wide = daily.sector_wide(daily.market_returns(daily.session_returns(bars(spark, d)), sectors(spark, d)), [x.replace("_", " ") for x in SECTORS]).withColumnsRenamed({x.replace("_", " "): x for x in SECTORS})
-    snapped = asof.snap_to_session(releases(spark, d), "date", cal).filter("day_idx IS NOT NULL")
-    flags = snapped.groupBy("symbol", "day_idx").agg(F.max((F.col("form") == "1-URGENT").cast("int")).alias("is_10k"), F.max((F.col("form") == "2-HIGH").cast("int")).alias("is_10q"))
-    score = (F.substring("form", 1, 1).cast("int") - 3) / 2
-    mood = releases(spark, d).groupBy("symbol", "date").agg(F.count("*").alias("n_articles"), F.avg(score).alias("mean_score"))
-    splits = _splits(spark, d).select("symbol", F.col("split_date").alias("date"))
-    return panel.full_panel(adjusted(spark, d), members, cal, wide, SECTORS, macro(spark, d), panel.earnings_windows(bars(spark, d), announcements(spark, d), cal.select("date", "day_idx")), flags, mood, extended(spark, d), splits, inference)
+    # As many tasks as the rows need, so that none has to spill.
+    tasks = max(1, -(-read(spark, d, "lineitem").count() // TRADES_A_TASK))
+    # A day's sums are hardly fewer than its trades: they are dealt by symbol as they are.
+    by_symbol = trades(spark, d).select("symbol", "date", "price", "volume").filter("symbol IS NOT NULL").repartition(tasks, "symbol")
+    vwaps = by_symbol.groupBy("symbol", "date").agg((F.sum(F.col("price") * F.col("volume")) / F.sum("volume")).alias("vwap")).join(F.broadcast(cal.select("date", "day_idx")), "date")
+    wide = daily.sector_wide(daily.market_returns(daily.session_returns(vwaps), sectors(spark, d)), [x.replace("_", " ") for x in SECTORS]).withColumnsRenamed({x.replace("_", " "): x for x in SECTORS})
+    groups = sectors(spark, d).select("symbol", F.regexp_replace("sector", " ", "_").alias("sector"), "industry")
+    form = F.col("form")
+    split = F.when((form == "1-URGENT") & (F.col("order_key") % 7 == 0), 0.5)
+    known = releases(spark, d).select("symbol", "date", "form", ((F.substring("form", 1, 1).cast("int") - 3) / 2).alias("score"), split.alias("factor"))
+    return panel.full_panel(panel.symbol_days(trades(spark, d), known, cal, tasks), groups, cal, wide, SECTORS, macro(spark, d), 20, inference)
 
 
 _PX = ("open", "high", "low", "close", "vwap", "rth_vwap", "ah_vwap", "pm_vwap", "pm_last", "pm_high", "pm_low")

@@ -1,11 +1,14 @@
 """No column of a panel row but the target and the look-ahead label changes when the future is cut off; guards of next-session rows."""
 
 import datetime as dt
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from marketloom.operators import panel
+from marketloom.operators.asof import snap_to_session
 
 AHEAD = {"target", "target_return", "to", "to_is_est", "window", "month_end", "quarter_end", "days_to_next"}
 
@@ -84,3 +87,30 @@ def test_next_rows_are_guarded(spark):
     for records, m, why in ((full("09:00"), meta, "cut-off"), (full(date=day - dt.timedelta(days=1)), meta, "another day"), (full(), meta | {"export_id": "e2"}, "another export")):
         with pytest.raises(ValueError, match=why):
             panel.fill_next(rows, prices, records, m, none)
+
+
+def test_panel_rows_are_shuffled_by_symbol_alone(spark, sf):
+    """Bars, releases and windows keep one partitioning by symbol; none is dealt again by symbol and day."""
+    from marketloom.plans import panel as plans
+
+    plan = plans.whole(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    keys = [k for k in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan) if "symbol" in k]
+    assert keys and not [k for k in keys if "date" in k or "day_idx" in k]
+
+
+def test_days_give_the_earnings_windows(spark):
+    """Windows over a symbol's days are those of the as-of lookups, with releases off sessions and after the last one."""
+    cal = calendar(spark, 700)
+    dates = {r.day_idx: r.date for r in cal.collect()}
+    rng = random.Random(3)
+    known = [(s, dates[rng.randrange(1, 701)] + dt.timedelta(days=rng.randrange(0, 3)), rng.choice(["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"])) for s in "ABC" for _ in range(25)] + [("A", dates[700] + dt.timedelta(days=9), "1-URGENT")]
+    releases = spark.createDataFrame([(*r, 0.5, 0.5 if i % 9 == 0 else None) for i, r in enumerate(known)], "symbol string, date date, form string, score double, factor double")
+    trades = spark.createDataFrame([(s, dates[i], 10.0 + i % 7, 2.0, i, 3) for s in "ABCD" for i in range(1, 701) if (i * 7 + ord(s)) % 5], "symbol string, date date, price double, volume double, seq1 long, seq2 long")
+    got = panel.with_earnings(panel.symbol_days(trades, releases, cal, 3), cal)
+    bars = trades.join(cal, "date").select("symbol", "day_idx")
+    a = snap_to_session(releases.filter("form < '4'"), "date", cal).filter("day_idx IS NOT NULL").groupBy("symbol", "day_idx").agg(F.bool_or(F.col("form") <= "2").alias("scheduled"))
+    want = panel.earnings_windows(bars, a, cal)
+    assert {tuple(r) for r in got.select(want.columns).collect()} == {tuple(r) for r in want.collect()}
+    splits = [(s, d) for i, (s, d, _) in enumerate(known) if i % 9 == 0]
+    for r in got.collect():
+        assert r.f == pytest.approx(0.5 ** sum(s == r.symbol and d > dates[r.day_idx] for s, d in splits))
