@@ -138,16 +138,39 @@ def squared_changes(minutes: DataFrame, width: int = 15) -> DataFrame:
 
 
 def resistance(series: DataFrame, minutes: list[int]) -> DataFrame:
-    """O-143: for each poll the log balance of buying and selling volume for each unit of path on its side, over trailing spans."""
+    """O-143: for each poll the log balance of buying and selling volume for each unit of path on its side, over trailing spans.
+
+    Spans count whole seconds, so polls are summed by second first, and the polls of a second share their balance.
+    """
     by = Window.partitionBy("symbol", "date").orderBy("ts")
     step = F.ln(ratio(F.col("price"), F.lag("price").over(by)))
-    s = series.withColumns({"__u": F.when(F.col("side") > 0, F.col("volume")).otherwise(0.0), "__d": F.when(F.col("side") < 0, F.col("volume")).otherwise(0.0), "__pu": F.coalesce(F.when(step > 0, step), F.lit(0.0)), "__pd": F.coalesce(F.when(step < 0, -step), F.lit(0.0)), "__t": F.unix_seconds("ts")})
-    out = []
+    sums = {"__u": F.when(F.col("side") > 0, F.col("volume")).otherwise(0.0), "__d": F.when(F.col("side") < 0, F.col("volume")).otherwise(0.0), "__pu": F.coalesce(F.when(step > 0, step), F.lit(0.0)), "__pd": F.coalesce(F.when(step < 0, -step), F.lit(0.0))}
+    second = F.unix_seconds("ts").alias("__t")
+    seconds = series.select("symbol", "date", second, *[c.alias(n) for n, c in sums.items()]).groupBy("symbol", "date", "__t").agg(*[F.sum(n).alias(n) for n in sums])
+    out = series.select("symbol", "date", "ts", second)
     for m in minutes:
-        w = Window.partitionBy("symbol", "date").orderBy("__t").rangeBetween(-60 * m, 0)
-        per = lambda v, p: F.sum(v).over(w) / (F.sum(p).over(w) + 0.01)
-        out.append(F.ln((per("__u", "__pu") + 1) / (per("__d", "__pd") + 1)).alias(f"balance_{m}m"))
-    return s.select("symbol", "date", "ts", *out)
+        per = lambda v, p: F.col(v) / (F.col(p) + 0.01)
+        balance = trailing_sums(seconds, 60 * m, list(sums)).select(*[F.col(c).alias(f"__k_{c}") for c in ("symbol", "date", "__t")], F.ln((per("__u", "__pu") + 1) / (per("__d", "__pd") + 1)).alias(f"balance_{m}m"))
+        same = [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in ("symbol", "date", "__t")]
+        out = out.join(balance, same[0] & same[1] & same[2]).drop("__k_symbol", "__k_date", "__k___t")
+    return out.drop("__t")
+
+
+def trailing_sums(seconds: DataFrame, span: int, sums: list[str]) -> DataFrame:
+    """Sums over [__t - span, __t] for each row (symbol, date, __t) of a symbol's day.
+
+    The day is cut into blocks as long as the span. A row's frame is then its block up to it, and the block before from the same place on: two running sums, whatever
+    the number of rows in the span, and nothing is subtracted.
+    """
+    block = F.floor(F.col("__t") / span)
+    own = seconds.select("symbol", "date", "__t", block.alias("__block"), F.lit(0).alias("__later"), *sums)
+    before = seconds.filter("__t IS NOT NULL").select("symbol", "date", "__t", (block - 1).alias("__block"), F.lit(1).alias("__later"), *[F.lit(0.0).alias(c) for c in sums])
+    place = F.col("__t") - (F.col("__block") + F.col("__later")) * span
+    day = Window.partitionBy("symbol", "date", "__block")
+    upto = day.orderBy("__later", "__t").rowsBetween(Window.unboundedPreceding, 0)
+    onward = day.orderBy(place.desc(), "__later").rowsBetween(Window.unboundedPreceding, 0)
+    halves = own.unionByName(before).select("symbol", "date", "__t", *[F.when(F.col("__later") == 0, F.sum(c).over(upto)).otherwise(F.sum(c).over(onward)).alias(c) for c in sums])
+    return halves.groupBy("symbol", "date", "__t").agg(*[F.sum(c).alias(c) for c in sums])
 
 
 def touch_rates(rows: DataFrame, by: list[str]) -> DataFrame:
